@@ -173,13 +173,15 @@ def _row_bytes(df: DataFrame) -> Column:
     return size
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+def fits_broadcast(
+    df: DataFrame, rows: int | None = None, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+) -> bool:
     """Measure whether a frame is small enough to broadcast, by rows and then by bytes.
 
-    The row count of a written table comes from its file footers; bytes are summed only when
-    that count is small.
+    The row count of a written table comes from its file footers, unless the caller knows
+    it; bytes are summed only when that count is small.
     """
-    if df.count() > max_rows:
+    if (df.count() if rows is None else rows) > max_rows:
         return False
     size = df.agg(F.sum(_row_bytes(df))).first()[0]
     return (size or 0) <= max_bytes
@@ -197,5 +199,4 @@ def merge_metrics() -> list[Column]:
         F.count_if(action == INSERT).alias("rows_inserted"),
         F.count_if(action == UPDATE).alias("rows_updated"),
         F.count_if(action.isin(INSERT, UPDATE)).alias("rows_written"),
-        F.count(F.lit(1)).alias("rows_total"),
     ]

@@ -1,7 +1,7 @@
 """Run history: append-only rows, and the reports over them.
 
-A run writes a whole row when it starts and another when it ends, never an update; its state
-is its latest row.
+A run writes a whole row when it starts and another when it ends, never an update. Its state
+is its latest row, and the event log is a view of the same rows.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators.dedupe import latest_per_key
-from strata.sources.control import PIPELINE_EVENT_LOG, PIPELINE_RUN_AUDIT, WORKFLOW_RUN_AUDIT, LoadSpec
+from strata.sources.control import PIPELINE_RUN_AUDIT, WORKFLOW_RUN_AUDIT, LoadSpec
 from strata.sources.lake import Lake
 
 # Run states and event names as stored in control tables.
@@ -34,7 +34,7 @@ COUNTERS = (
 )
 MAX_MESSAGE, MAX_TRACE, MAX_EVENT = 4000, 8000, 1000
 
-RUN_LOG, EVENT_LOG, WORKFLOW_LOG = "pipeline_run_audit", "pipeline_event_log", "workflow_run_audit"
+RUN_LOG, WORKFLOW_LOG = "pipeline_run_audit", "workflow_run_audit"
 
 
 def now() -> datetime:
@@ -80,28 +80,9 @@ class RunAudit:
         counters = {name: int(values.pop(name, 0) or 0) for name in COUNTERS}
         _append(self.lake, RUN_LOG, PIPELINE_RUN_AUDIT, {**base, **counters, **values})
 
-    def event(self, event_type: str, level: str, message: str) -> None:
-        _append(
-            self.lake,
-            EVENT_LOG,
-            PIPELINE_EVENT_LOG,
-            {
-                "event_id": new_id(),
-                "audit_id": self.audit_id,
-                "workflow_audit_id": self.workflow_audit_id,
-                "batch_id": self.batch_id,
-                "pipeline_id": self.spec.pipeline_id,
-                "event_type": event_type,
-                "event_level": level,
-                "event_message": message,
-                "event_timestamp": now(),
-            },
-        )
-
     def start(self) -> None:
         self.started_at = now()
         self._row(RUNNING, self.started_at)
-        self.event(START_EVENT, INFO, f"Started {self.spec.pipeline_id}")
 
     def _finish(self, status: str, **values) -> None:
         end = now()
@@ -119,7 +100,6 @@ class RunAudit:
             delta_table_version=counts.get("version"),
             delta_operation=counts.get("operation"),
         )
-        self.event(COMPLETE_EVENT, INFO, f"Completed {self.spec.pipeline_id}")
 
     def fail(self, error: Exception, counts: dict) -> None:
         self._finish(
@@ -129,7 +109,31 @@ class RunAudit:
             error_message=str(error)[:MAX_MESSAGE],
             error_stacktrace="".join(traceback.format_exception(error))[:MAX_TRACE],
         )
-        self.event(FAILED_EVENT, ERROR, str(error)[:MAX_EVENT])
+
+
+def event_log(rows: DataFrame) -> DataFrame:
+    """Start, completion and failure events, one per run-audit row."""
+    status = F.col("run_status")
+
+    def by_status(started: str | Column, completed: str | Column, failed: str | Column) -> Column:
+        return F.when(status == RUNNING, started).when(status == FAILED, failed).otherwise(completed)
+
+    return rows.select(
+        F.concat_ws("/", "audit_id", status).alias("event_id"),
+        "audit_id",
+        "workflow_audit_id",
+        "batch_id",
+        "pipeline_id",
+        by_status(START_EVENT, COMPLETE_EVENT, FAILED_EVENT).alias("event_type"),
+        by_status(INFO, INFO, ERROR).alias("event_level"),
+        by_status(
+            F.concat(F.lit("Started "), "pipeline_id"),
+            F.concat(F.lit("Completed "), "pipeline_id"),
+            F.substring("error_message", 1, MAX_EVENT),
+        ).alias("event_message"),
+        F.lit(None).cast("string").alias("event_payload"),
+        F.col("updated_timestamp").alias("event_timestamp"),
+    )
 
 
 def start_workflow(

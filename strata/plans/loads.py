@@ -101,11 +101,11 @@ class _Silver:
         return incremental_slice(source, name, low, high, self.options.watermark_lag), low, high
 
     def target_schema(self, df: DataFrame) -> T.StructType:
-        name = self.spec.target_object
-        if not self.lake.exists(name):
-            own = quality.good_rows(df.withColumn(quality.POSITION, F.lit(None).cast("int"))).schema
-            self.lake.create(name, own)
-        return self.lake.schema(name)
+        """The target's schema; a target that does not exist yet gets the source's own."""
+        target = self.lake.find(self.spec.target_object)
+        if target is not None:
+            return target.schema
+        return quality.good_rows(df.withColumn(quality.POSITION, F.lit(None).cast("int"))).schema
 
     def classified(self, source: DataFrame) -> tuple[DataFrame, T.StructType]:
         opts = self.options
@@ -171,6 +171,7 @@ class _Silver:
                 self.batch_id,
                 exclude=self.options.exclude,
                 replaces=self.options.replayable,
+                rows=good,
             )
 
     def move_watermark(self, high: str | None, low: str | None) -> None:
@@ -210,6 +211,7 @@ def _write(
     preserve: Sequence[str] = (),
     exclude: Sequence[str] = (),
     replaces: bool = False,
+    rows: int | None = None,
 ) -> dict:
     """Write by load type. An unknown type is an error, not a merge."""
     if spec.load_type == control.FULL:
@@ -219,7 +221,14 @@ def _write(
     if spec.load_type in (control.MERGE, control.SCD1):
         compare = RECORD_HASH if find_name(df, RECORD_HASH) else None
         return lake.merge(
-            spec.target_object, df, keys, batch_id, compare=compare, preserve=preserve, exclude=exclude
+            spec.target_object,
+            df,
+            keys,
+            batch_id,
+            compare=compare,
+            preserve=preserve,
+            exclude=exclude,
+            source_rows=rows,
         )
     raise ValueError(f"unknown load type {spec.load_type!r}; known: {control.LOAD_TYPES}")
 
@@ -293,16 +302,17 @@ def gold_load(
             )
             keys.append(gold.natural_key_name(silver_rows, table))
         counts["rows_read"] = built.count()
-        if not lake.exists(spec.target_object):
-            lake.create(spec.target_object, built.schema)
-        final = align(built, lake.schema(spec.target_object), excluded)
+        target = lake.find(spec.target_object)
+        final = align(built, built.schema if target is None else target.schema, excluded)
         keys = [k for k in keys if find_name(final, k)]
         if check_unique and spec.load_type in (control.MERGE, control.SCD1):
             repeated = repeated_keys(final, keys).limit(5).collect()
             if repeated:
                 raise ValueError(f"{spec.target_object}: source repeats keys, such as {repeated}")
         counts.update(
-            _write(lake, spec, final, keys, batch_id, preserve=PRESERVED, exclude=excluded)
+            _write(
+                lake, spec, final, keys, batch_id, preserve=PRESERVED, exclude=excluded, rows=counts["rows_read"]
+            )
         )
         audit.complete(counts)
         return LoadResult(audit.audit_id, counts)

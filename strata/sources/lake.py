@@ -10,12 +10,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.operators.align import align
-from strata.operators.merge import ACTION, fits_broadcast, merge_metrics, merge_scd1
+from strata.operators.merge import ACTION, INSERT, fits_broadcast, merge_metrics, merge_scd1
 
 VERSIONS = T.StructType(
     [
@@ -24,10 +25,14 @@ VERSIONS = T.StructType(
         T.StructField("folder", T.StringType()),
         T.StructField("batch_id", T.StringType()),
         T.StructField("operation", T.StringType()),
+        T.StructField("row_count", T.LongType()),
         T.StructField("committed_at", T.TimestampType()),
     ]
 )
 
+# A small source is broadcast only into a target at least this many times its size.
+BROADCAST_RATIO = 10
+
 
 def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
@@ -37,78 +42,78 @@ class Lake:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self._logs: set[str] = set()
 
     # --- append-only logs -------------------------------------------------------------
 
-    def _log_folder(self, name: str, schema: T.StructType) -> str:
-        folder = f"{self.root}/_logs/{name}"
-        if name not in self._logs:
-            empty_frame(self.spark, schema).write.mode("ignore").parquet(folder)
-            self._logs.add(name)
-        return folder
+    def _log_folder(self, name: str) -> str:
+        return f"{self.root}/_logs/{name}"
 
     def log(self, name: str, schema: T.StructType) -> DataFrame:
-        return self.spark.read.schema(schema).parquet(self._log_folder(name, schema))
+        """All rows of a log; a log nobody has written to is empty."""
+        try:
+            return self.spark.read.schema(schema).parquet(self._log_folder(name))
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return empty_frame(self.spark, schema)
 
     def append_log(self, name: str, schema: T.StructType, rows: DataFrame) -> None:
-        align(rows, schema).write.mode("append").parquet(self._log_folder(name, schema))
+        align(rows, schema).write.mode("append").parquet(self._log_folder(name))
 
     # --- tables -----------------------------------------------------------------------
 
-    def _current(self, name: str):
+    def _current(self, name: str) -> Row | None:
         versions = self.log("versions", VERSIONS).filter(F.col("table_name") == name)
         return versions.orderBy(F.col("version").desc(), F.col("committed_at").desc()).first()
 
-    def exists(self, name: str) -> bool:
-        return self._current(name) is not None
+    def _load(self, version: Row) -> DataFrame:
+        # Appended batches lie in sub-folders of a version.
+        return self.spark.read.option("recursiveFileLookup", True).parquet(version["folder"])
 
-    def read(self, name: str) -> DataFrame:
+    def find(self, name: str) -> DataFrame | None:
         current = self._current(name)
-        if current is None:
-            raise ValueError(f"no table {name!r} in {self.root}")
-        return self._load(current["folder"])
-
-    def _load(self, folder: str) -> DataFrame:
-        # Appended batches lie in sub-folders of a version.
-        return self.spark.read.option("recursiveFileLookup", True).parquet(folder)
+        return self._load(current) if current else None
 
-    def schema(self, name: str) -> T.StructType:
-        return self.read(name).schema
+    def read(self, name: str) -> DataFrame:
+        found = self.find(name)
+        if found is None:
+            raise ValueError(f"no table {name!r} in {self.root}")
+        return found
 
     def create(self, name: str, schema: T.StructType) -> None:
         """An empty table, so that loads have a schema to align to."""
-        if not self.exists(name):
+        if self._current(name) is None:
             self.overwrite(name, empty_frame(self.spark, schema), "create")
 
-    def _commit(self, name: str, version: int, folder: str, batch_id: str, operation: str) -> None:
-        row = [(name, version, folder, batch_id, operation)]
-        rows = self.spark.createDataFrame(row, VERSIONS.names[:-1]).withColumn(
-            "committed_at", F.current_timestamp()
-        )
-        self.append_log("versions", VERSIONS, rows)
-
     def _write(
-        self, name: str, df: DataFrame, metrics: Sequence[Column], batch_id: str, operation: str
+        self,
+        name: str,
+        df: DataFrame,
+        metrics: Sequence[Column],
+        batch_id: str,
+        operation: str,
+        current: Row | None,
     ) -> dict:
         """Write a next version and count its rows on the way.
 
         The observation sits in the stage that writes, whose tasks each count once, however
         often an executor is lost.
         """
-        current = self._current(name)
         version = current["version"] + 1 if current else 0
         folder = f"{self.root}/{name.replace('.', '/')}/v{version:06d}-{uuid4().hex[:8]}"
         observation = Observation()
-        watched = df.observe(observation, *metrics)
+        watched = df.observe(observation, F.count(F.lit(1)).alias("rows_total"), *metrics)
         watched.drop(ACTION).write.parquet(folder)
-        counts = observation.get
-        self._commit(name, version, folder, batch_id, operation)
+        counts = dict(observation.get)
+        row = [(name, version, folder, batch_id, operation, counts["rows_total"])]
+        rows = self.spark.createDataFrame(row, T.StructType(VERSIONS.fields[:-1]))
+        self.append_log("versions", VERSIONS, rows.withColumn("committed_at", F.current_timestamp()))
         return {"operation": operation, "version": version, **counts}
 
     def overwrite(self, name: str, df: DataFrame, batch_id: str) -> dict:
-        counts = self._write(name, df, [F.count(F.lit(1)).alias("rows_written")], batch_id, "OVERWRITE")
-        return {**counts, "rows_inserted": counts["rows_written"], "rows_updated": 0, "rows_deleted": 0}
+        counts = self._write(name, df, [], batch_id, "OVERWRITE", self._current(name))
+        rows = counts["rows_total"]
+        return {**counts, "rows_written": rows, "rows_inserted": rows, "rows_updated": 0, "rows_deleted": 0}
 
     def append(self, name: str, df: DataFrame, batch_id: str, replaces: bool = False) -> dict:
         """Add rows to the current version, each batch in a folder of its own.
@@ -144,23 +149,31 @@ class Lake:
         compare: str | None = "record_hash",
         preserve: Sequence[str] = (),
         exclude: Sequence[str] = (),
+        source_rows: int | None = None,
     ) -> dict:
         """Upsert ``source``, whose keys must be unique, into a table.
 
-        The source should be a written table, as it is measured before it is joined. A small
-        one is broadcast, so that the target is rewritten without being shuffled.
+        The source should be cheap to read twice, such as a written table, as it may be
+        measured before it is joined. When it is small, and much smaller than the target, it
+        is broadcast, and the target is rewritten without being shuffled.
         """
-        merged = merge_scd1(
-            self.read(name),
-            source,
-            keys,
-            compare=compare,
-            preserve=preserve,
-            exclude=exclude,
-            small_source=fits_broadcast(source),
-        )
-        counts = self._write(name, merged, merge_metrics(), batch_id, "MERGE")
-        return {**counts, "rows_deleted": 0}
+        current = self._current(name)
+        if current is None:
+            merged, small = source.withColumn(ACTION, F.lit(INSERT)), False
+        else:
+            rows = source.count() if source_rows is None else source_rows
+            small = rows * BROADCAST_RATIO <= current["row_count"] and fits_broadcast(source, rows)
+            merged = merge_scd1(
+                self._load(current),
+                source,
+                keys,
+                compare=compare,
+                preserve=preserve,
+                exclude=exclude,
+                small_source=small,
+            )
+        counts = self._write(name, merged, merge_metrics(), batch_id, "MERGE", current)
+        return {**counts, "rows_deleted": 0, "broadcast": small}
 
     # --- staging ----------------------------------------------------------------------
 
