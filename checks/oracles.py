@@ -520,6 +520,18 @@ ROLLUP = f"""
            floor(epoch(max(end_timestamp) - min(start_timestamp)))::BIGINT AS duration_seconds
     FROM {RUNS} GROUP BY workflow_audit_id, batch_id"""
 
+EVENT_LOG = """
+    SELECT audit_id || '/' || run_status AS event_id, audit_id, 'W-' || day AS workflow_audit_id, day AS batch_id, pipeline_id,
+           CASE run_status WHEN 'RUNNING' THEN 'PIPELINE_START' WHEN 'FAILED' THEN 'PIPELINE_FAILED' ELSE 'PIPELINE_COMPLETE' END
+               AS event_type,
+           CASE run_status WHEN 'FAILED' THEN 'ERROR' ELSE 'INFO' END AS event_level,
+           CASE run_status WHEN 'RUNNING' THEN 'Started ' || pipeline_id WHEN 'FAILED' THEN props ELSE 'Completed ' || pipeline_id END
+               AS event_message,
+           NULL::VARCHAR AS event_payload, ts::VARCHAR AS event_timestamp
+    FROM (SELECT ts::DATE::VARCHAR || '/' || user_id AS audit_id, ts::DATE::VARCHAR AS day, 'PL_' || user_id AS pipeline_id,
+                 CASE event_type WHEN 'signup' THEN 'RUNNING' WHEN 'error' THEN 'FAILED' WHEN 'view' THEN 'SKIPPED'
+                      ELSE 'SUCCESS' END AS run_status, props, ts FROM events)"""
+
 LATEST_RUNS = f"""
     SELECT audit_id, pipeline_id, run_status, rows_read, rows_inserted, rows_updated, rows_rejected, error_message,
            start_timestamp::VARCHAR AS start_timestamp
@@ -618,11 +630,13 @@ ORACLES: dict[str, str] = {
     "config_reset": f"""SELECT * FROM {CONFIG} WHERE NOT {SHIPPED}
                         UNION ALL SELECT * REPLACE ('RESET' AS pipeline_group) FROM {CONFIG} WHERE is_active""",
     "run_states": f"SELECT audit_id, workflow_audit_id, run_status, rows_read, event_id FROM {RUNS}",
+    "event_log": EVENT_LOG,
     "workflow_rollup": ROLLUP,
     "latest_runs": LATEST_RUNS,
     "write_full": WRITE_FULL,
     "write_append": WRITE_APPEND,
     "silver_load_merge": SILVER_LOAD_MERGE,
+    "silver_load_parts": SILVER_LOAD_MERGE,
     "silver_load_rejects": SILVER_LOAD_REJECTS,
     "silver_load_results": SILVER_LOAD_RESULTS,
     "silver_load_watermark": SILVER_LOAD_WATERMARK,

@@ -21,7 +21,7 @@ from strata.operators.dedupe import duplicate_counts, latest_per_key, repeated_k
 from strata.operators.merge import ACTION, fits_broadcast, merge_action_counts, merge_scd1
 from strata.operators.quality import Rule
 from strata.plans import gold, silver
-from strata.plans.audit import latest_runs, run_state, table_counts, workflow_rollup
+from strata.plans.audit import event_log, latest_runs, run_state, table_counts, workflow_rollup
 from strata.plans.loads import REJECT_LOG, RESULT_LOG, WATERMARK_LOG, SilverOptions, gold_load, silver_load
 from strata.sources import control, raw
 from strata.sources.control import LoadSpec
@@ -458,6 +458,10 @@ def run_states(spark: SparkSession, folder: str) -> DataFrame:
     return _run_states(spark, folder).select("audit_id", "workflow_audit_id", "run_status", "rows_read", "event_id")
 
 
+def events(spark: SparkSession, folder: str) -> DataFrame:
+    return plain(event_log(run_rows(spark, folder)))
+
+
 def rollup(spark: SparkSession, folder: str) -> DataFrame:
     return workflow_rollup(_run_states(spark, folder)).drop("start_timestamp", "end_timestamp")
 
@@ -500,12 +504,12 @@ def write_append(spark: SparkSession, folder: str) -> DataFrame:
     return lake.read("service_order").select(*ORDER_SHOWN, "silver_batch_id")
 
 
-def _merged_lake(spark: SparkSession, folder: str) -> Lake:
+def _merged_lake(spark: SparkSession, folder: str, part_column: str | None = None) -> Lake:
     lake = _lake(spark, "silver")
     spec = spec_for("repair_job", "bronze.repair_job", control.MERGE, ("repair_job_id",), "completed_timestamp", "completed_timestamp")
     jobs = raw.repair_job(spark, folder)
     rules = [Rule("HOURS", "At least two hours", "labor_hours >= 2", quality.QUARANTINE)]
-    options = SilverOptions(load_ts=load_time())
+    options = SilverOptions(load_ts=load_time(), part_column=part_column)
     first = incremental_slice(jobs, "completed_timestamp", None, FIRST_UNTIL)
     silver_load(lake, spec, "B1", source=first, rules=rules, options=options)
     silver_load(lake, spec, "B2", source=jobs, rules=rules, options=options)
@@ -516,6 +520,11 @@ def silver_load_merge(spark: SparkSession, folder: str) -> DataFrame:
     return _merged_lake(spark, folder).read("repair_job").select(*MERGED, "dq_status")
 
 
+def silver_load_parts(spark: SparkSession, folder: str) -> DataFrame:
+    """The same loads into a table kept in parts."""
+    return _merged_lake(spark, folder, "failure_code").read("repair_job").select(*MERGED, "dq_status")
+
+
 def silver_load_rejects(spark: SparkSession, folder: str) -> DataFrame:
     log = _merged_lake(spark, folder).log(REJECT_LOG, control.REJECTED_RECORD)
     return log.select(
@@ -613,11 +622,13 @@ QUERIES: dict[str, Query] = {
     "load_group_counts": load_group_counts,
     "config_reset": config_reset,
     "run_states": run_states,
+    "event_log": events,
     "workflow_rollup": rollup,
     "latest_runs": newest_runs,
     "write_full": write_full,
     "write_append": write_append,
     "silver_load_merge": silver_load_merge,
+    "silver_load_parts": silver_load_parts,
     "silver_load_rejects": silver_load_rejects,
     "silver_load_results": silver_load_results,
     "silver_load_watermark": silver_load_watermark,

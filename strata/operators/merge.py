@@ -161,6 +161,13 @@ def merge_scd1(
     return current.unionByName(added)
 
 
+def matching_rows(target: DataFrame, source: DataFrame, keys: Sequence[str], small_source: bool = False) -> DataFrame:
+    """Target rows whose key occurs in the source, NULL matching NULL."""
+    names = existing_names(target, keys)
+    wanted = source.select(*[column(find_name(source, k)).alias(_PREFIX + k) for k in names])
+    return target.join(F.broadcast(wanted) if small_source else wanted, _same_key(names), "left_semi")
+
+
 def _row_bytes(df: DataFrame) -> Column:
     """A bound on a row's size in memory: fixed slots, text, and nested values by their JSON."""
     size = F.lit(16 * len(df.columns)).cast("bigint")

@@ -246,6 +246,24 @@ def complete_workflow(lake: Lake, workflow_audit_id: str, batch_id: str) -> Data
     return workflow_state(lake).filter(own)
 
 
+def fail_workflow(lake: Lake, workflow_audit_id: str, batch_id: str, error: Exception) -> None:
+    """Append a workflow's failed row: its start row with the error."""
+    own = (F.col("workflow_audit_id") == workflow_audit_id) & (F.col("batch_id") == batch_id)
+    started = lake.log(WORKFLOW_LOG, WORKFLOW_RUN_AUDIT).filter(own & (F.col("run_status") == RUNNING))
+    moment = F.current_timestamp()
+    failed = started.withColumns(
+        {
+            "run_status": F.lit(FAILED),
+            "end_timestamp": moment,
+            "duration_seconds": F.timestamp_diff("SECOND", F.col("start_timestamp"), moment),
+            "error_code": F.lit(type(error).__name__),
+            "error_message": F.lit(str(error)[:MAX_MESSAGE]),
+            "updated_timestamp": moment,
+        }
+    )
+    lake.append_log(WORKFLOW_LOG, WORKFLOW_RUN_AUDIT, failed)
+
+
 def workflow_state(lake: Lake) -> DataFrame:
     rows = lake.log(WORKFLOW_LOG, WORKFLOW_RUN_AUDIT)
     return latest_per_key(rows, ["workflow_audit_id"], "updated_timestamp")

@@ -51,6 +51,7 @@ class SilverOptions:
     ``on_cast_error``: ``"raise"`` fails the load on a value its target type cannot hold,
     ``"null"`` blanks the value, ``"reject"`` rejects the row. ``replayable`` says that the
     same batch id means the same rows again, as in a stream; an append then replaces them.
+    ``part_column`` names the column a new target is kept in parts by.
     """
 
     null_policy: str = "pass"
@@ -60,6 +61,7 @@ class SilverOptions:
     exclude: tuple[str, ...] = ()
     load_ts: Column | None = None
     replayable: bool = False
+    part_column: str | None = None
 
 
 @dataclass
@@ -100,14 +102,14 @@ class _Silver:
         self.counts["rows_read"] = rows
         return incremental_slice(source, name, low, high, self.options.watermark_lag), low, high
 
-    def target_schema(self, df: DataFrame) -> T.StructType:
-        """The target's schema; a target that does not exist yet gets the source's own."""
+    def target_schema(self, df: DataFrame) -> tuple[T.StructType, bool]:
+        """The target's schema, and whether it exists; a new target gets the source's own."""
         target = self.lake.find(self.spec.target_object)
         if target is not None:
-            return target.schema
-        return quality.good_rows(df.withColumn(quality.POSITION, F.lit(None).cast("int"))).schema
+            return target.schema, True
+        return quality.good_rows(df.withColumn(quality.POSITION, F.lit(None).cast("int"))).schema, False
 
-    def classified(self, source: DataFrame) -> tuple[DataFrame, T.StructType]:
+    def classified(self, source: DataFrame) -> tuple[DataFrame, T.StructType, bool]:
         opts = self.options
         entity = silver.entity_for(self.spec.target_object, self.keys)
         conformed = silver.conform(source, entity, opts.load_ts)
@@ -116,12 +118,12 @@ class _Silver:
         latest = latest_per_key(conformed, self.keys, sequence)
         # Digests are computed after the shuffle, for the surviving rows only.
         stamped = silver.stamp(latest, entity.keys, self.batch_id, opts.load_ts, opts.hash_scope)
-        schema = self.target_schema(stamped)
+        schema, exists = self.target_schema(stamped)
         if opts.on_cast_error == "reject":
             fits = ~cast_failures(stamped, schema, opts.exclude)
             rule = quality.Rule("CAST", "Value does not fit the target type", fits, quality.QUARANTINE, "CAST")
             self.rules = [*self.rules, rule]
-        return quality.classify(stamped, self.rules, opts.null_policy), schema
+        return quality.classify(stamped, self.rules, opts.null_policy), schema, exists
 
     def judge(self, staged: DataFrame) -> quality.Rule | None:
         """Count and record what the rules found; gives the rule that stops the load, if any."""
@@ -172,6 +174,7 @@ class _Silver:
                 exclude=self.options.exclude,
                 replaces=self.options.replayable,
                 rows=good,
+                part_column=self.options.part_column,
             )
 
     def move_watermark(self, high: str | None, low: str | None) -> None:
@@ -186,16 +189,24 @@ class _Silver:
         ).withColumns({"last_successful_run_timestamp": moment, "updated_timestamp": moment})
         self.lake.append_log(WATERMARK_LOG, control.PIPELINE_WATERMARK, moves)
 
+    def load_staged(self, staged: DataFrame, schema: T.StructType) -> None:
+        stop = self.judge(staged)
+        self.write_rejects(staged, stop)
+        if stop is not None:
+            raise quality.DataQualityError(f"{stop.reason}; {self.counts['rows_rejected']} rows rejected")
+        self.write_good(staged, schema)
+
     def run(self, source: DataFrame, incremental: bool) -> LoadResult:
         rows, low, high = self.bounded(source, incremental)
         if self.counts["rows_read"] or self.spec.load_type == control.FULL:
-            classified, schema = self.classified(rows)
-            staged = self.lake.stage(self.spec.target_object, classified)
-            stop = self.judge(staged)
-            self.write_rejects(staged, stop)
-            if stop is not None:
-                raise quality.DataQualityError(f"{stop.reason}; {self.counts['rows_rejected']} rows rejected")
-            self.write_good(staged, schema)
+            classified, schema, exists = self.classified(rows)
+            if not self.rules and (self.spec.load_type in (control.FULL, control.APPEND) or not exists):
+                # Nothing to judge and one output: written straight through.
+                self.counts["_good"] = self.counts["rows_read"]
+                self.write_good(classified, schema)
+                self.counts["rows_duplicated"] = self.counts["rows_read"] - self.counts["rows_written"]
+            else:
+                self.load_staged(self.lake.stage(self.spec.target_object, classified), schema)
             self.move_watermark(high, low)
         self.audit.complete(self.counts, low, high)
         return LoadResult(self.audit.audit_id, self.counts, low, high)
@@ -212,10 +223,11 @@ def _write(
     exclude: Sequence[str] = (),
     replaces: bool = False,
     rows: int | None = None,
+    part_column: str | None = None,
 ) -> dict:
     """Write by load type. An unknown type is an error, not a merge."""
     if spec.load_type == control.FULL:
-        return lake.overwrite(spec.target_object, df, batch_id)
+        return lake.overwrite(spec.target_object, df, batch_id, part_column)
     if spec.load_type == control.APPEND:
         return lake.append(spec.target_object, df, batch_id, replaces)
     if spec.load_type in (control.MERGE, control.SCD1):
@@ -229,6 +241,7 @@ def _write(
             preserve=preserve,
             exclude=exclude,
             source_rows=rows,
+            part_column=part_column,
         )
     raise ValueError(f"unknown load type {spec.load_type!r}; known: {control.LOAD_TYPES}")
 
@@ -277,21 +290,22 @@ def gold_load(
     key_algorithm: str = "murmur3",
     null_key: str = "hash",
     exclude: Iterable[str] = (),
-    check_unique: bool = True,
+    part_column: str | None = None,
     calendar: tuple[str, str] = (DEFAULT_START, DEFAULT_END),
     load_ts: Column | None = None,
 ) -> LoadResult:
     """Rebuild a gold table from its whole silver source.
 
     A merge matches on the surrogate key together with the natural key, so two natural keys
-    that share a surrogate key stay two rows.
+    that share a surrogate key stay two rows. Source keys are checked for repetition, unless
+    the silver table is known to have been kept free of it.
     """
     audit = RunAudit(lake, spec, batch_id, workflow_audit_id)
     excluded = tuple(exclude)
     counts: dict = {}
 
     def body() -> LoadResult:
-        keys = list(spec.primary_key_columns)
+        keys, unique = list(spec.primary_key_columns), False
         if spec.target_object.split(".")[-1] == gold.DATE_DIMENSION:
             built = dim_date(lake.spark, *calendar, load_ts)
         else:
@@ -300,18 +314,28 @@ def gold_load(
             built = gold.build_gold(
                 silver_rows, table, key_algorithm=key_algorithm, null_key=null_key, load_ts=load_ts
             )
-            keys.append(gold.natural_key_name(silver_rows, table))
+            natural = gold.natural_key_name(silver_rows, table)
+            keys.append(natural)
+            unique = lake.known_unique(spec.source_object, natural)
         counts["rows_read"] = built.count()
         target = lake.find(spec.target_object)
         final = align(built, built.schema if target is None else target.schema, excluded)
         keys = [k for k in keys if find_name(final, k)]
-        if check_unique and spec.load_type in (control.MERGE, control.SCD1):
+        if spec.load_type in (control.MERGE, control.SCD1) and not unique:
             repeated = repeated_keys(final, keys).limit(5).collect()
             if repeated:
                 raise ValueError(f"{spec.target_object}: source repeats keys, such as {repeated}")
         counts.update(
             _write(
-                lake, spec, final, keys, batch_id, preserve=PRESERVED, exclude=excluded, rows=counts["rows_read"]
+                lake,
+                spec,
+                final,
+                keys,
+                batch_id,
+                preserve=PRESERVED,
+                exclude=excluded,
+                rows=counts["rows_read"],
+                part_column=part_column,
             )
         )
         audit.complete(counts)

@@ -1,12 +1,16 @@
 """Named parquet tables under one shared folder.
 
-A table that is replaced or merged is written whole to a fresh folder, and one row appended
-to the ``versions`` log makes that folder current. Readers of the previous version are never
-overwritten, and a load that dies before its log row leaves the table as it was.
+Each write goes to fresh folders, and one row appended to the ``versions`` log makes them the
+table's current ones. Readers of the previous version are never overwritten, and a load that
+dies before its log row leaves the table as it was.
+
+A table may be kept in parts by one of its columns. A merge into such a table first finds the
+parts it concerns, from the keys alone, and rewrites only those.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from uuid import uuid4
 
@@ -15,17 +19,32 @@ from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.functions.columns import column
+from strata.functions.dates import date_key
 from strata.operators.align import align
-from strata.operators.merge import ACTION, INSERT, fits_broadcast, merge_metrics, merge_scd1
+from strata.operators.merge import (
+    ACTION,
+    INSERT,
+    fits_broadcast,
+    matching_rows,
+    merge_metrics,
+    merge_scd1,
+)
 
 VERSIONS = T.StructType(
     [
         T.StructField("table_name", T.StringType()),
         T.StructField("version", T.LongType()),
         T.StructField("folder", T.StringType()),
+        # Only for a table kept in parts: the column, and each part's folder.
+        T.StructField("part_column", T.StringType()),
+        T.StructField("parts", T.MapType(T.LongType(), T.StringType())),
+        T.StructField("table_schema", T.StringType()),
+        # The key whose values are known not to repeat, as every write was a merge on it.
+        T.StructField("unique_key", T.ArrayType(T.StringType())),
+        T.StructField("row_count", T.LongType()),
         T.StructField("batch_id", T.StringType()),
         T.StructField("operation", T.StringType()),
-        T.StructField("row_count", T.LongType()),
         T.StructField("committed_at", T.TimestampType()),
     ]
 )
@@ -33,11 +52,30 @@ VERSIONS = T.StructType(
 # A small source is broadcast only into a target at least this many times its size.
 BROADCAST_RATIO = 10
 
+PART = "_part"
+TEXT_PARTS = 256
+NO_PART = -1
+# A version's log row names every part, so a column with more distinct values is refused.
+MAX_PARTS = 50_000
+
 
 def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
+def part_of(df: DataFrame, name: str) -> Column:
+    """The part a row belongs to: a day, a whole number as it is, other values by digest."""
+    dtype = df.schema[name].dataType
+    value = column(name)
+    if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        part = date_key(value).cast("bigint")
+    elif isinstance(dtype, T.IntegralType):
+        part = value.cast("bigint")
+    else:
+        part = F.pmod(F.xxhash64(value), F.lit(TEXT_PARTS))
+    return F.when(value.isNull(), F.lit(NO_PART)).otherwise(part)
+
+
 class Lake:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -60,18 +98,26 @@ class Lake:
     def append_log(self, name: str, schema: T.StructType, rows: DataFrame) -> None:
         align(rows, schema).write.mode("append").parquet(self._log_folder(name))
 
-    # --- tables -----------------------------------------------------------------------
+    # --- reading ----------------------------------------------------------------------
 
-    def _current(self, name: str) -> Row | None:
+    def current(self, name: str) -> Row | None:
+        """The log row of a table's current version."""
         versions = self.log("versions", VERSIONS).filter(F.col("table_name") == name)
         return versions.orderBy(F.col("version").desc(), F.col("committed_at").desc()).first()
 
-    def _load(self, version: Row) -> DataFrame:
+    def _load(self, version: Row, parts: Sequence[int] | None = None) -> DataFrame:
+        schema = T.StructType.fromJson(json.loads(version["table_schema"]))
+        folders = [version["folder"]]
+        if version["parts"] is not None:
+            held = version["parts"]
+            folders = list(held.values()) if parts is None else [held[p] for p in parts if p in held]
+        if not folders:
+            return empty_frame(self.spark, schema)
         # Appended batches lie in sub-folders of a version.
-        return self.spark.read.option("recursiveFileLookup", True).parquet(version["folder"])
+        return self.spark.read.schema(schema).option("recursiveFileLookup", True).parquet(*folders)
 
     def find(self, name: str) -> DataFrame | None:
-        current = self._current(name)
+        current = self.current(name)
         return self._load(current) if current else None
 
     def read(self, name: str) -> DataFrame:
@@ -80,12 +126,19 @@ class Lake:
             raise ValueError(f"no table {name!r} in {self.root}")
         return found
 
-    def create(self, name: str, schema: T.StructType) -> None:
+    def known_unique(self, name: str, key: str) -> bool:
+        """Whether merges alone have kept a table's key from repeating."""
+        current = self.current(name)
+        return bool(current) and current["unique_key"] == [key.lower()]
+
+    # --- writing ----------------------------------------------------------------------
+
+    def create(self, name: str, schema: T.StructType, part_column: str | None = None) -> None:
         """An empty table, so that loads have a schema to align to."""
-        if self._current(name) is None:
-            self.overwrite(name, empty_frame(self.spark, schema), "create")
+        if self.current(name) is None:
+            self._commit(name, empty_frame(self.spark, schema), [], "create", "CREATE", None, part_column, {})
 
-    def _write(
+    def _commit(
         self,
         name: str,
         df: DataFrame,
@@ -93,25 +146,60 @@ class Lake:
         batch_id: str,
         operation: str,
         current: Row | None,
+        part_column: str | None = None,
+        kept: dict[int, str] | None = None,
+        unique_key: Sequence[str] | None = None,
+        kept_rows: int = 0,
     ) -> dict:
-        """Write a next version and count its rows on the way.
+        """Write a next version, count its rows on the way, and make it current.
 
         The observation sits in the stage that writes, whose tasks each count once, however
         often an executor is lost.
         """
         version = current["version"] + 1 if current else 0
         folder = f"{self.root}/{name.replace('.', '/')}/v{version:06d}-{uuid4().hex[:8]}"
+        schema = df.drop(ACTION).schema
         observation = Observation()
-        watched = df.observe(observation, F.count(F.lit(1)).alias("rows_total"), *metrics)
-        watched.drop(ACTION).write.parquet(folder)
+        counted = [F.count(F.lit(1)).alias("rows_total"), *metrics]
+        parts = None
+        if part_column is None:
+            df.observe(observation, *counted).drop(ACTION).write.parquet(folder)
+        else:
+            # Rebalancing splits a part that holds much of the table over several tasks.
+            placed = df.withColumn(PART, part_of(df, part_column)).hint("rebalance", PART)
+            placed.observe(observation, *counted).drop(ACTION).write.partitionBy(PART).parquet(folder)
+            parts = dict(kept or {})
+            if observation.get["rows_total"]:
+                written = self.spark.read.schema(T.StructType().add(PART, T.LongType())).parquet(folder)
+                found = [r[0] for r in written.distinct().limit(MAX_PARTS + 1).collect()]
+                if len(found) + len(parts) > MAX_PARTS:
+                    raise ValueError(f"{name}: {part_column} gives more than {MAX_PARTS} parts")
+                parts |= {p: f"{folder}/{PART}={p}" for p in found}
         counts = dict(observation.get)
-        row = [(name, version, folder, batch_id, operation, counts["rows_total"])]
+        counts["rows_total"] += kept_rows
+        self._record(
+            table_name=name,
+            version=version,
+            folder=folder,
+            part_column=part_column,
+            parts=parts,
+            table_schema=schema.json(),
+            unique_key=[k.lower() for k in unique_key] if unique_key else None,
+            row_count=counts["rows_total"],
+            batch_id=batch_id,
+            operation=operation,
+        )
+        return {"operation": operation, "version": version, **counts}
+
+    def _record(self, **version) -> None:
+        row = [tuple(version[name] for name in VERSIONS.names[:-1])]
         rows = self.spark.createDataFrame(row, T.StructType(VERSIONS.fields[:-1]))
         self.append_log("versions", VERSIONS, rows.withColumn("committed_at", F.current_timestamp()))
-        return {"operation": operation, "version": version, **counts}
 
-    def overwrite(self, name: str, df: DataFrame, batch_id: str) -> dict:
-        counts = self._write(name, df, [], batch_id, "OVERWRITE", self._current(name))
+    def overwrite(self, name: str, df: DataFrame, batch_id: str, part_column: str | None = None) -> dict:
+        current = self.current(name)
+        part_column = current["part_column"] if current else part_column
+        counts = self._commit(name, df, [], batch_id, "OVERWRITE", current, part_column)
         rows = counts["rows_total"]
         return {**counts, "rows_written": rows, "rows_inserted": rows, "rows_updated": 0, "rows_deleted": 0}
 
@@ -121,10 +209,16 @@ class Lake:
         With ``replaces=True`` a batch that is delivered again takes the place of its first
         delivery, so a replay adds nothing.
         """
-        current = self._current(name)
+        current = self.current(name)
         if current is None:
             self.create(name, df.schema)
-            current = self._current(name)
+            current = self.current(name)
+        if current["parts"] is not None:
+            raise ValueError(f"{name}: a table kept in parts takes merges and full loads only")
+        # Recorded first: from here on no key of the table is known to be unique.
+        version = current["version"] + 1
+        changed = {"version": version, "unique_key": None, "batch_id": batch_id, "operation": "APPEND"}
+        self._record(**{**current.asDict(), **changed})
         part = batch_id if replaces else uuid4().hex
         observation = Observation()
         watched = df.observe(observation, F.count(F.lit(1)).alias("rows_written"))
@@ -132,7 +226,7 @@ class Lake:
         rows = observation.get["rows_written"]
         return {
             "operation": "APPEND",
-            "version": current["version"],
+            "version": version,
             "rows_written": rows,
             "rows_inserted": rows,
             "rows_updated": 0,
@@ -150,31 +244,65 @@ class Lake:
         preserve: Sequence[str] = (),
         exclude: Sequence[str] = (),
         source_rows: int | None = None,
+        part_column: str | None = None,
     ) -> dict:
         """Upsert ``source``, whose keys must be unique, into a table.
 
         The source should be cheap to read twice, such as a written table, as it may be
         measured before it is joined. When it is small, and much smaller than the target, it
-        is broadcast, and the target is rewritten without being shuffled.
+        is broadcast, and the target is read without being shuffled. ``part_column`` is how a
+        table that does not exist yet will be kept.
         """
-        current = self._current(name)
+        current = self.current(name)
         if current is None:
-            merged, small = source.withColumn(ACTION, F.lit(INSERT)), False
-        else:
-            rows = source.count() if source_rows is None else source_rows
-            small = rows * BROADCAST_RATIO <= current["row_count"] and fits_broadcast(source, rows)
-            merged = merge_scd1(
-                self._load(current),
-                source,
-                keys,
-                compare=compare,
-                preserve=preserve,
-                exclude=exclude,
-                small_source=small,
+            merged = source.withColumn(ACTION, F.lit(INSERT))
+            counts = self._commit(
+                name, merged, merge_metrics(), batch_id, "MERGE", None, part_column, unique_key=keys
             )
-        counts = self._write(name, merged, merge_metrics(), batch_id, "MERGE", current)
+            return {**counts, "rows_deleted": 0, "broadcast": False}
+
+        rows = source.count() if source_rows is None else source_rows
+        small = rows * BROADCAST_RATIO <= current["row_count"] and fits_broadcast(source, rows)
+        target, kept, kept_rows = self._load(current), None, 0
+        if current["parts"] is not None:
+            touched = self._touched(target, source, keys, current, small)
+            kept = {p: f for p, f in current["parts"].items() if p not in touched}
+            target = self._load(current, touched)
+            kept_rows = current["row_count"] - target.count()
+        merged = merge_scd1(
+            target, source, keys, compare=compare, preserve=preserve, exclude=exclude, small_source=small
+        )
+        empty = current["row_count"] == 0 and current["operation"] != "APPEND"
+        unique = keys if empty or current["unique_key"] == [k.lower() for k in keys] else None
+        counts = self._commit(
+            name,
+            merged,
+            merge_metrics(),
+            batch_id,
+            "MERGE",
+            current,
+            current["part_column"],
+            kept,
+            unique,
+            kept_rows,
+        )
         return {**counts, "rows_deleted": 0, "broadcast": small}
 
+    def _touched(
+        self, target: DataFrame, source: DataFrame, keys: Sequence[str], current: Row, small: bool
+    ) -> list[int]:
+        """Parts that hold a source key now, and parts the source rows belong to.
+
+        Looking keys up in the whole target, which reads only its key and part columns, finds
+        also rows that move from one part to another. The result is bounded by the number of
+        parts.
+        """
+        name = current["part_column"]
+        held = matching_rows(target.withColumn(PART, part_of(target, name)), source, keys, small)
+        homes = held.select(PART)
+        coming = source.select(part_of(source, name).alias(PART))
+        return [r[0] for r in homes.union(coming).distinct().collect()]
+
     # --- staging ----------------------------------------------------------------------
 
     def stage(self, name: str, df: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from strata.plans.audit import (
     RUN_LOG,
     RunAudit,
     complete_workflow,
+    fail_workflow,
     event_log,
     latest_runs,
     run_state,
@@ -110,6 +111,14 @@ def test_a_workflow_without_runs_succeeds(spark, lake):
     assert (done["run_status"], done["total_pipelines"], done["total_rows_read"]) == ("SUCCESS", 0, 0)
 
 
+def test_a_failed_workflow_keeps_its_error(spark, lake):
+    ids = start_workflow(lake, "nightly")
+    fail_workflow(lake, **ids, error=RuntimeError("upstream"))
+    row = workflow_state(lake).first()
+    assert (row["run_status"], row["error_code"], row["error_message"]) == ("FAILED", "RuntimeError", "upstream")
+    assert row["duration_seconds"] >= 0 and row["workflow_name"] == "nightly"
+
+
 def test_rollup_keeps_workflows_apart_and_treats_unknown_counts_as_zero(spark):
     at = dt.datetime(2025, 1, 1)
     names = "audit_id workflow_audit_id batch_id run_status rows_read rows_inserted rows_updated rows_deleted rows_rejected start_timestamp end_timestamp".split()

@@ -127,9 +127,9 @@ def test_surrogate_key_of_null(spark):
 
 
 def test_surrogate_key_when_the_hash_is_the_smallest_int(spark):
-    # A bigint whose murmur3 hash is -2147483648, found by search; abs of that int overflows.
-    value = spark.range(0, 1).select(F.lit(-(2**31)).cast("int").alias("h"))
-    assert value.select(F.abs(F.col("h").cast("bigint"))).first()[0] == 2**31
+    # The first bigint with that hash, found by search; abs of the smallest int overflows.
+    df = spark.createDataFrame([(1957873941,)], "id bigint")
+    assert df.select(F.hash("id"), surrogate_key("id")).first() == (-(2**31), 2**31)
 
 
 def test_wide_surrogate_key_matches_xxhash64(spark):
