@@ -451,13 +451,13 @@ DQ_REJECT_RECORDS = _rejected(
 )
 
 
-def dq_results(rules) -> str:
+def dq_results(rules, null_passes: bool = True) -> str:
     def text(v) -> str:
         return "NULL::VARCHAR" if v is None else f"'{v}'"
 
     parts = []
     for i, r in enumerate(rules):
-        failed = f"pos = {i}" if r.blocks else f"(pos IS NULL OR pos >= {i}) AND NOT ({r.expression})"
+        failed = f"pos = {i}" if r.blocks else f"(pos IS NULL OR pos >= {i}) AND NOT coalesce({r.expression}, {str(null_passes).lower()})"
         stops = str(r.stops).lower()
         parts.append(f"""
             SELECT {i} AS rule_position, {text(r.rule_id)} AS rule_id, {text(r.rule_name)} AS rule_name,
@@ -467,7 +467,7 @@ def dq_results(rules) -> str:
                    count(*) FILTER (WHERE {failed}) AS failed_row_count
             FROM judged""")
     return f"""
-        WITH judged AS (SELECT *, {_first_failed(rules)} AS pos FROM {DQ_INPUT}),
+        WITH judged AS (SELECT *, {_first_failed(rules, null_passes)} AS pos FROM {DQ_INPUT}),
         counted AS ({' UNION ALL '.join(parts)})
         SELECT * EXCLUDE (stops), evaluated_row_count - failed_row_count AS passed_row_count,
                CASE WHEN evaluated_row_count > 0 THEN failed_row_count::DOUBLE / evaluated_row_count * 100 ELSE 0.0::DOUBLE END
@@ -477,6 +477,11 @@ def dq_results(rules) -> str:
         WHERE rule_position <= coalesce((SELECT min(rule_position) FROM counted WHERE stops AND failed_row_count > 0), 1000)"""
 
 
+DQ_RESULT_ROWS = f"""
+    SELECT 'A1' AS audit_id, NULL::VARCHAR AS workflow_audit_id, 'B1' AS batch_id, 'P1' AS pipeline_id,
+           * EXCLUDE (rule_position), NULL::VARCHAR AS sample_failed_records
+    FROM ({dq_results(q.DQ_RULES, False)})"""
+
 # --- incremental and control ----------------------------------------------------------------
 
 WATERMARK_ADVANCE = f"""
@@ -616,6 +621,7 @@ ORACLES: dict[str, str] = {
     "dq_reject_records": DQ_REJECT_RECORDS,
     "dq_results": dq_results(q.DQ_RULES),
     "dq_results_stopped": dq_results(q.STOPPING_RULES),
+    "dq_result_rows": DQ_RESULT_ROWS,
     "incremental_slice": f"""SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate::VARCHAR AS o_orderdate, o_orderpriority
         FROM orders WHERE o_orderdate > TIMESTAMP '{q.SLICE_LOW}' AND o_orderdate <= TIMESTAMP '{q.SLICE_HIGH}'""",
     "incremental_lag": f"SELECT {shown(EVENT)} FROM events WHERE ts > TIMESTAMP '{q.STATE_UNTIL}' - INTERVAL 6 HOURS",

@@ -342,6 +342,13 @@ def dq_results(rules: tuple[Rule, ...]) -> Query:
     return query
 
 
+def dq_result_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Rule counts in the stored shape, without the random id and the time."""
+    counts = quality.rule_counts(quality.classify(dq_input(spark, folder), DQ_RULES, "fail"), DQ_RULES, "fail")
+    stored = quality.rule_results(counts, audit_id="A1", batch_id=BATCH, pipeline_id="P1", evaluated_ts=load_time())
+    return stored.drop("dq_result_id", "evaluated_timestamp")
+
+
 # --- incremental ----------------------------------------------------------------------------
 
 
@@ -612,6 +619,7 @@ QUERIES: dict[str, Query] = {
     "dq_reject_records": dq_reject_records,
     "dq_results": dq_results(DQ_RULES),
     "dq_results_stopped": dq_results(STOPPING_RULES),
+    "dq_result_rows": dq_result_rows,
     "incremental_slice": incremental,
     "incremental_lag": incremental_lag,
     "watermark_bounds": bounds,

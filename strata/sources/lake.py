@@ -2,7 +2,8 @@
 
 Each write goes to fresh folders, and one row appended to the ``versions`` log makes them the
 table's current ones. Readers of the previous version are never overwritten, and a load that
-dies before its log row leaves the table as it was.
+dies before its log row leaves the table as it was. A table should have one writer at a time:
+of two writes that started from the same version, the later one fails.
 
 A table may be kept in parts by one of its columns. A merge into such a table first finds the
 parts it concerns, from the keys alone, and rewrites only those.
@@ -59,6 +60,10 @@ NO_PART = -1
 MAX_PARTS = 50_000
 
 
+class ConcurrentWriteError(RuntimeError):
+    """Another write has made its version current in the meantime."""
+
+
 def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
@@ -103,7 +108,7 @@ class Lake:
     def current(self, name: str) -> Row | None:
         """The log row of a table's current version."""
         versions = self.log("versions", VERSIONS).filter(F.col("table_name") == name)
-        return versions.orderBy(F.col("version").desc(), F.col("committed_at").desc()).first()
+        return versions.orderBy(F.col("version").desc(), "committed_at", "folder").first()
 
     def _load(self, version: Row, parts: Sequence[int] | None = None) -> DataFrame:
         schema = T.StructType.fromJson(json.loads(version["table_schema"]))
@@ -195,6 +200,9 @@ class Lake:
         row = [tuple(version[name] for name in VERSIONS.names[:-1])]
         rows = self.spark.createDataFrame(row, T.StructType(VERSIONS.fields[:-1]))
         self.append_log("versions", VERSIONS, rows.withColumn("committed_at", F.current_timestamp()))
+        current = self.current(version["table_name"])
+        if (current["version"], current["folder"]) != (version["version"], version["folder"]):
+            raise ConcurrentWriteError(f"{version['table_name']}: version {version['version']} is taken")
 
     def overwrite(self, name: str, df: DataFrame, batch_id: str, part_column: str | None = None) -> dict:
         current = self.current(name)

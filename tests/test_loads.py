@@ -19,6 +19,7 @@ from strata.plans.loads import (
 from strata.sources import control
 from strata.sources.control import LoadSpec
 from strata.sources.folders import shared_folder
+from strata.sources.lake import ConcurrentWriteError, Lake
 from strata.streaming.stream import file_stream, stream_silver
 from strata.streaming.watermark import (
     advance_watermarks,
@@ -245,6 +246,19 @@ def test_uniqueness_is_known_only_while_every_write_was_a_merge_on_the_key(spark
     assert not lake.known_unique("t", "id")
 
 
+def test_the_later_of_two_writes_from_one_version_fails(spark, lake):
+    df = spark.createDataFrame([(1, "a")], "id int, v string")
+    lake.create("t", df.schema)
+    start = lake.current("t")
+    lake.merge("t", df, ["id"], "first", compare=None)
+    late = Lake(spark, lake.root)
+    seen = []
+    late.current = lambda name: seen.append(name) or (start if len(seen) == 1 else Lake.current(late, name))
+    with pytest.raises(ConcurrentWriteError, match="version 1 is taken"):
+        late.merge("t", df.withColumn("v", F.lit("z")), ["id"], "second", compare=None)
+    assert rows(lake.read("t")) == [(1, "a")]
+
+
 def test_gold_merges_keep_first_times_and_colliding_keys_apart(spark, lake):
     silver_spec = LoadSpec("S", "s", "SILVER", "b", "customer", "MERGE", ("customer_id",))
     spec = LoadSpec("G", "g", "GOLD", "customer", "gold.dim_customer", "MERGE", ("customer_key",))
