@@ -68,14 +68,19 @@ def joined_digest(*columns: Column) -> Column:
     return F.when(known.isNotNull(), F.sha2(text, 256))
 
 
-def surrogate_key(*columns: Column | str, algorithm: str = "murmur3", null_key: str = "hash") -> Column:
+def surrogate_key(
+    *columns: Column | str, algorithm: str = "murmur3", null_key: str = "hash", as_type: str | None = None
+) -> Column:
     """A non-negative bigint key computed from natural-key columns, so links need no join.
 
     ``murmur3`` gives 31-bit keys; ``xxhash64`` gives 63-bit keys. With ``null_key="hash"``
     an all-NULL natural key gets the hash seed (42) as the key, with ``"null"`` it gets NULL.
-    Both ends of a link must have the same type: 7 as int and 7 as bigint hash differently.
+    Both ends of a link must have the same type, as 7 as int and 7 as bigint hash differently;
+    ``as_type`` casts the natural keys to one type first.
     """
     cols = [column(c) if isinstance(c, str) else c for c in columns]
+    if as_type is not None:
+        cols = [c.cast(as_type) for c in cols]
     if algorithm == "murmur3":
         # Widened before abs, as abs of the smallest int does not fit an int.
         key = F.abs(F.hash(*cols).cast("bigint"))

@@ -142,9 +142,13 @@ def build_gold(
     *,
     key_algorithm: str = "murmur3",
     null_key: str = "hash",
+    key_type: str | None = None,
     load_ts: Column | None = None,
 ) -> DataFrame:
-    """Silver rows plus a gold table's keys, links, calendar keys and stamps."""
+    """Silver rows plus a gold table's keys, links, calendar keys and stamps.
+
+    ``key_type`` names the type natural keys are hashed as, for sources that do not agree.
+    """
     table = target if isinstance(target, GoldTable) else gold_table(target)
     pick = Picker(df)
     moment = F.current_timestamp() if load_ts is None else load_ts
@@ -153,7 +157,8 @@ def build_gold(
         present = [n for n in names if pick.has(n)]
         if not present:
             return None
-        return surrogate_key(pick.first(*present), algorithm=key_algorithm, null_key=null_key)
+        natural = pick.first(*present)
+        return surrogate_key(natural, algorithm=key_algorithm, null_key=null_key, as_type=key_type)
 
     def link(name: str, names: Names) -> Column:
         given = pick.first(name) if pick.has(name) and not table.is_dimension else None

@@ -289,6 +289,7 @@ def gold_load(
     workflow_audit_id: str | None = None,
     key_algorithm: str = "murmur3",
     null_key: str = "hash",
+    key_type: str | None = None,
     exclude: Iterable[str] = (),
     part_column: str | None = None,
     calendar: tuple[str, str] = (DEFAULT_START, DEFAULT_END),
@@ -312,7 +313,12 @@ def gold_load(
             table = gold.gold_table(spec.target_object)
             silver_rows = lake.read(spec.source_object)
             built = gold.build_gold(
-                silver_rows, table, key_algorithm=key_algorithm, null_key=null_key, load_ts=load_ts
+                silver_rows,
+                table,
+                key_algorithm=key_algorithm,
+                null_key=null_key,
+                key_type=key_type,
+                load_ts=load_ts,
             )
             natural = gold.natural_key_name(silver_rows, table)
             keys.append(natural)

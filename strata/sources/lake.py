@@ -68,6 +68,10 @@ def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
+def _schema_of(version: Row) -> T.StructType:
+    return T.StructType.fromJson(json.loads(version["table_schema"]))
+
+
 def part_of(df: DataFrame, name: str) -> Column:
     """The part a row belongs to: a day, a whole number as it is, other values by digest."""
     dtype = df.schema[name].dataType
@@ -111,7 +115,7 @@ class Lake:
         return versions.orderBy(F.col("version").desc(), "committed_at", "folder").first()
 
     def _load(self, version: Row, parts: Sequence[int] | None = None) -> DataFrame:
-        schema = T.StructType.fromJson(json.loads(version["table_schema"]))
+        schema = _schema_of(version)
         folders = [version["folder"]]
         if version["parts"] is not None:
             held = version["parts"]
@@ -205,8 +209,10 @@ class Lake:
             raise ConcurrentWriteError(f"{version['table_name']}: version {version['version']} is taken")
 
     def overwrite(self, name: str, df: DataFrame, batch_id: str, part_column: str | None = None) -> dict:
+        """Replace all rows; an existing table keeps its schema."""
         current = self.current(name)
-        part_column = current["part_column"] if current else part_column
+        if current:
+            df, part_column = align(df, _schema_of(current)), current["part_column"]
         counts = self._commit(name, df, [], batch_id, "OVERWRITE", current, part_column)
         rows = counts["rows_total"]
         return {**counts, "rows_written": rows, "rows_inserted": rows, "rows_updated": 0, "rows_deleted": 0}

@@ -173,6 +173,15 @@ def test_full_and_append(spark, lake):
         silver_load(lake, with_load_type(full, "MERG"), "B5", source=bronze(spark, (1, "a", at(1))))
 
 
+def test_a_full_load_keeps_the_target_schema(spark, lake):
+    schema = T.StructType([T.StructField("row_id", T.LongType()), T.StructField("id", T.LongType()), T.StructField("v", T.StringType())])
+    lake.create("silver.job", schema)
+    full = LoadSpec(**{**SPEC.__dict__, "load_type": "FULL", "watermark_column": None})
+    silver_load(lake, full, "B1", source=bronze(spark, (1, "a", at(1))), options=SilverOptions(exclude=("ROW_ID",)))
+    assert lake.read("silver.job").schema == schema
+    assert rows(lake.read("silver.job")) == [(None, 1, "a")]
+
+
 def test_small_batches_are_broadcast_into_large_targets(spark, lake):
     spec = LoadSpec(**{**SPEC.__dict__, "watermark_column": None})
     base = spark.range(200).select(F.col("id").cast("int"), F.lit("a").alias("v"), F.lit(at(1)).alias("ingestion_timestamp"))

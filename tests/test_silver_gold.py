@@ -149,6 +149,14 @@ def test_null_natural_keys(spark):
     assert wide["service_order_key"] > 2**31
 
 
+def test_links_of_sources_with_other_key_types(spark):
+    ints, longs = spark.sql("SELECT 7 vin"), spark.sql("SELECT 1L service_order_id, 7L vin")
+    for key_type, same in ((None, False), ("string", True), ("bigint", True)):
+        dimension = gold.build_gold(ints, "dim_vehicle", key_type=key_type).first()["vehicle_key"]
+        fact = gold.build_gold(longs, "fact_service_order", key_type=key_type).first()["vehicle_key"]
+        assert (dimension == fact) is same
+
+
 def test_unknown_gold_table_and_missing_key(spark):
     with pytest.raises(ValueError, match="no gold table"):
         gold.build_gold(spark.range(1), "fact_unknown")
