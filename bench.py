@@ -98,6 +98,7 @@ HEADLINE = (
     "gold_row_counts",
     "silver_load_merge",
     "gold_load_merge",
+    "gold_load_incremental",
     "stream_silver",
 )
 

@@ -647,5 +647,6 @@ ORACLES: dict[str, str] = {
     "silver_load_results": SILVER_LOAD_RESULTS,
     "silver_load_watermark": SILVER_LOAD_WATERMARK,
     "gold_load_merge": GOLD_LOAD_MERGE,
+    "gold_load_incremental": GOLD_LOAD_MERGE,
     "stream_silver": STREAM_SILVER,
 }

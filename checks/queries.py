@@ -551,7 +551,11 @@ def silver_load_watermark(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def gold_load_merge(spark: SparkSession, folder: str) -> DataFrame:
+def gold_load_query(incremental: bool) -> Query:
+    return lambda spark, folder: _gold_loads(spark, folder, incremental)
+
+
+def _gold_loads(spark: SparkSession, folder: str, incremental: bool) -> DataFrame:
     """A fact is built from the silver table after each of two silver loads."""
     lake = _lake(spark, "gold")
     silver_spec = spec_for("service_order", "bronze.service_order", control.MERGE, ("service_order_id",))
@@ -560,9 +564,9 @@ def gold_load_merge(spark: SparkSession, folder: str) -> DataFrame:
     )
     orders = raw.service_order(spark, folder)
     silver_load(lake, silver_spec, "B1", source=incremental_slice(orders, "open_timestamp", None, SLICE_HIGH))
-    gold_load(lake, gold_spec, "G1")
+    gold_load(lake, gold_spec, "G1", incremental=incremental)
     silver_load(lake, silver_spec, "B2", source=orders)
-    gold_load(lake, gold_spec, "G2")
+    gold_load(lake, gold_spec, "G2", incremental=incremental)
     return lake.read("fact_service_order").select(
         "service_order_key", "service_order_id", "vehicle_key", "dealer_key", "customer_key", "open_date_key",
         "close_date_key", "total_service_cost", "repeat_repair_count", "silver_batch_id",
@@ -640,6 +644,7 @@ QUERIES: dict[str, Query] = {
     "silver_load_rejects": silver_load_rejects,
     "silver_load_results": silver_load_results,
     "silver_load_watermark": silver_load_watermark,
-    "gold_load_merge": gold_load_merge,
+    "gold_load_merge": gold_load_query(False),
+    "gold_load_incremental": gold_load_query(True),
     "stream_silver": stream_query,
 }

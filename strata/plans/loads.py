@@ -95,8 +95,7 @@ class _Silver:
         if not (incremental and name and find_name(source, name)):
             self.counts["rows_read"] = source.count()
             return source, None, None
-        state = watermark_state(self.lake.log(WATERMARK_LOG, control.PIPELINE_WATERMARK))
-        low = current_watermark(state, self.spec.pipeline_id)
+        low = _watermark(self.lake, self.spec)
         pending = incremental_slice(source, name, low, lag=self.options.watermark_lag)
         rows, high = watermark_bounds(pending, name).first()
         self.counts["rows_read"] = rows
@@ -177,18 +176,6 @@ class _Silver:
                 part_column=self.options.part_column,
             )
 
-    def move_watermark(self, high: str | None, low: str | None) -> None:
-        if high is None:
-            return
-        moment = F.current_timestamp()
-        row = [(self.spec.pipeline_id, self.spec.watermark_column, low, high, self.batch_id, self.audit.audit_id)]
-        moves = self.lake.spark.createDataFrame(
-            row,
-            "pipeline_id string, watermark_column string, previous_watermark string, current_watermark string, "
-            "last_successful_batch_id string, last_successful_audit_id string",
-        ).withColumns({"last_successful_run_timestamp": moment, "updated_timestamp": moment})
-        self.lake.append_log(WATERMARK_LOG, control.PIPELINE_WATERMARK, moves)
-
     def load_staged(self, staged: DataFrame, schema: T.StructType) -> None:
         stop = self.judge(staged)
         self.write_rejects(staged, stop)
@@ -207,11 +194,30 @@ class _Silver:
                 self.counts["rows_duplicated"] = self.counts["rows_read"] - self.counts["rows_written"]
             else:
                 self.load_staged(self.lake.stage(self.spec.target_object, classified), schema)
-            self.move_watermark(high, low)
+            _move_watermark(self.audit, self.spec.watermark_column, low, high)
         self.audit.complete(self.counts, low, high)
         return LoadResult(self.audit.audit_id, self.counts, low, high)
 
 
+def _watermark(lake: Lake, spec: LoadSpec) -> str | None:
+    state = watermark_state(lake.log(WATERMARK_LOG, control.PIPELINE_WATERMARK))
+    return current_watermark(state, spec.pipeline_id)
+
+
+def _move_watermark(audit: RunAudit, name: str | None, low: str | None, high: str | None) -> None:
+    """Append a load's new watermark, when it has one."""
+    if high is None:
+        return
+    moment = F.current_timestamp()
+    row = [(audit.spec.pipeline_id, name, low, high, audit.batch_id, audit.audit_id)]
+    moves = audit.lake.spark.createDataFrame(
+        row,
+        "pipeline_id string, watermark_column string, previous_watermark string, current_watermark string, "
+        "last_successful_batch_id string, last_successful_audit_id string",
+    ).withColumns({"last_successful_run_timestamp": moment, "updated_timestamp": moment})
+    audit.lake.append_log(WATERMARK_LOG, control.PIPELINE_WATERMARK, moves)
+
+
 def _write(
     lake: Lake,
     spec: LoadSpec,
@@ -292,10 +298,15 @@ def gold_load(
     key_type: str | None = None,
     exclude: Iterable[str] = (),
     part_column: str | None = None,
+    incremental: bool = False,
     calendar: tuple[str, str] = (DEFAULT_START, DEFAULT_END),
     load_ts: Column | None = None,
 ) -> LoadResult:
-    """Rebuild a gold table from its whole silver source.
+    """Build a gold table from its silver source.
+
+    By default the whole source is read. With ``incremental=True`` a merge takes only the rows
+    that silver loads have written since the last gold load; the others would be found
+    unchanged. That needs silver loads that follow one another, and unchanged key options.
 
     A merge matches on the surrogate key together with the natural key, so two natural keys
     that share a surrogate key stay two rows. Source keys are checked for repetition, unless
@@ -303,15 +314,25 @@ def gold_load(
     """
     audit = RunAudit(lake, spec, batch_id, workflow_audit_id)
     excluded = tuple(exclude)
+    merges = spec.load_type in (control.MERGE, control.SCD1)
     counts: dict = {}
 
     def body() -> LoadResult:
-        keys, unique = list(spec.primary_key_columns), False
+        keys, unique, low, high = list(spec.primary_key_columns), False, None, None
+        target = lake.find(spec.target_object)
         if spec.target_object.split(".")[-1] == gold.DATE_DIMENSION:
             built = dim_date(lake.spark, *calendar, load_ts)
+            counts["rows_read"] = built.count()
         else:
             table = gold.gold_table(spec.target_object)
             silver_rows = lake.read(spec.source_object)
+            if incremental and merges and find_name(silver_rows, silver.UPDATE_STAMP):
+                low = None if target is None else _watermark(lake, spec)
+                pending = incremental_slice(silver_rows, silver.UPDATE_STAMP, low)
+                counts["rows_read"], high = watermark_bounds(pending, silver.UPDATE_STAMP).first()
+                silver_rows = incremental_slice(silver_rows, silver.UPDATE_STAMP, low, high)
+            else:
+                counts["rows_read"] = silver_rows.count()
             built = gold.build_gold(
                 silver_rows,
                 table,
@@ -323,16 +344,14 @@ def gold_load(
             natural = gold.natural_key_name(silver_rows, table)
             keys.append(natural)
             unique = lake.known_unique(spec.source_object, natural)
-        counts["rows_read"] = built.count()
-        target = lake.find(spec.target_object)
         final = align(built, built.schema if target is None else target.schema, excluded)
         keys = [k for k in keys if find_name(final, k)]
-        if spec.load_type in (control.MERGE, control.SCD1) and not unique:
+        if merges and not unique:
             repeated = repeated_keys(final, keys).limit(5).collect()
             if repeated:
                 raise ValueError(f"{spec.target_object}: source repeats keys, such as {repeated}")
-        counts.update(
-            _write(
+        if counts["rows_read"] or target is None or not merges:
+            written = _write(
                 lake,
                 spec,
                 final,
@@ -343,9 +362,10 @@ def gold_load(
                 rows=counts["rows_read"],
                 part_column=part_column,
             )
-        )
-        audit.complete(counts)
-        return LoadResult(audit.audit_id, counts)
+            counts.update(written)
+        _move_watermark(audit, silver.UPDATE_STAMP, low, high)
+        audit.complete(counts, low, high)
+        return LoadResult(audit.audit_id, counts, low, high)
 
     return _audited(audit, counts, body)
 

@@ -46,6 +46,7 @@ LINEAGE = {
     "record_hash": "source_record_hash",
     "source_file_name": "source_file_name",
 }
+UPDATE_STAMP = "silver_update_timestamp"
 
 
 def _first(name: str, *names: str, dtype: str = "timestamp") -> Derived:
@@ -231,7 +232,7 @@ def stamp(
         {
             "silver_batch_id": F.lit(batch_id),
             "silver_load_timestamp": moment,
-            "silver_update_timestamp": moment,
+            UPDATE_STAMP: moment,
             "is_valid": F.lit(True),
         }
     )

@@ -284,6 +284,25 @@ def test_gold_merges_keep_first_times_and_colliding_keys_apart(spark, lake):
     assert got[2]["updated_timestamp"] == dt.datetime(2026, 1, 2)
 
 
+def test_incremental_gold_ends_like_full_gold(spark, lake):
+    silver_spec = LoadSpec("S", "s", "SILVER", "b", "customer", "MERGE", ("customer_id",))
+    part = LoadSpec("GI", "g", "GOLD", "customer", "inc.dim_customer", "MERGE", ("customer_key",))
+    whole = LoadSpec("GF", "g", "GOLD", "customer", "full.dim_customer", "MERGE", ("customer_key",))
+
+    def load(number, ids, name):
+        people = spark.createDataFrame([(i, name) for i in ids], "customer_id bigint, name string")
+        silver_load(lake, silver_spec, f"B{number}", source=people)
+        gold_load(lake, whole, f"B{number}")
+        return gold_load(lake, part, f"B{number}", incremental=True).counts
+
+    assert load(1, range(40), "a")["rows_read"] == 40
+    second = load(2, [3, 50], "b")
+    assert (second["rows_read"], second["rows_inserted"], second["rows_updated"], second["broadcast"]) == (2, 1, 1, True)
+    assert load(3, [3, 50], "b") == {"rows_read": 0}
+    shown = ("customer_key", "customer_id", "name", "silver_batch_id", "record_hash")
+    assert rows(lake.read("inc.dim_customer"), *shown) == rows(lake.read("full.dim_customer"), *shown)
+
+
 def test_gold_load_refuses_repeated_keys(spark, lake):
     lake.overwrite("customer", spark.sql("SELECT * FROM VALUES (1L), (1L) AS t(customer_id)"), "B")
     spec = LoadSpec("G", "g", "GOLD", "customer", "gold.dim_customer", "MERGE", ("customer_key",))
