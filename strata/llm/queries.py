@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import quality_rules
+from strata.llm import minhash, quality_rules
 from strata.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op7_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     rules = quality_rules.learn_rules(docs, table(spark, sf_dir, "labels"))
@@ -21,6 +25,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op7_circulant_minhash": op7_circulant_minhash,
     "op10_quality_rules": op10_quality_rules,
 }
 
