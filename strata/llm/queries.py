@@ -5,13 +5,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from strata.llm import minhash, quality_rules
+from strata.llm import minhash, quality_rules, suffix_dedup
 from strata.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of each document that stand elsewhere too, and those of them that stand earlier."""
+    spans, later = suffix_dedup.repeated_passages(table(spark, sf_dir, "documents"))
+    return spans.withColumn("kind", F.lit("repeated")).unionByName(later.withColumn("kind", F.lit("later")))
+
+
 def op7_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -25,6 +32,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op7_circulant_minhash": op7_circulant_minhash,
     "op10_quality_rules": op10_quality_rules,
 }

@@ -69,3 +69,33 @@ def repeat_statistics(text: str | None) -> tuple:
             repeated += line in seen
             seen.add(line)
     return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), repeated, len(marked)
+
+
+def repeated_spans(docs: dict, min_words: int) -> tuple[dict, dict]:
+    """Per document the maximal word spans of repeated passages, and of those that stand earlier."""
+    places = defaultdict(list)
+    for d in sorted(docs):
+        w = words(docs[d])
+        for i in range(len(w) - min_words + 1):
+            places[tuple(w[i : i + min_words])].append((d, i))
+
+    def merged(starts: dict) -> dict:
+        out = {}
+        for d, found in starts.items():
+            spans = []
+            for at in sorted(found):
+                if spans and at <= spans[-1][1]:
+                    spans[-1][1] = at + min_words
+                else:
+                    spans.append([at, at + min_words])
+            out[d] = [(a, b - a) for a, b in spans]
+        return out
+
+    twice, later = defaultdict(set), defaultdict(set)
+    for found in places.values():
+        if len(found) > 1:
+            for n, (d, at) in enumerate(sorted(found)):
+                twice[d].add(at)
+                if n:
+                    later[d].add(at)
+    return merged(twice), merged(later)
