@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import minhash, quality_rules, suffix_dedup
+from strata.llm import minhash, phrase_index, quality_rules, suffix_dedup
 from strata.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,10 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.withColumn("kind", F.lit("repeated")).unionByName(later.withColumn("kind", F.lit("later")))
 
 
+def op6_phrase_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_index.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -33,9 +37,41 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op3_suffix_dedup": op3_suffix_dedup,
+    "op6_phrase_index": op6_phrase_index,
     "op7_circulant_minhash": op7_circulant_minhash,
     "op10_quality_rules": op10_quality_rules,
 }
 
 # DuckDB SQL of the queries that SQL can express.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_phrase_index": r"""
+WITH d AS (
+    SELECT doc_id, list_filter(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+    FROM documents),
+b AS (
+    SELECT item_id, list_filter(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+    FROM benchmark WHERE item_id IS NOT NULL),
+starts AS (
+    SELECT item_id, w, least(len(w), 13) AS k, unnest(range(greatest(len(w) - 13, 0) + 1)) AS s
+    FROM b WHERE len(w) > 0),
+test AS (SELECT DISTINCT item_id, k, array_to_string(w[s + 1 : s + k], ' ') AS g FROM starts),
+sizes AS (SELECT DISTINCT k FROM test),
+places AS (SELECT doc_id, w, k, unnest(range(len(w) - k + 1)) AS s FROM d, sizes WHERE len(w) >= k),
+train AS (SELECT doc_id, k, s, array_to_string(w[s + 1 : s + k], ' ') AS g FROM places),
+met AS (SELECT doc_id, item_id, s, k FROM train JOIN test USING (k, g)),
+covered AS (SELECT doc_id, unnest(range(s, s + k)) AS p FROM met),
+hits AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM covered GROUP BY doc_id),
+items AS (
+    SELECT doc_id, count(DISTINCT item_id) AS n_items,
+        string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
+    FROM met GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+    CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+    coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
+""",
+}
