@@ -7,9 +7,11 @@ signature name candidate pairs; each is confirmed on the full sets.
 
 Texts with equal word sequences are one class and enter the search once. Within a bucket no set
 of all pairs is made: members are compared with the bucket's pivot, the member that shares most
-buckets, and only buckets that then still hold several components go on, with more pivots, until
-every pair of members is compared or in one component. So no link between components is lost
-but those no band brings together (2e-6 of the pairs at the threshold itself, fewer above).
+buckets, and only buckets that then still hold several components go on. There, members whose
+shingles are too often theirs alone to be similar to any other are left out (an exact bound), and
+the rest is compared with more and more pivots across components, until every pair that may be
+linked is compared or in one component. So no link between components is lost but those no band
+brings together (4e-7 of the pairs at the threshold itself, fewer above).
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import picked, written
@@ -28,7 +30,7 @@ from strata.llm.words import lists, mix, sequence_hashes, shingles, word_slices
 SHINGLE_WORDS = 5
 BANDS = 20
 BAND_ROWS = 4
-# Pivots of a bucket in the rounds: the number grows by this factor until it covers the bucket.
+# About so many pivots of a bucket in the first round across components, times as many in the next.
 PIVOT_GROWTH = 32
 
 
@@ -145,32 +147,29 @@ def near_duplicates(docs: DataFrame, percent: int = 85, key: str = "doc_id", tex
     links = _compared(inside, pivots, sets, percent)
     links = written(links, "minhash-links")
     roots = written(connected(links), "minhash-roots")
-    tried, upto = 1, 1 + PIVOT_GROWTH
+    pivots, common = PIVOT_GROWTH, None
     while True:
         # Only buckets whose members are still in several components can hold a missing link.
         named = inside.join(roots.withColumnRenamed("node", "k"), "k", "left")
         named = named.withColumn("root", F.coalesce("root", "k"))
-        mixed = (
-            named.groupBy("bucket")
-            .agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-            .filter("lo < hi")
-            .select("bucket")
-        )
-        left = written(named.join(mixed, "bucket").filter(F.col("size") > tried), "minhash-mixed")
+        mixed = named.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi")
+        left = written(named.join(mixed.select("bucket"), "bucket"), "minhash-mixed")
+        if common is None:
+            common = written(_common_parts(left, sets), "minhash-common")
+            left = written(left.join(common, "k"), "minhash-mixed")
+            inside = left.drop("root")
+        left = written(_open_members(left, percent), "minhash-open")
         most = left.agg(F.max("size")).first()[0]
         if most is None:
             break
-        order = Window.partitionBy("bucket").orderBy(F.desc("weight"), F.asc("k"))
-        more = left.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= upto)
-        more = more.filter(F.col("rank") > tried).select(
-            "bucket", F.col("k").alias("b"), F.col("n").alias("nb"), F.col("root").alias("root_b")
-        )
-        found = written(_compared(left, more, sets, percent), "minhash-links")
+        spread = F.greatest(F.floor(F.col("size") / pivots), F.lit(1))
+        chosen = left.filter(F.pmod(F.xxhash64("k", "bucket"), spread) == 0)
+        found = written(_confirmed(_possible(left, chosen, percent), sets, percent), "minhash-links")
         stars = roots.filter("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
         roots = written(connected(stars.unionByName(found)), "minhash-roots")
-        if upto >= most:
+        if pivots >= most:
             break
-        tried, upto = upto, upto * PIVOT_GROWTH
+        pivots *= PIVOT_GROWTH
 
     named = members.select("k", "n", "rep").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
     named = named.select("k", "n", F.coalesce("root", "rep").alias("component_id"))
@@ -184,13 +183,57 @@ def near_duplicates(docs: DataFrame, percent: int = 85, key: str = "doc_id", tex
 
 
 def _compared(inside: DataFrame, pivots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links between members of buckets and the buckets' pivots, in different components so far."""
-    pairs = inside.join(pivots, "bucket").filter("k <> b")
-    if "root_b" in pivots.columns:
-        pairs = pairs.filter("root <> root_b")
+    """Links between members of buckets and the bucket's one pivot."""
     near = 100 * F.least("n", "nb") >= percent * F.greatest("n", "nb")
-    pairs = pairs.filter(near).select(F.greatest("k", "b").alias("a"), F.least("k", "b").alias("b")).distinct()
-    return _confirmed(pairs, sets, percent)
+    pairs = inside.join(pivots, "bucket").filter((F.col("k") != F.col("b")) & near)
+    return _confirmed(_ordered(pairs), sets, percent)
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.greatest("k", "b").alias("a"), F.least("k", "b").alias("b")).distinct()
+
+
+def _common_parts(left: DataFrame, sets: DataFrame) -> DataFrame:
+    """(k, c): of each text's shingles the number that any other text of ``left`` has too.
+
+    Two sets share at most the smaller of their common parts, which bounds their similarity.
+    """
+    mine = sets.join(left.select("k").distinct(), "k", "left_semi")
+    each = mine.select("k", F.explode("shingles").alias("s"))
+    alone = each.groupBy("s").agg(F.count("*").alias("n"), F.min("k").alias("k")).filter("n = 1")
+    alone = alone.groupBy("k").agg(F.count("*").alias("u"))
+    return mine.join(alone, "k", "left").select("k", (F.size("shingles") - F.coalesce("u", F.lit(0))).alias("c"))
+
+
+def _may_link(percent: int):
+    """Whether sets of n and nb shingles with common parts c and cb can be similar enough."""
+    both = F.least("c", "cb", "n", "nb")
+    return 100 * both >= percent * (F.col("n") + F.col("nb") - both)
+
+
+def _open_members(left: DataFrame, percent: int) -> DataFrame:
+    """Members that may still have a link into another component in their bucket.
+
+    They are held against the bucket's distinct (component, set size, common part) only.
+    """
+    kinds = left.select(
+        "bucket", F.col("root").alias("root_b"), F.col("n").alias("nb"), F.col("c").alias("cb")
+    ).distinct()
+    other = (left["bucket"] == kinds["bucket"]) & (F.col("root") != F.col("root_b")) & _may_link(percent)
+    return left.join(kinds, other, "left_semi")
+
+
+def _possible(left: DataFrame, chosen: DataFrame, percent: int) -> DataFrame:
+    """Pairs of members and pivots of a bucket, in different components, that may be linked."""
+    pivots = chosen.select(
+        F.col("bucket").alias("bucket_b"),
+        F.col("k").alias("b"),
+        F.col("root").alias("root_b"),
+        F.col("n").alias("nb"),
+        F.col("c").alias("cb"),
+    )
+    other = (F.col("bucket") == F.col("bucket_b")) & (F.col("root") != F.col("root_b")) & _may_link(percent)
+    return _ordered(left.join(pivots, other))
 
 
 def keep_one(docs: DataFrame, percent: int = 85, key: str = "doc_id", text: str = "text") -> DataFrame:
