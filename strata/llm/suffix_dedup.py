@@ -10,7 +10,7 @@ that holds the position is sorted and compared in the same way, and those found
 into maximal spans.
 
 Sorting deals rows out by (prefix, document, position), so a passage in a third of all documents
-is spread over many tasks; runs that reach over a task's edge are settled by the edges alone.
+is spread over many tasks; runs that reach over a task's edge are settled by each task's first and last row.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -127,37 +128,38 @@ def _passages(min_words: int):
 def _compare_neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Marks the rows of one sorted task.
 
-    ``run``: 0 alone, 1 the first of a run of equal hashes, 2 a later one; ``edge`` marks the rows
-    of the task's first and last run, which may go on in another task.
+    ``run``: 0 alone, 1 the first of a run of equal hashes, 2 a later one. ``edge``: the task's
+    first and last row, whose runs may go on in other tasks.
     """
-    held, seen, first_run = None, None, True
+    part = TaskContext.get().partitionId()
+    held, before = None, None
 
-    def marked(batch: pa.RecordBatch, after: int | None, last: bool) -> pa.RecordBatch:
-        nonlocal seen, first_run
+    def marked(batch: pa.RecordBatch, before: int | None, after: int | None) -> pa.RecordBatch:
         h = batch.column(1).to_numpy()
-        before = np.concatenate([[seen is not None and h[0] == seen], h[1:] == h[:-1]])
-        behind = np.concatenate([h[1:] == h[:-1], [after is not None and h[-1] == after]])
-        run = np.where(before, 2, np.where(behind, 1, 0)).astype(np.int32)
+        same = h[1:] == h[:-1]
+        up = np.concatenate([[before is not None and h[0] == before], same])
+        down = np.concatenate([same, [after is not None and h[-1] == after]])
         edge = np.zeros(len(h), dtype=bool)
-        if first_run:
-            changes = np.flatnonzero(h != (h[0] if seen is None else seen))
-            edge[: changes[0] if len(changes) else len(h)] = True
-            first_run = not len(changes)
-        # A run at the end of a batch may be the task's last; those few rows are settled alike.
-        edge |= h == h[-1]
-        seen = h[-1]
+        edge[0], edge[-1] = before is None, after is None or (len(h) == 1 and before is None)
         return pa.RecordBatch.from_arrays(
-            [*batch.columns, pa.array(run), pa.array(edge)], names=[*batch.schema.names, "run", "edge"]
+            [
+                *batch.columns,
+                pa.array(np.where(up, 2, np.where(down, 1, 0)).astype(np.int32)),
+                pa.array(edge),
+                pa.array(np.full(len(h), part, np.int32)),
+            ],
+            names=[*batch.schema.names, "run", "edge", "part"],
         )
 
     for batch in batches:
         if not batch.num_rows:
             continue
         if held is not None:
-            yield marked(held, batch.column(1)[0].as_py(), False)
+            yield marked(held, before, batch.column(1)[0].as_py())
+            before = held.column(1)[held.num_rows - 1].as_py()
         held = batch
     if held is not None:
-        yield marked(held, None, True)
+        yield marked(held, before, None)
 
 
 def sorted_runs(rows: DataFrame) -> DataFrame:
@@ -169,17 +171,19 @@ def sorted_runs(rows: DataFrame) -> DataFrame:
     """
     dealt = rows.repartitionByRange("h", "k", "at").sortWithinPartitions("h", "k", "at")
     kinds = ", ".join(f"{n} {t}" for n, t in rows.dtypes)
-    runs = written(dealt.mapInArrow(_compare_neighbours, f"{kinds}, run int, edge boolean"), "suffix-runs")
-    # Runs on the edges of tasks and batches: summed up first, a row or so for each batch.
-    edges = runs.filter("edge").groupBy("h").agg(F.count("*").alias("n"), F.min(F.struct("k", "at")).alias("least"))
-    inner = runs.filter("not edge").select("*", (F.col("run") > 0).alias("repeated"), (F.col("run") < 2).alias("first"))
-    outer = runs.filter("edge").join(edges, "h")
-    outer = outer.select(
+    runs = written(
+        dealt.mapInArrow(_compare_neighbours, f"{kinds}, run int, edge boolean, part int"), "suffix-runs"
+    )
+    # Two rows of each task at most.
+    ends = runs.filter("edge").select("h", "part", F.struct("k", "at").alias("place"))
+    ends = ends.groupBy("h").agg(F.countDistinct("part").alias("tasks"), F.min("place").alias("least"))
+    settled = runs.filter("edge").join(ends, "h").select(
         *runs.columns,
-        ((F.col("n") > 1) | (F.col("run") > 0)).alias("repeated"),
+        ((F.col("tasks") > 1) | (F.col("run") > 0)).alias("repeated"),
         ((F.col("k") == F.col("least.k")) & (F.col("at") == F.col("least.at"))).alias("first"),
-    )
-    return inner.unionByName(outer).drop("run", "edge")
+    )
+    inner = runs.filter("not edge").select("*", (F.col("run") > 0).alias("repeated"), (F.col("run") < 2).alias("first"))
+    return inner.unionByName(settled).drop("run", "edge", "part")
 
 
 def repeated_passages(
