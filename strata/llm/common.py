@@ -31,3 +31,10 @@ def picked(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     meet the operator's own.
     """
     return df.select(*(F.col(f"`{theirs}`").alias(own) for own, theirs in columns.items()))
+
+
+def tokenizer_file(name: str) -> str:
+    """Where an installed public tokenizer's file is; the same place on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)

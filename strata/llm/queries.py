@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import minhash, phrase_index, quality_rules, suffix_dedup
-from strata.llm.common import table
+from strata.llm import minhash, packing, phrase_index, quality_rules, suffix_dedup
+from strata.llm.common import table, tokenizer_file
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +27,10 @@ def op7_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_residual_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     rules = quality_rules.learn_rules(docs, table(spark, sf_dir, "labels"))
@@ -39,6 +43,7 @@ QUERIES: dict[str, Query] = {
     "op3_suffix_dedup": op3_suffix_dedup,
     "op6_phrase_index": op6_phrase_index,
     "op7_circulant_minhash": op7_circulant_minhash,
+    "op9_residual_packing": op9_residual_packing,
     "op10_quality_rules": op10_quality_rules,
 }
 
