@@ -66,12 +66,17 @@ def build_index(docs: DataFrame, tests: DataFrame) -> PhraseIndex:
     """``docs`` and ``tests`` have the columns k and t. One pass over the training texts."""
     items = written(terms_at(tests.filter("k IS NOT NULL")).withColumnRenamed("k", "item"), "test-terms")
     vocabulary = items.select("term").distinct()
-    if vocabulary.count() <= BROADCAST_TERMS:
-        vocabulary = F.broadcast(vocabulary)
-    postings = terms_at(docs.filter("k IS NOT NULL")).join(vocabulary, "term", "left_semi").select("term", "k", "at")
+    postings = _of_terms(terms_at(docs.filter("k IS NOT NULL")), vocabulary).select("term", "k", "at")
     return PhraseIndex(written(postings, "postings"), items, _n_words(_split(docs)))
 
 
+def _of_terms(postings: DataFrame, terms: DataFrame) -> DataFrame:
+    """The postings of some (distinct) terms. A counted, small set of terms moves to the postings."""
+    if terms.count() <= BROADCAST_TERMS:
+        terms = F.broadcast(terms)
+    return postings.join(terms, "term", "left_semi")
+
+
 def _test_windows(items: DataFrame, size: int) -> DataFrame:
     """(item, start, n): windows of ``size`` consecutive words; shorter items are one window."""
     lengths = items.groupBy("item").agg(F.count("*").cast("int").alias("words"))
@@ -106,12 +111,13 @@ def _alignments(index: PhraseIndex, size: int) -> DataFrame:
     pairs = one.join(two, ["item", "start"], "left").withColumn("apart", F.col("at2") - F.col("at"))
     # Windows that share both anchors ask for the same alignments.
     asked = pairs.select("item", "at", "term", "term2", "apart").distinct()
-    first = index.postings.withColumnRenamed("at", "place").join(asked, "term")
+    terms = asked.select("term").unionByName(asked.filter("term2 IS NOT NULL").select(F.col("term2").alias("term")))
+    postings = written(_of_terms(index.postings, terms.distinct()), "anchor-postings")
+    first = postings.withColumnRenamed("at", "place").join(asked, "term")
     first = first.select("item", "k", "term2", (F.col("place") + F.col("apart")).alias("place2"), (F.col("place") - F.col("at")).alias("shift"))
     single = first.filter("term2 IS NULL")  # items of one word
-    second = index.postings.select(F.col("term").alias("term2"), "k", F.col("at").alias("place2"))
-    rare = asked.select("term2").distinct()
-    met = first.join(second.join(rare, "term2", "left_semi"), ["term2", "k", "place2"], "left_semi")
+    second = postings.select(F.col("term").alias("term2"), "k", F.col("at").alias("place2"))
+    met = first.join(second, ["term2", "k", "place2"], "left_semi")
     return single.select("item", "k", "shift").unionByName(met.select("item", "k", "shift")).distinct()
 
 
