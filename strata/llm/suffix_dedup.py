@@ -277,3 +277,9 @@ def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS, key: str = "doc
     joined = docs.select(F.col(f"`{key}`").alias("_k"), whole).join(spans, "_k", "left")
     cut = joined.withColumn("_t", _cut(F.col(f"row.`{text}`"), F.col("_spans")))
     return cut.select(*(F.col("_t").alias(text) if c == text else F.col(f"row.`{c}`") for c in docs.columns))
+
+
+def with_length(docs: DataFrame, text: str = "text", n_chars: str = "n_chars") -> DataFrame:
+    """``n_chars`` anew from the text (null for a null text), the columns in their order."""
+    size = F.length(F.col(f"`{text}`")).cast("long").alias(n_chars)
+    return docs.select(*(size if c == n_chars else F.col(f"`{c}`") for c in docs.columns))
