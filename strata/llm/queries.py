@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import minhash, packing, phrase_index, quality_rules, suffix_dedup
+from strata.llm import minhash, packing, phrase_index, quality_rules, simple8b, suffix_dedup
 from strata.llm.common import table, tokenizer_file
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,10 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.withColumn("kind", F.lit("repeated")).unionByName(later.withColumn("kind", F.lit("later")))
 
 
+def op4_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simple8b.round_trip(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+
+
 def op6_phrase_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrase_index.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -41,6 +45,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op3_suffix_dedup": op3_suffix_dedup,
+    "op4_simple8b": op4_simple8b,
     "op6_phrase_index": op6_phrase_index,
     "op7_circulant_minhash": op7_circulant_minhash,
     "op9_residual_packing": op9_residual_packing,
