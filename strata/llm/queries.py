@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import minhash, packing, phrase_index, quality_rules, simple8b, suffix_dedup
+from strata.llm import kd_shards, language, minhash, packing, phrase_index, quality_rules, simple8b, suffix_dedup
 from strata.llm.common import table, tokenizer_file
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_rank_order_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of each document that stand elsewhere too, and those of them that stand earlier."""
     spans, later = suffix_dedup.repeated_passages(table(spark, sf_dir, "documents"))
@@ -23,6 +27,19 @@ def op4_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simple8b.round_trip(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
 
+def op5_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = kd_shards.kd_shards(table(spark, sf_dir, "documents"), shards=24)
+    return found.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op6_phrase_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrase_index.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -44,8 +61,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_rank_order_language": op1_rank_order_language,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_simple8b": op4_simple8b,
+    "op5_kd_shards": op5_kd_shards,
     "op6_phrase_index": op6_phrase_index,
     "op7_circulant_minhash": op7_circulant_minhash,
     "op9_residual_packing": op9_residual_packing,
