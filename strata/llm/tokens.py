@@ -10,13 +10,13 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 
-import numpy as np
-
-MEMO_WORDS = 400_000
+MEMO_WORDS = 500_000
 
 # U+180E counts as white space in some regex engines: no cut is made beside it.
-_ODD_SPACE = re.compile(r"[\s᠎][\s᠎]|^[\s᠎]|[\s᠎]\Z")
+_SPACES = "".join(c for c in map(chr, range(0x3001)) if c.isspace()) + "᠎"
+_ODD_PAIRS = [*{pair for c in _SPACES for pair in (" " + c, c + " ")}]
 _SAFE_SPACE = re.compile(r"(?<=[^\s᠎]) (?=[^\s᠎])")
 
 _tokenizers: dict[str, WordMemo] = {}
@@ -39,45 +39,34 @@ class WordMemo:
         self.first: dict[str, bytes] = {}
         self.rest: dict[str, bytes] = self.first if space == "dropped" else {}
 
-    def _learn(self, known: dict[str, bytes], words: set[str], lead: str) -> dict[str, bytes]:
-        """Ids of the words not known yet; kept for later while there is room."""
-        new = [w for w in words if w not in known]
-        found = self.tokenizer.encode_batch_fast([lead + w for w in new], add_special_tokens=False)
-        ids = {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(new, found)}
+    def _learn(self, known: dict[str, bytes], words: set[str], lead: str) -> list[str]:
+        """Adds the ids of words not known yet; returns those that have no room for longer."""
+        new = list(words.difference(known))
         room = max(0, MEMO_WORDS - len(known))
-        if room >= len(ids):
-            known.update(ids)
-            return known
-        known.update(list(ids.items())[:room])
-        return _Both(known, ids)
+        coded = self.tokenizer.encode_batch_fast([lead + w for w in new], add_special_tokens=False)
+        known.update((w, array("I", e.ids).tobytes()) for w, e in zip(new, coded))
+        return new[room:]
 
     def _parts(self, text: str) -> list[str]:
-        if self.lead and _ODD_SPACE.search(text):
+        if self.lead and (text[0] in _SPACES or text[-1] in _SPACES or any(pair in text for pair in _ODD_PAIRS)):
             return _SAFE_SPACE.split(text)
         return text.split(" ")
 
     def encode(self, texts: list[str | None], group: int = 256) -> list[bytes]:
         out: list[bytes] = []
         for at in range(0, len(texts), group):
-            split = [self._parts(t) if t else [] for t in texts[at : at + group]]
-            first = self._learn(self.first, {p[0] for p in split if p}, "")
-            rest = self._learn(self.rest, {w for p in split for w in p[1:]}, self.lead)
-            for p in split:
-                out.append(first[p[0]] + b"".join([rest[w] for w in p[1:]]) if p else b"")
+            split = [self._parts(t) if t else [""] for t in texts[at : at + group]]
+            heads = [p.pop(0) for p in split]
+            one = self._learn(self.first, set(heads), "")
+            two = self._learn(self.rest, set().union(*split), self.lead)
+            head, rest = self.first.__getitem__, self.rest.__getitem__
+            out += [head(h) + b"".join(map(rest, p)) for h, p in zip(heads, split)]
+            for memo, passing in ((self.first, one), (self.rest, two)):
+                for w in passing:
+                    del memo[w]
         return out
 
 
-class _Both(dict):
-    """Two dictionaries looked up one after the other."""
-
-    def __init__(self, known: dict, more: dict):
-        super().__init__(more)
-        self.known = known
-
-    def __missing__(self, word):
-        return self.known[word]
-
-
 def tokenizer(path: str, space: str) -> WordMemo:
     """This worker's tokenizer for a file, loaded once."""
     if path not in _tokenizers:
