@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import kd_shards, language, minhash, packing, phrase_index, quality_rules, simple8b, suffix_dedup
+from strata.llm import html_cut, kd_shards, language, minhash, packing, phrase_index, quality_rules, simple8b, suffix_dedup, token_rollup
 from strata.llm.common import table, tokenizer_file
+from strata.sources.folders import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +18,16 @@ def op1_rank_order_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
 
+def op2_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals after loading all documents, deleting copies and revising counts; one batch twice."""
+    rollup = token_rollup.TokenRollup(spark, shared_folder(spark, "token-rollup"))
+    batches = token_rollup.corpus_changes(table(spark, sf_dir, "documents"))
+    for batch_id, changes in batches.items():
+        rollup.commit(batch_id, changes)
+    rollup.commit("3-revise", batches["3-revise"])  # a replay
+    return rollup.totals()
+
+
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of each document that stand elsewhere too, and those of them that stand earlier."""
     spans, later = suffix_dedup.repeated_passages(table(spark, sf_dir, "documents"))
@@ -48,6 +59,10 @@ def op7_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_html_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_cut.extract(table(spark, sf_dir, "pages"))
+
+
 def op9_residual_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
@@ -62,17 +77,38 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_rank_order_language": op1_rank_order_language,
+    "op2_token_rollup": op2_token_rollup,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_simple8b": op4_simple8b,
     "op5_kd_shards": op5_kd_shards,
     "op6_phrase_index": op6_phrase_index,
     "op7_circulant_minhash": op7_circulant_minhash,
+    "op8_html_cut": op8_html_cut,
     "op9_residual_packing": op9_residual_packing,
     "op10_quality_rules": op10_quality_rules,
 }
 
 # DuckDB SQL of the queries that SQL can express.
 ORACLES: dict[str, str] = {
+    "op2_token_rollup": r"""
+WITH docs AS (
+    SELECT doc_id, source, lang, coalesce(text, '') AS text,
+        text IS NOT NULL AND doc_id > min(doc_id) OVER (PARTITION BY text) AS is_copy
+    FROM documents),
+lines AS (
+    SELECT doc_id, source, lang, list_aggregate(list_transform(
+        list_filter(list_zip(string_split(text, chr(10)), range(len(string_split(text, chr(10))))),
+            lambda x: list_position(string_split(text, chr(10)), x[1]) = x[2] + 1), lambda x: x[1]),
+        'string_agg', chr(10)) AS text
+    FROM docs WHERE NOT coalesce(is_copy, false)),
+counted AS (
+    SELECT source, lang, 'words-1' AS tokenizer, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS n FROM lines
+    UNION ALL
+    SELECT source, lang, 'marks-1',
+        len(regexp_extract_all(text, '[0-9A-Za-z]+|[^0-9A-Za-z\x20\x09-\x0D]')) FROM lines)
+SELECT source, lang, tokenizer, CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(n) AS BIGINT) AS n_tokens
+FROM counted GROUP BY source, lang, tokenizer
+""",
     "op6_phrase_index": r"""
 WITH d AS (
     SELECT doc_id, list_filter(string_split_regex(
