@@ -147,29 +147,28 @@ def near_duplicates(docs: DataFrame, percent: int = 85, key: str = "doc_id", tex
     links = _compared(inside, pivots, sets, percent)
     links = written(links, "minhash-links")
     roots = written(connected(links), "minhash-roots")
-    pivots, common = PIVOT_GROWTH, None
+    width, known = PIVOT_GROWTH, False
     while True:
         # Only buckets whose members are still in several components can hold a missing link.
         named = inside.join(roots.withColumnRenamed("node", "k"), "k", "left")
         named = named.withColumn("root", F.coalesce("root", "k"))
         mixed = named.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi")
         left = written(named.join(mixed.select("bucket"), "bucket"), "minhash-mixed")
-        if common is None:
-            common = written(_common_parts(left, sets), "minhash-common")
-            left = written(left.join(common, "k"), "minhash-mixed")
-            inside = left.drop("root")
+        if not known:
+            left = written(_with_overlaps(left, pivots.select("bucket", "b"), sets), "minhash-overlaps")
+            inside, known = left.drop("root"), True
         left = written(_open_members(left, percent), "minhash-open")
         most = left.agg(F.max("size")).first()[0]
         if most is None:
             break
-        spread = F.greatest(F.floor(F.col("size") / pivots), F.lit(1))
+        spread = F.greatest(F.floor(F.col("size") / width), F.lit(1))
         chosen = left.filter(F.pmod(F.xxhash64("k", "bucket"), spread) == 0)
         found = written(_confirmed(_possible(left, chosen, percent), sets, percent), "minhash-links")
         stars = roots.filter("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
         roots = written(connected(stars.unionByName(found)), "minhash-roots")
-        if pivots >= most:
+        if width >= most:
             break
-        pivots *= PIVOT_GROWTH
+        width *= PIVOT_GROWTH
 
     named = members.select("k", "n", "rep").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
     named = named.select("k", "n", F.coalesce("root", "rep").alias("component_id"))
@@ -193,31 +192,45 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.greatest("k", "b").alias("a"), F.least("k", "b").alias("b")).distinct()
 
 
-def _common_parts(left: DataFrame, sets: DataFrame) -> DataFrame:
-    """(k, c): of each text's shingles the number that any other text of ``left`` has too.
+def _with_overlaps(left: DataFrame, pivots: DataFrame, sets: DataFrame) -> DataFrame:
+    """Adds to each member ``i``, the shingles it shares with its bucket's pivot, and ``e``, those
+    beyond the pivot's that any other text of ``left`` has too.
 
-    Two sets share at most the smaller of their common parts, which bounds their similarity.
+    Two members share at most the smaller ``i`` and the smaller ``e``, which bounds their
+    similarity; a shingle no other text has can't be shared.
     """
     mine = sets.join(left.select("k").distinct(), "k", "left_semi")
     each = mine.select("k", F.explode("shingles").alias("s"))
-    alone = each.groupBy("s").agg(F.count("*").alias("n"), F.min("k").alias("k")).filter("n = 1")
+    alone = each.groupBy("s").agg(F.count("*").alias("times"), F.min("k").alias("k")).filter("times = 1")
     alone = alone.groupBy("k").agg(F.count("*").alias("u"))
-    return mine.join(alone, "k", "left").select("k", (F.size("shingles") - F.coalesce("u", F.lit(0))).alias("c"))
+    placed = left.join(pivots, "bucket").join(alone, "k", "left")
+    pairs = placed.select("k", "b").distinct()
+    shared = pairs.join(sets.select("k", F.col("shingles").alias("x")), "k").join(
+        sets.select(F.col("k").alias("b"), F.col("shingles").alias("y")), "b"
+    )
+    shared = shared.select("k", "b", F.size(F.array_intersect("x", "y")).alias("i"))
+    whole = placed.join(shared, ["k", "b"]).withColumn("e", F.col("n") - F.coalesce("u", F.lit(0)) - F.col("i"))
+    # For the pivot itself i is its whole set, and nothing lies beyond.
+    return whole.withColumn("e", F.greatest("e", F.lit(0))).drop("b", "u")
 
 
 def _may_link(percent: int):
-    """Whether sets of n and nb shingles with common parts c and cb can be similar enough."""
-    both = F.least("c", "cb", "n", "nb")
+    """Whether sets of n and nb shingles with overlaps i, e and ib, eb can be similar enough."""
+    both = F.least(F.least("i", "ib") + F.least("e", "eb"), F.col("n"), F.col("nb"))
     return 100 * both >= percent * (F.col("n") + F.col("nb") - both)
 
 
 def _open_members(left: DataFrame, percent: int) -> DataFrame:
     """Members that may still have a link into another component in their bucket.
 
-    They are held against the bucket's distinct (component, set size, common part) only.
+    They are held against the bucket's distinct (component, set size, overlaps) only.
     """
     kinds = left.select(
-        "bucket", F.col("root").alias("root_b"), F.col("n").alias("nb"), F.col("c").alias("cb")
+        "bucket",
+        F.col("root").alias("root_b"),
+        F.col("n").alias("nb"),
+        F.col("i").alias("ib"),
+        F.col("e").alias("eb"),
     ).distinct()
     other = (left["bucket"] == kinds["bucket"]) & (F.col("root") != F.col("root_b")) & _may_link(percent)
     return left.join(kinds, other, "left_semi")
@@ -230,7 +243,8 @@ def _possible(left: DataFrame, chosen: DataFrame, percent: int) -> DataFrame:
         F.col("k").alias("b"),
         F.col("root").alias("root_b"),
         F.col("n").alias("nb"),
-        F.col("c").alias("cb"),
+        F.col("i").alias("ib"),
+        F.col("e").alias("eb"),
     )
     other = (F.col("bucket") == F.col("bucket_b")) & (F.col("root") != F.col("root_b")) & _may_link(percent)
     return _ordered(left.join(pivots, other))
