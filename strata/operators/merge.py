@@ -81,8 +81,13 @@ def _same_key(keys: Sequence[str]) -> Column:
     return condition
 
 
-def _changed(cols: MergeColumns, compare: str | None) -> Column:
-    """Whether a matched row differs; NULL on one side only counts as a difference."""
+def _changed(cols: MergeColumns, compare: str | None, order: str | None = None) -> Column:
+    """Whether a matched row differs and isn't older; NULL on one side only counts as a difference."""
+    last = next((c for c in cols.written if order and c.lower() == order.lower()), None)
+    if last is not None:
+        # An unknown place in the order counts as new.
+        older = F.coalesce(column(_PREFIX + last) < column(last), F.lit(False))
+        return ~older & _changed(cols, compare)
     name = next((c for c in cols.written if compare and c.lower() == compare.lower()), None)
     if not cols.written:
         return F.lit(False)
@@ -91,11 +96,13 @@ def _changed(cols: MergeColumns, compare: str | None) -> Column:
     return ~column(name).eqNullSafe(column(_PREFIX + name))
 
 
-def _next_state(joined: DataFrame, target: DataFrame, cols: MergeColumns, compare: str | None) -> DataFrame:
+def _next_state(
+    joined: DataFrame, target: DataFrame, cols: MergeColumns, compare: str | None, order: str | None = None
+) -> DataFrame:
     action = (
         F.when(F.col(_IN_SOURCE).isNull(), KEEP)
         .when(F.col(_IN_TARGET).isNull(), INSERT)
-        .when(_changed(cols, compare), UPDATE)
+        .when(_changed(cols, compare, order), UPDATE)
         .otherwise(NOOP)
     )
     staged = joined.withColumn(ACTION, action)
@@ -127,12 +134,14 @@ def merge_scd1(
     on_duplicate: str = "assume_unique",
     sequence: str | None = None,
     small_source: bool = False,
+    order: str | None = None,
 ) -> DataFrame:
     """The target after the upsert, each row with the action that produced it.
 
     ``compare`` names the column whose difference means "changed"; without it (or when
     either side lacks it) every match updates. ``preserve`` columns keep their first value,
-    ``exclude`` columns are never written. Source keys must be unique: ``on_duplicate="latest"``
+    ``exclude`` columns are never written. With ``order`` a matched row whose value of that column
+    is smaller in the source than in the target is left as it is. Source keys must be unique: ``on_duplicate="latest"``
     makes them so, otherwise the caller has checked it.
 
     By default both sides meet in one full outer join, one shuffle each. ``small_source=True``
@@ -148,7 +157,7 @@ def merge_scd1(
     old = target.withColumn(_IN_TARGET, F.lit(True))
     same_key = _same_key(cols.keys)
     if not small_source:
-        return _next_state(old.join(new, same_key, "full_outer"), target, cols, compare)
+        return _next_state(old.join(new, same_key, "full_outer"), target, cols, compare, order)
 
     new_keys = new.select(*[column(_PREFIX + k) for k in cols.keys])
     old_keys = target.select(*[column(k) for k in cols.keys])
@@ -156,7 +165,7 @@ def merge_scd1(
     hits = old_keys.join(F.broadcast(new_keys), same_key, "left_semi").distinct()
     fresh = new.join(F.broadcast(hits), same_key, "left_anti")
     blanks = [F.lit(None).cast(f.dataType).alias(f.name) for f in old.schema.fields]
-    current = _next_state(old.join(F.broadcast(new), same_key, "left"), target, cols, compare)
+    current = _next_state(old.join(F.broadcast(new), same_key, "left"), target, cols, compare, order)
     added = _next_state(fresh.select(*blanks, "*"), target, cols, compare)
     return current.unionByName(added)
 

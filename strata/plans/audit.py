@@ -32,7 +32,6 @@ COUNTERS = (
     "rows_duplicated",
     "rows_quarantined",
 )
-MAX_MESSAGE, MAX_TRACE, MAX_EVENT = 4000, 8000, 1000
 
 RUN_LOG, WORKFLOW_LOG = "pipeline_run_audit", "workflow_run_audit"
 
@@ -106,8 +105,8 @@ class RunAudit:
             FAILED,
             **{name: counts.get(name, 0) for name in COUNTERS},
             error_code=type(error).__name__,
-            error_message=str(error)[:MAX_MESSAGE],
-            error_stacktrace="".join(traceback.format_exception(error))[:MAX_TRACE],
+            error_message=str(error),
+            error_stacktrace="".join(traceback.format_exception(error)),
         )
 
 
@@ -129,7 +128,7 @@ def event_log(rows: DataFrame) -> DataFrame:
         by_status(
             F.concat(F.lit("Started "), "pipeline_id"),
             F.concat(F.lit("Completed "), "pipeline_id"),
-            F.substring("error_message", 1, MAX_EVENT),
+            F.col("error_message"),
         ).alias("event_message"),
         F.lit(None).cast("string").alias("event_payload"),
         F.col("updated_timestamp").alias("event_timestamp"),
@@ -257,7 +256,7 @@ def fail_workflow(lake: Lake, workflow_audit_id: str, batch_id: str, error: Exce
             "end_timestamp": moment,
             "duration_seconds": F.timestamp_diff("SECOND", F.col("start_timestamp"), moment),
             "error_code": F.lit(type(error).__name__),
-            "error_message": F.lit(str(error)[:MAX_MESSAGE]),
+            "error_message": F.lit(str(error)),
             "updated_timestamp": moment,
         }
     )

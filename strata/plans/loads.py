@@ -7,6 +7,7 @@ once to write a staged, deduplicated and classified copy from which all else is
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, field, replace
 
@@ -75,12 +76,24 @@ class _Silver:
     options: SilverOptions
     audit: RunAudit
     counts: dict = field(default_factory=dict)
+    # Names what this load delivers: the same name again means the same rows, or those and more.
+    delivery: str | None = None
 
     @property
     def keys(self) -> tuple[str, ...]:
         entity = silver.entity_for(self.spec.target_object, self.spec.primary_key_columns)
         return self.spec.primary_key_columns or entity.keys
 
+    @property
+    def delivered(self) -> str | None:
+        """The delivery's name where it is of use: for replays, and tables that can take a try back."""
+        return self.delivery if self.options.replayable or self.lake.takes_deliveries else None
+
+    @property
+    def sequence(self) -> str:
+        name = self.spec.sequence_column
+        return silver.LINEAGE.get(name, name) or silver.LINEAGE["ingestion_timestamp"]
+
     def ids(self) -> dict:
         return {
             "audit_id": self.audit.audit_id,
@@ -92,10 +105,16 @@ class _Silver:
     def bounded(self, source: DataFrame, incremental: bool) -> tuple[DataFrame, str | None, str | None]:
         """The rows to load, with the watermark they start after and the one they reach."""
         name = self.spec.watermark_column
+        if self.options.replayable:
+            self.delivery = json.dumps([self.spec.pipeline_id, self.batch_id])
         if not (incremental and name and find_name(source, name)):
             self.counts["rows_read"] = source.count()
             return source, None, None
+        if self.options.watermark_lag and self.spec.load_type == control.APPEND:
+            raise ValueError(f"{self.spec.pipeline_id}: an append can't take a watermark_lag, it would add rows again")
         low = _watermark(self.lake, self.spec)
+        # Until the watermark moves, each try starts here and reads at least what the last one did.
+        self.delivery = self.delivery or json.dumps([self.spec.pipeline_id, "after", low])
         pending = incremental_slice(source, name, low, lag=self.options.watermark_lag)
         rows, high = watermark_bounds(pending, name).first()
         self.counts["rows_read"] = rows
@@ -112,9 +131,7 @@ class _Silver:
         opts = self.options
         entity = silver.entity_for(self.spec.target_object, self.keys)
         conformed = silver.conform(source, entity, opts.load_ts)
-        sequence = self.spec.sequence_column
-        sequence = silver.LINEAGE.get(sequence, sequence) or silver.LINEAGE["ingestion_timestamp"]
-        latest = latest_per_key(conformed, self.keys, sequence)
+        latest = latest_per_key(conformed, self.keys, self.sequence)
         # Digests are computed after the shuffle, for the surviving rows only.
         stamped = silver.stamp(latest, entity.keys, self.batch_id, opts.load_ts, opts.hash_scope)
         schema, exists = self.target_schema(stamped)
@@ -133,7 +150,7 @@ class _Silver:
             rows = counts.collect()  # one row per rule
             found = self.lake.spark.createDataFrame(rows, counts.schema)
             results = quality.rule_results(found, **self.ids(), evaluated_ts=self.options.load_ts)
-            self.lake.append_log(RESULT_LOG, control.DATA_QUALITY_RESULT, results)
+            self.lake.append_log(RESULT_LOG, control.DATA_QUALITY_RESULT, results, self.delivered)
             staged_rows = rows[0]["evaluated_row_count"]
             failing = {r["rule_position"]: r["failed_row_count"] for r in rows if r["failed_row_count"]}
             stop = next((self.rules[i] for i in sorted(failing) if self.rules[i].stops), None)
@@ -157,7 +174,7 @@ class _Silver:
             **self.ids(),
             rejected_ts=self.options.load_ts,
         )
-        self.lake.append_log(REJECT_LOG, control.REJECTED_RECORD, records)
+        self.lake.append_log(REJECT_LOG, control.REJECTED_RECORD, records, self.delivered)
 
     def write_good(self, staged: DataFrame, schema: T.StructType) -> None:
         cast = "null" if self.options.on_cast_error == "null" else "raise"
@@ -171,7 +188,8 @@ class _Silver:
                 self.keys,
                 self.batch_id,
                 exclude=self.options.exclude,
-                replaces=self.options.replayable,
+                delivery=self.delivered,
+                order=self.sequence if self.spec.sequence_column else None,
                 rows=good,
                 part_column=self.options.part_column,
             )
@@ -227,7 +245,8 @@ def _write(
     *,
     preserve: Sequence[str] = (),
     exclude: Sequence[str] = (),
-    replaces: bool = False,
+    delivery: str | None = None,
+    order: str | None = None,
     rows: int | None = None,
     part_column: str | None = None,
 ) -> dict:
@@ -235,9 +254,11 @@ def _write(
     if spec.load_type == control.FULL:
         return lake.overwrite(spec.target_object, df, batch_id, part_column)
     if spec.load_type == control.APPEND:
-        return lake.append(spec.target_object, df, batch_id, replaces)
+        return lake.append(spec.target_object, df, batch_id, delivery)
     if spec.load_type in (control.MERGE, control.SCD1):
         compare = RECORD_HASH if find_name(df, RECORD_HASH) else None
+        # Only a lake's own merge keeps rows from being replaced by older ones.
+        ordered = {"order": order} if order and lake.takes_deliveries else {}
         return lake.merge(
             spec.target_object,
             df,
@@ -248,6 +269,7 @@ def _write(
             exclude=exclude,
             source_rows=rows,
             part_column=part_column,
+            **ordered,
         )
     raise ValueError(f"unknown load type {spec.load_type!r}; known: {control.LOAD_TYPES}")
 
@@ -305,8 +327,9 @@ def gold_load(
     """Build a gold table from its silver source.
 
     By default the whole source is read. With ``incremental=True`` a merge takes only the rows
-    that silver loads have written since the last gold load; the others would be found
-    unchanged. That needs silver loads that follow one another, and unchanged key options.
+    that silver loads have written since the last gold load, or with the same stamp as its last
+    rows; the others would be found unchanged. That needs silver loads whose stamps don't go
+    back (which silver loads with a stamp of their own check), and unchanged key options.
 
     A merge matches on the surrogate key together with the natural key, so two natural keys
     that share a surrogate key stay two rows. Source keys are checked for repetition, unless
@@ -328,9 +351,11 @@ def gold_load(
             silver_rows = lake.read(spec.source_object)
             if incremental and merges and find_name(silver_rows, silver.UPDATE_STAMP):
                 low = None if target is None else _watermark(lake, spec)
-                pending = incremental_slice(silver_rows, silver.UPDATE_STAMP, low)
+                # Silver loads may share a stamp: rows at the bound are read again, which the
+                # merge finds unchanged.
+                pending = incremental_slice(silver_rows, silver.UPDATE_STAMP, low, inclusive=True)
                 counts["rows_read"], high = watermark_bounds(pending, silver.UPDATE_STAMP).first()
-                silver_rows = incremental_slice(silver_rows, silver.UPDATE_STAMP, low, high)
+                silver_rows = incremental_slice(silver_rows, silver.UPDATE_STAMP, low, high, inclusive=True)
             else:
                 counts["rows_read"] = silver_rows.count()
             built = gold.build_gold(

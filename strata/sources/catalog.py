@@ -21,6 +21,8 @@ from strata.sources.lake import empty_frame
 
 
 class CatalogTables:
+    takes_deliveries = False
+
     def __init__(self, spark: SparkSession, control: str = "control", provider: str | None = None):
         self.spark = spark
         self.control = control
@@ -33,7 +35,12 @@ class CatalogTables:
         found = self.find(f"{self.control}.{name}")
         return empty_frame(self.spark, schema) if found is None else align(found, schema)
 
-    def append_log(self, name: str, schema: T.StructType, rows: DataFrame) -> None:
+    def append_log(self, name: str, schema: T.StructType, rows: DataFrame, delivery: str | None = None) -> None:
+        """Add rows to a log; of a ``delivery`` (a batch that may come again) those not there yet."""
+        known = self.find(f"{self.control}.{name}") if delivery is not None else None
+        if known is not None:
+            ids = ["pipeline_id", "batch_id"]
+            rows = rows.join(known.select(*ids).distinct(), ids, "left_anti")
         self._writer(align(rows, schema)).mode("append").saveAsTable(f"{self.control}.{name}")
 
     def find(self, name: str) -> DataFrame | None:
@@ -66,9 +73,10 @@ class CatalogTables:
     def overwrite(self, name: str, df: DataFrame, batch_id: str, part_column: str | None = None) -> dict:
         return self._save(name, df, "overwrite", "OVERWRITE", part_column)
 
-    def append(self, name: str, df: DataFrame, batch_id: str, replaces: bool = False) -> dict:
-        if replaces:
-            raise ValueError(f"{name}: a stream that may be replayed has to merge into a catalog table")
+    def append(self, name: str, df: DataFrame, batch_id: str, delivery: str | None = None) -> dict:
+        """Add rows. A ``delivery`` that may come again can't be taken back here, so it is refused."""
+        if delivery is not None:
+            raise ValueError(f"{name}: a load that may be tried again has to merge into a catalog table")
         return self._save(name, df, "append", "APPEND")
 
     def merge(

@@ -11,6 +11,7 @@ parts it concerns, from the keys alone, and rewrites only those.
 
 from __future__ import annotations
 
+import hashlib
 import json
 from collections.abc import Sequence
 from uuid import uuid4
@@ -20,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.functions.columns import column
+from strata.functions.columns import column, find_name
 from strata.functions.dates import date_key
 from strata.operators.align import align
 from strata.operators.merge import (
@@ -56,8 +57,6 @@ BROADCAST_RATIO = 10
 PART = "_part"
 TEXT_PARTS = 256
 NO_PART = -1
-# A version's log row names every part, so a column with more distinct values is refused.
-MAX_PARTS = 50_000
 
 
 class ConcurrentWriteError(RuntimeError):
@@ -86,6 +85,9 @@ def part_of(df: DataFrame, name: str) -> Column:
 
 
 class Lake:
+    # An append that is tried again takes the place of the first try.
+    takes_deliveries = True
+
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
@@ -98,14 +100,21 @@ class Lake:
     def log(self, name: str, schema: T.StructType) -> DataFrame:
         """All rows of a log; a log nobody has written to is empty."""
         try:
-            return self.spark.read.schema(schema).parquet(self._log_folder(name))
+            # Deliveries lie in sub-folders of a log.
+            reader = self.spark.read.schema(schema).option("recursiveFileLookup", True)
+            return reader.parquet(self._log_folder(name))
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             return empty_frame(self.spark, schema)
 
-    def append_log(self, name: str, schema: T.StructType, rows: DataFrame) -> None:
-        align(rows, schema).write.mode("append").parquet(self._log_folder(name))
+    def append_log(self, name: str, schema: T.StructType, rows: DataFrame, delivery: str | None = None) -> None:
+        """Add rows to a log. Those of a ``delivery`` take the place of an earlier try of it."""
+        if delivery is None:
+            align(rows, schema).write.mode("append").parquet(self._log_folder(name))
+        else:
+            folder = f"{self._log_folder(name)}/delivery-{hashlib.sha256(delivery.encode()).hexdigest()}"
+            align(rows, schema).write.mode("overwrite").parquet(folder)
 
     # --- reading ----------------------------------------------------------------------
 
@@ -179,11 +188,9 @@ class Lake:
             placed.observe(observation, *counted).drop(ACTION).write.partitionBy(PART).parquet(folder)
             parts = dict(kept or {})
             if observation.get["rows_total"]:
+                # The version's log row names every part: one number and one folder for each.
                 written = self.spark.read.schema(T.StructType().add(PART, T.LongType())).parquet(folder)
-                found = [r[0] for r in written.distinct().limit(MAX_PARTS + 1).collect()]
-                if len(found) + len(parts) > MAX_PARTS:
-                    raise ValueError(f"{name}: {part_column} gives more than {MAX_PARTS} parts")
-                parts |= {p: f"{folder}/{PART}={p}" for p in found}
+                parts |= {r[0]: f"{folder}/{PART}={r[0]}" for r in written.distinct().toLocalIterator()}
         counts = dict(observation.get)
         counts["rows_total"] += kept_rows
         self._record(
@@ -217,11 +224,11 @@ class Lake:
         rows = counts["rows_total"]
         return {**counts, "rows_written": rows, "rows_inserted": rows, "rows_updated": 0, "rows_deleted": 0}
 
-    def append(self, name: str, df: DataFrame, batch_id: str, replaces: bool = False) -> dict:
+    def append(self, name: str, df: DataFrame, batch_id: str, delivery: str | None = None) -> dict:
         """Add rows to the current version, each batch in a folder of its own.
 
-        With ``replaces=True`` a batch that is delivered again takes the place of its first
-        delivery, so a replay adds nothing.
+        Rows of a ``delivery`` take the place of an earlier try of it, so neither a replay nor a
+        retry adds rows twice.
         """
         current = self.current(name)
         if current is None:
@@ -233,7 +240,7 @@ class Lake:
         version = current["version"] + 1
         changed = {"version": version, "unique_key": None, "batch_id": batch_id, "operation": "APPEND"}
         self._record(**{**current.asDict(), **changed})
-        part = batch_id if replaces else uuid4().hex
+        part = hashlib.sha256(delivery.encode()).hexdigest() if delivery else uuid4().hex
         observation = Observation()
         watched = df.observe(observation, F.count(F.lit(1)).alias("rows_written"))
         watched.write.mode("overwrite").parquet(f"{current['folder']}/batch-{part}")
@@ -259,9 +266,12 @@ class Lake:
         exclude: Sequence[str] = (),
         source_rows: int | None = None,
         part_column: str | None = None,
+        order: str | None = None,
     ) -> dict:
         """Upsert ``source``, whose keys must be unique, into a table.
 
+        With ``order`` a row isn't replaced by one whose value of that column is smaller.
+
         The source should be cheap to read twice, such as a written table, as it may be
         measured before it is joined. When it is small, and much smaller than the target, it
         is broadcast, and the target is read without being shuffled. ``part_column`` is how a
@@ -275,6 +285,10 @@ class Lake:
             )
             return {**counts, "rows_deleted": 0, "broadcast": False}
 
+        # The stored types stand, whatever the source's are.
+        stored = _schema_of(current)
+        present = [f for f in stored.fields if find_name(source, f.name)]
+        source = align(source, T.StructType(present))
         rows = source.count() if source_rows is None else source_rows
         small = rows * BROADCAST_RATIO <= current["row_count"] and fits_broadcast(source, rows)
         target, kept, kept_rows = self._load(current), None, 0
@@ -284,7 +298,14 @@ class Lake:
             target = self._load(current, touched)
             kept_rows = current["row_count"] - target.count()
         merged = merge_scd1(
-            target, source, keys, compare=compare, preserve=preserve, exclude=exclude, small_source=small
+            target,
+            source,
+            keys,
+            compare=compare,
+            preserve=preserve,
+            exclude=exclude,
+            small_source=small,
+            order=order,
         )
         empty = current["row_count"] == 0 and current["operation"] != "APPEND"
         unique = keys if empty or current["unique_key"] == [k.lower() for k in keys] else None

@@ -1,13 +1,15 @@
 """Incremental state: how far each load has read its source.
 
 State rows hold watermarks as text, as sources differ in type; bounds are cast back to the
-column's own type, so the range filter reaches the parquet scan.
+column's own type, so the range filter reaches the parquet scan. The text of a point in time
+carries its offset, so it means the same in a session of another time zone.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.functions.columns import column, find_name
 from strata.operators.dedupe import latest_per_key
@@ -27,9 +29,14 @@ def current_watermark(state: DataFrame | None, pipeline_id: str) -> str | None:
 
 
 def incremental_slice(
-    df: DataFrame, name: str, low: object = None, high: object = None, lag: str | None = None
+    df: DataFrame,
+    name: str,
+    low: object = None,
+    high: object = None,
+    lag: str | None = None,
+    inclusive: bool = False,
 ) -> DataFrame:
-    """Rows with ``low < name <= high``.
+    """Rows with ``low < name <= high``; with ``inclusive`` those at ``low`` too.
 
     Without ``low`` (a first load) rows whose watermark is NULL are read too; later loads
     cannot place them and skip them. ``lag`` (an interval such as ``"1 hour"``) moves ``low``
@@ -47,7 +54,7 @@ def incremental_slice(
     if low is None:
         return df if high is None else df.filter(value.isNull() | (value <= bound(high)))
     start = bound(low) if lag is None else bound(low) - F.expr(f"INTERVAL {lag}")
-    sliced = df.filter(value > start)
+    sliced = df.filter(value >= start if inclusive else value > start)
     return sliced if high is None else sliced.filter(value <= bound(high))
 
 
@@ -59,10 +66,17 @@ def watermark_bounds(df: DataFrame, name: str) -> DataFrame:
     """
     return df.agg(
         F.count(F.lit(1)).alias("rows_read"),
-        F.max(column(find_name(df, name))).cast("string").alias("high_watermark"),
+        as_text(F.max(column(find_name(df, name))), df.schema[find_name(df, name)].dataType).alias("high_watermark"),
     )
 
 
+def as_text(value: Column, dtype: T.DataType) -> Column:
+    """A watermark's text; a cast to ``dtype`` gives the value back."""
+    if isinstance(dtype, T.TimestampType):
+        return F.date_format(value, "yyyy-MM-dd HH:mm:ss.SSSSSSXXX")
+    return value.cast("string")
+
+
 def advance_watermarks(state: DataFrame, moves: DataFrame) -> DataFrame:
     """The state after each load's move: known loads shift current to previous.
 
