@@ -298,7 +298,8 @@ def test_incremental_gold_ends_like_full_gold(spark, lake):
     assert load(1, range(40), "a")["rows_read"] == 40
     second = load(2, [3, 50], "b")
     assert (second["rows_read"], second["rows_inserted"], second["rows_updated"], second["broadcast"]) == (41, 1, 1, False)
-    assert load(3, [3, 50], "b") == {"rows_read": 0}
+    third = load(3, [3, 50], "b")  # rows at the bound are read again and found unchanged
+    assert (third["rows_read"], third["rows_inserted"], third["rows_updated"]) == (2, 0, 0)
     shown = ("customer_key", "customer_id", "name", "silver_batch_id", "record_hash")
     assert rows(lake.read("inc.dim_customer"), *shown) == rows(lake.read("full.dim_customer"), *shown)
 
@@ -368,3 +369,25 @@ def test_a_stream_ends_like_a_batch_and_a_replay_adds_nothing(spark, lake, tmp_p
 
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_folder(spark, "x").startswith(spark.sparkContext.getConf().get("spark.checkpoint.dir"))
+
+
+def test_a_delivery_takes_the_place_of_its_first_try(lake, spark):
+    df = spark.range(3)
+    for _ in range(2):
+        lake.append("t", df, "B1", delivery="one")
+        lake.append_log("rejected_record", control.REJECTED_RECORD, spark.createDataFrame([("B1",)], "batch_id string"), "one")
+    lake.append("t", df, "B1", delivery="two")
+    assert lake.read("t").count() == 6
+    assert lake.log("rejected_record", control.REJECTED_RECORD).count() == 1
+
+
+def test_watermark_text_means_the_same_in_another_zone(spark):
+    df = bronze(spark, (1, "a", at(1)))
+    high = watermark_bounds(df, "ingestion_timestamp").first()[1]
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        assert incremental_slice(df, "ingestion_timestamp", high).count() == 0
+        assert incremental_slice(df, "ingestion_timestamp", None, high).count() == 1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
