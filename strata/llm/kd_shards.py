@@ -53,12 +53,12 @@ def _coordinates(rows: DataFrame, numbers: list[str], names: list[str]) -> DataF
 
 
 def _with_nodes(rows: DataFrame, levels: list[list[Node]]) -> DataFrame:
-    """Adds ``node``, the first shard of the row's node, by walking down the levels.
+    """Moves ``node``, the first shard of the row's node, down the levels.
 
     A level's cuts are a row for each split node, fewer than the shards: broadcast.
     """
     spark = rows.sparkSession
-    out = rows.withColumn("node", F.lit(0))
+    out = rows
     for nodes in levels:
         cuts = [(n.first, n.dimension, n.cut, n.first + n.shards // 2) for n in nodes if n.shards > 1]
         table = spark.createDataFrame(cuts, "node int, dimension int, cut long, right int")
@@ -115,7 +115,10 @@ def _split(rows: DataFrame, levels: list[list[Node]], nodes: list[Node]) -> None
 
 
 def assign(rows: DataFrame, shards: int) -> DataFrame:
-    """Adds ``shard`` to rows with ``size``, ``at`` and ``tie`` (a written table: it is read often)."""
+    """Turns ``node``, 0 in all rows, into ``shard``, for rows with ``size``, ``at`` and ``tie``.
+
+    ``rows`` should be a written table: it is read often, and a stored node is a key to join on.
+    """
     levels: list[list[Node]] = []
     nodes = [Node(0, shards)]
     while splitting := [n for n in nodes if n.shards > 1]:
@@ -181,7 +184,8 @@ def kd_shards(
         *name_columns,
     )
     rows = written(rows, "metadata")
-    placed = written(_coordinates(rows, number_columns, name_columns).drop(*number_columns, *name_columns), "placed")
+    placed = _coordinates(rows, number_columns, name_columns).drop(*number_columns, *name_columns)
+    placed = written(placed.withColumn("node", F.lit(0)), "placed")
     if shards is None:
         total = placed.agg(F.sum("size")).first()[0] or 0
         shards = max(1, -(-total // target_bytes))
