@@ -41,7 +41,8 @@ FILE = "shard int, chunk int, first_id long, n_docs int, n_ids long, payload bin
 def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Words of the values (unsigned, 64 bits) and the word each block starts at.
 
-    All blocks are coded side by side: step j writes the j-th word of every block that has one.
+    Step j finds where the j-th word of every block that has one starts; then all words of one
+    selector are filled together.
     """
     n = len(values)
     blocks = -(-n // BLOCK_IDS)
@@ -50,41 +51,62 @@ def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     sizes = np.full(blocks, BLOCK_IDS)
     if n:
         sizes[-1] = n - BLOCK_IDS * (blocks - 1)
-    # For each place the most values that one word starting there can hold; 0: an escape. Past the
-    # block's end everything fits.
-    choice = np.zeros((blocks, BLOCK_IDS), dtype=np.uint8)
-    for selector in range(len(COUNTS), 0, -1):
-        count, width = COUNTS[selector - 1], WIDTHS[selector - 1]
-        wide = np.zeros((blocks, BLOCK_IDS + 1), dtype=np.int32)
-        np.cumsum(grid >> np.uint64(width) != 0, axis=1, out=wide[:, 1:])
-        stop = np.minimum(np.arange(BLOCK_IDS) + count, BLOCK_IDS)
-        choice[wide[:, stop] == wide[:, :-1]] = selector
-    padded = np.concatenate([grid, np.zeros((blocks, max(COUNTS)), dtype=np.uint64)], axis=1)
+    choice = _choices(grid)
+    # The places words start at, for all blocks at once.
     counts = np.array((1, *COUNTS))
     place, rows = np.zeros(blocks, dtype=np.int64), np.arange(blocks)
-    owners, columns = [], []
+    owners, starts = [], []
     while len(rows):
-        selectors = choice[rows, place[rows]]
-        words = selectors.astype(np.uint64) << np.uint64(60)
-        for selector in np.unique(selectors):
-            mine = np.flatnonzero(selectors == selector)
-            if selector:
-                width = np.uint64(WIDTHS[selector - 1])
-                for j in range(COUNTS[selector - 1]):
-                    words[mine] |= padded[rows[mine], place[rows[mine]] + j] << (width * np.uint64(j))
+        here = place[rows]
         owners.append(rows)
-        columns.append(words)
-        escaped = rows[selectors == 0]
-        if len(escaped):
-            owners.append(escaped)
-            columns.append(grid[escaped, place[escaped]])
-        place[rows] += counts[selectors]
+        starts.append(here)
+        place[rows] = here + counts[choice[rows, here]]
         rows = rows[place[rows] < sizes[rows]]
     if not owners:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    owner, words = np.concatenate(owners), np.concatenate(columns)
+    owner, start = np.concatenate(owners), np.concatenate(starts)
     order = np.argsort(owner, kind="stable")
-    return words[order], np.searchsorted(owner[order], np.arange(blocks))
+    owner, start = owner[order], start[order]
+    selectors = choice[owner, start]
+    # An escape takes two words; at: where each word goes.
+    takes = np.where(selectors == 0, 2, 1)
+    at = np.cumsum(takes) - takes
+    words = np.zeros(int(takes.sum()), dtype=np.uint64)
+    padded = np.concatenate([grid, np.zeros((blocks, max(COUNTS)), dtype=np.uint64)], axis=1)
+    for selector in np.unique(selectors):
+        mine = np.flatnonzero(selectors == selector)
+        row, first, to = owner[mine], start[mine], at[mine]
+        if not selector:
+            words[to + 1] = grid[row, first]
+            continue
+        value = np.full(len(mine), selector, dtype=np.uint64) << np.uint64(60)
+        for j in range(COUNTS[selector - 1]):
+            value |= padded[row, first + j] << np.uint64(WIDTHS[selector - 1] * j)
+        words[to] = value
+    return words, at[np.searchsorted(owner, np.arange(blocks))]
+
+
+def _choices(grid: np.ndarray) -> np.ndarray:
+    """For each place the selector that holds the most values from there on; 0 is an escape.
+
+    Past a block's end everything fits. Values are ranked by the narrowest width that holds them,
+    and the greatest rank among c consecutive ones comes from two overlapping shorter runs.
+    """
+    limits = np.array([1 << w for w in WIDTHS], dtype=np.uint64)
+    ranks = np.zeros((len(grid), BLOCK_IDS + max(COUNTS)), dtype=np.uint8)
+    ranks[:, :BLOCK_IDS] = np.searchsorted(limits, grid.reshape(-1), side="right").reshape(grid.shape)
+    choice = np.zeros(grid.shape, dtype=np.uint8)
+    greatest, known = {1: ranks}, 1
+    for selector in range(len(COUNTS), 0, -1):
+        count = COUNTS[selector - 1]
+        if count > known:
+            part = min(c for c in greatest if 2 * c >= count)
+            longer = ranks.copy()
+            step = count - part
+            longer[:, : -step or None] = np.maximum(greatest[part][:, : -step or None], greatest[part][:, step:])
+            greatest[count], known = longer, count
+        choice[greatest[count][:, :BLOCK_IDS] < selector] = selector
+    return choice
 
 
 def decode(words: np.ndarray, offsets: np.ndarray, n: int) -> np.ndarray:

@@ -22,6 +22,14 @@ _SAFE_SPACE = re.compile(r"(?<=[^\s᠎]) (?=[^\s᠎])")
 _tokenizers: dict[str, WordMemo] = {}
 
 
+def _latin(text: str) -> bool:
+    """Whether every character is one byte: then lower case is the same everywhere."""
+    try:
+        return bool(text.encode("latin-1"))
+    except UnicodeEncodeError:
+        return False
+
+
 class WordMemo:
     """A tokenizer of this worker; ``encode`` gives ids as little-endian unsigned 32-bit integers.
 
@@ -36,6 +44,8 @@ class WordMemo:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
         self.lead = {"leads": " ", "dropped": ""}[space]
+        same = [self.tokenizer.encode(c, add_special_tokens=False).ids for c in "Aa"]
+        self.folds = space == "dropped" and same[0] == same[1]  # the tokenizer lower-cases
         self.first: dict[str, bytes] = {}
         self.rest: dict[str, bytes] = self.first if space == "dropped" else {}
 
@@ -50,6 +60,8 @@ class WordMemo:
     def _parts(self, text: str) -> list[str]:
         if self.lead and (text[0] in _SPACES or text[-1] in _SPACES or any(pair in text for pair in _ODD_PAIRS)):
             return _SAFE_SPACE.split(text)
+        if self.folds and _latin(text):
+            text = text.lower()
         return text.split(" ")
 
     def encode(self, texts: list[str | None], group: int = 256) -> list[bytes]:
