@@ -237,8 +237,14 @@ def _open_members(left: DataFrame, percent: int) -> DataFrame:
 
 
 def _possible(left: DataFrame, chosen: DataFrame, percent: int) -> DataFrame:
-    """Pairs of members and pivots of a bucket, in different components, that may be linked."""
+    """Pairs of members and pivots of a bucket, in different components, that may be linked.
+
+    A pair that shares several of the open buckets is looked at in the least of them only.
+    """
+    of_text = left.groupBy("k").agg(F.collect_set("bucket").alias("all"))  # BANDS at most
+    left, chosen = left.join(of_text, "k"), chosen.join(of_text, "k")
     pivots = chosen.select(
+        F.col("all").alias("all_b"),
         F.col("bucket").alias("bucket_b"),
         F.col("k").alias("b"),
         F.col("root").alias("root_b"),
@@ -247,6 +253,7 @@ def _possible(left: DataFrame, chosen: DataFrame, percent: int) -> DataFrame:
         F.col("e").alias("eb"),
     )
     other = (F.col("bucket") == F.col("bucket_b")) & (F.col("root") != F.col("root_b")) & _may_link(percent)
+    other = other & (F.array_min(F.array_intersect("all", "all_b")) == F.col("bucket"))
     return _ordered(left.join(pivots, other))
 
 
