@@ -14,7 +14,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import picked
+from strata.llm.common import picked, written
 
 GROUP = ("source", "lang", "tokenizer")
 AMOUNTS = ("n_docs", "n_tokens")
@@ -101,7 +101,8 @@ def corpus_changes(
     counts = [c for v in VERSIONS for c in (token_count(F.col("t"), v).alias(f"a_{v}"), token_count(lines, v).alias(f"b_{v}"))]
     marked = hashed.select("k", "h", "source", "lang", *counts).join(first, "h", "left")
     copy = F.coalesce(F.col("k") > F.col("first"), F.lit(False))
-    one = marked.withColumn("copy", copy)
+    # Every batch reads the counts: they are taken once.
+    one = written(marked.select("*", copy.alias("copy")).drop("k", "h", "first"), "token-counts")
 
     def batch(before: str | None, after: str | None, kept: DataFrame) -> DataFrame:
         sides = []
