@@ -94,3 +94,39 @@ def test_null_and_repeated_keys_and_empty_table(spark):
     rows = packing.pack(spark.createDataFrame([(None, "a"), (None, None), (1, "b"), (1, "b")], schema), BYTE_BPE).collect()
     assert sorted((r["doc_id"] or 0, r["length"]) for r in rows) == [(0, 1), (0, 2), (1, 2), (1, 2)]
     assert len({r["sequence_id"] for r in rows}) == 1
+
+
+def bins_one_by_one(loads, capacity):
+    """Best fit, an item at a time: the loads of the bins."""
+    bins = []
+    for size in sorted(loads, reverse=True):
+        at = max((i for i, load in enumerate(bins) if load + size <= capacity), key=bins.__getitem__, default=None)
+        if at is None:
+            bins.append(size)
+        else:
+            bins[at] += size
+    return sorted(bins)
+
+
+def test_best_fit_on_counts_is_that_of_the_items():
+    rng = random.Random(6)
+    for _ in range(200):
+        capacity = rng.randrange(4, 60)
+        loads = [rng.randrange(1, capacity + 1) for _ in range(rng.randrange(1, 150))]
+        counts = {size: loads.count(size) for size in set(loads)}
+        runs = packing.best_fit(counts, capacity)
+        assert sorted(load for n, load, _ in runs for _ in range(n)) == bins_one_by_one(loads, capacity)
+        ranks = defaultdict(list)
+        for n, load, held in runs:
+            assert load == sum(size * each for size, _, each, _ in held)
+            for size, first, each, _ in held:
+                ranks[size] += range(first, first + n * each)
+        assert {size: sorted(found) for size, found in ranks.items()} == {size: list(range(n)) for size, n in counts.items()}
+
+
+def test_hot_lengths_of_tasks_all_meet(spark):
+    """12,000 underfull bins of one task, and 12,000 pieces of another that fill them."""
+    df = spark.range(0, 24_000, 1, 2).selectExpr("id doc_id", "IF(id < 12000, 'word word word word', 'word word') text")
+    docs = {r["doc_id"]: r["text"] for r in df.collect()}
+    n, total = held(packing.pack(df, BYTE_BPE, capacity=8).collect(), docs, 8)
+    assert total == 8 * 12_000 and n == 12_000
