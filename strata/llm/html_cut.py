@@ -56,6 +56,11 @@ BOILERPLATE_WORDS = frozenset(
     "sponsor sponsored subscribe subscription teaser toolbar widget".split()
 )
 BOILERPLATE_WORD = -9000
+NEVER_CHARGED = frozenset(["body", "html", "article", "main"])
+# What follows one of these in a class or id tells how the page is laid out, not what the element is.
+STATE_WORDS = frozenset("has is no not with without hide hides show shows enable enabled disable disabled".split())
+# Shares of the page's text outside links from which an article is its chief one, and an element holds nearly all.
+CHIEF_SHARE, WHOLE_SHARE = 0.25, 0.9
 WORD_GAIN, MOST_WORDS = 60, 40  # for each word of the block, up to so many
 SENTENCE_GAIN = 600
 HEADING_GAIN = 600
@@ -84,22 +89,61 @@ class Block:
 class _Open:
     tag: str
     number: int
+    parent: int  # number of the element around it, 0 for none
     score: int
-    total: int  # with those of the elements around it
+    charge: int  # for the words of its ids and classes
     heading: bool
+    own: int = 0  # characters outside links; in the end with those of the elements inside
 
 
-def _evidence(tag: str, attributes: str, inside: list[_Open]) -> int:
-    score = CONTENT_TAGS.get(tag, 0) + BOILERPLATE_TAGS.get(tag, 0)
-    if tag == "header" and any(o.tag == "article" for o in inside):
+def _is_boilerplate(name: str) -> bool:
+    """Whether a class, id or role names boilerplate: cookie-notice does; has-sidebar and entry-header don't."""
+    words = _WORD.findall(name)
+    words = words[: next((i for i, w in enumerate(words) if w in STATE_WORDS), None)]
+    found = BOILERPLATE_WORDS.intersection(words)
+    return bool(found) and not (found == {"header"} and any(w in CONTENT_WORDS for w in words))
+
+
+def _evidence(tag: str, attributes: str, inside: list[_Open]) -> tuple[int, int]:
+    """The score of an element's tag and content words, and the charge for its boilerplate words."""
+    score, charge = CONTENT_TAGS.get(tag, 0) + BOILERPLATE_TAGS.get(tag, 0), 0
+    own_head = tag == "header" and any(o.tag == "article" for o in inside)
+    if own_head:
         score = 0  # an article's own head
     for _, value in _ATTRIBUTE.findall(attributes):
-        words = set(_WORD.findall(value.lower()))
-        if words & BOILERPLATE_WORDS and tag not in ("body", "html", "article", "main"):
-            score += BOILERPLATE_WORD
-        else:
-            score += max((CONTENT_WORDS.get(w, 0) for w in words), default=0)
-    return score
+        value = value.lower()
+        charged = any(_is_boilerplate(name) for name in value.split())
+        charge += BOILERPLATE_WORD * charged
+        if not charged or tag in NEVER_CHARGED:
+            score += max((CONTENT_WORDS.get(w, 0) for w in _WORD.findall(value)), default=0)
+    return score, 0 if own_head else charge
+
+
+def _totals(elements: list[_Open], text: int) -> list[int]:
+    """Each element's evidence with that of the elements around it; ``text``: the page's characters
+    outside links.
+
+    The charge isn't made for an element that holds the page's chief part or nearly all its text. The
+    chief part is the first main element, or else the longest article, unless it is itself named
+    boilerplate (a comment, a teaser) or is but a small part of the page.
+    """
+    for e in reversed(elements[1:]):
+        elements[e.parent].own += e.own
+    chief = next((e for e in elements if e.tag == "main"), None)
+    if not chief:
+        articles = [e for e in elements if e.tag == "article" and not e.charge]
+        chief = max(articles, key=lambda e: e.own, default=None)
+        if chief and chief.own < CHIEF_SHARE * text:
+            chief = None
+    around = set()
+    while chief and chief.number:
+        around.add(chief.number)
+        chief = elements[chief.parent]
+    totals = [0]
+    for e in elements[1:]:
+        waived = e.tag in NEVER_CHARGED or e.number in around or e.own >= max(1, WHOLE_SHARE * text)
+        totals.append(totals[e.parent] + e.score + (0 if waived else e.charge))
+    return totals
 
 
 def blocks(page: str) -> list[Block]:
@@ -107,15 +151,17 @@ def blocks(page: str) -> list[Block]:
     out: list[Block] = []
     stack: list[_Open] = []
     parts: list[str] = []
-    linked, in_link, place, numbers, hidden = 0, False, 0, 0, 0
+    elements = [_Open("", 0, 0, 0, 0, False)]  # by number
+    linked, in_link, place, hidden = 0, False, 0, 0
 
     def flush() -> None:
         nonlocal linked
         text = " ".join("".join(parts).split())
         if text and not hidden:
-            inner = stack[-1] if stack else _Open("", 0, 0, 0, False)
+            inner = stack[-1] if stack else elements[0]
             near = tuple(o.number for o in stack[-3:])
-            out.append(Block(text, near, inner.total, min(linked, len(text)), inner.heading))
+            out.append(Block(text, near, 0, min(linked, len(text)), inner.heading))
+            inner.own += len(text) - out[-1].linked
         parts.clear()
         linked = 0
 
@@ -177,13 +223,15 @@ def blocks(page: str) -> list[Block]:
             close(len(stack) - 1)
         while stack and stack[-1].tag in CLOSED_BY.get(name, ()):
             close(len(stack) - 1)
-        numbers += 1
-        score = HIDDEN_SCORE if _HIDDEN.search(attributes) else _evidence(name, attributes, stack)
+        score, charge = (HIDDEN_SCORE, 0) if _HIDDEN.search(attributes) else _evidence(name, attributes, stack)
         hidden += score == HIDDEN_SCORE
-        around = stack[-1] if stack else None
-        total, heading = (score + around.total, around.heading) if around else (score, False)
-        stack.append(_Open(name, numbers, score, total, heading or name in HEADINGS))
+        around = stack[-1] if stack else elements[0]
+        stack.append(_Open(name, len(elements), around.number, score, charge, around.heading or name in HEADINGS))
+        elements.append(stack[-1])
     flush()
+    totals = _totals(elements, sum(len(b.text) - b.linked for b in out))
+    for block in out:
+        block.score = totals[block.path[-1]] if block.path else 0
     return out
 
 

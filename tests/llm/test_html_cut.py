@@ -45,6 +45,23 @@ def test_article_without_its_surroundings():
     )
 
 
+def test_wrappers_named_after_their_boilerplate():
+    """A word that tells how the page is laid out, or an article's own head, costs the article nothing."""
+    body = "<p>" + "This sentence has seven words in it. " * 6 + "</p>"
+    want = "\n".join(["The title", *[("This sentence has seven words in it. " * 6).strip()] * 2])
+    rest = f'<div class="comments-area"><article class="comment"><p>{"I liked this very much indeed. " * 20}</p></article></div>'
+    article = f'<article><header class="entry-header"><h1>The title</h1></header>{body}{body}</article>'
+    for wrapper in ("site has-sidebar", "layout no-comments", "layout--with-sidebar", "content sidebar-right", "page sidebar"):
+        for kind in ("class", "id", "role"):
+            assert html_cut.main_text(f'<body><div {kind}="{wrapper}">{article}{rest}</div></body>') == want
+            page = f'<body><div {kind}="{wrapper}"><main>{article}</main>{rest}</div></body>'
+            assert html_cut.main_text(page) == want
+    plain = f'<div class="page sidebar"><div><h2>The title</h2>{body}{body}</div></div>'
+    assert html_cut.main_text(f"<body>{plain}</body>") == want
+    for name in ("sidebar", "sidebar-right", "cookie-notice", "widget is-open", "post-comments", "site-header"):
+        assert html_cut.main_text(f'<body>{article}<div class="{name}">{body}</div></body>') == want
+
+
 def test_pages_without_article_tags():
     body = "<p>" + "This is a sentence of the story. " * 5 + "</p>"
     page = f"<div id=menu><a href=a>Home</a> <a href=b>News</a></div><div class=story>{body}{body}</div><div class=footer>End. Of page.</div>"
