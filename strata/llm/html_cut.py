@@ -21,11 +21,14 @@ from pyspark.sql import DataFrame
 from strata.llm.common import picked
 
 # How HTML treats its elements.
-VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-RAW = frozenset("script style noscript template textarea iframe svg math object select title".split())
+VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+# Dropped with all they hold; select is a control of a form.
+RAW = frozenset("script style template textarea iframe select title".split())
+CODE = frozenset(["script", "style"])
+DRAWN = frozenset(["math", "svg"])  # stand in a line of text, with all elements inside
 INLINE = frozenset(
-    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark nobr q rp rt ruby s "
-    "samp small span strike strong sub sup time tt u var wbr".split()
+    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark math nobr object q rp rt ruby s "
+    "samp small span strike strong sub sup svg time tt u var wbr".split()
 )
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # An element that a start tag closes, if it is the innermost open block.
@@ -152,7 +155,8 @@ def blocks(page: str) -> list[Block]:
     stack: list[_Open] = []
     parts: list[str] = []
     elements = [_Open("", 0, 0, 0, 0, False)]  # by number
-    linked, in_link, place, hidden = 0, False, 0, 0
+    linked, in_link, place, hidden, drawn = 0, False, 0, 0, 0
+    endless: set[str] = set()  # elements that have no end tag from here on
 
     def flush() -> None:
         nonlocal linked
@@ -172,6 +176,13 @@ def blocks(page: str) -> list[Block]:
             parts.append(text)
             linked += len(text) if in_link else 0
 
+    def end_of(name: str) -> re.Match[str] | None:
+        """The next end tag of an element; each search that fails is made once."""
+        end = None if name in endless else re.compile(f"</{re.escape(name)}\\s*>", re.I).search(page, place)
+        if not end:
+            endless.add(name)
+        return end
+
     def close(upto: int) -> None:
         nonlocal hidden
         for closed in stack[upto:]:
@@ -193,17 +204,28 @@ def blocks(page: str) -> list[Block]:
             end = page.find(">", at)
             place = len(page) if end < 0 else end + 1
             continue
-        tag = _OPEN.match(page, at)
-        if not tag:  # a tag without an end: the rest of the page is no text
+        tag = _OPEN.match(page, at) if page.find(">", at) >= 0 else None
+        if not tag:  # no tag ends after this: what is left is text
+            add(page[at:])
             break
         place = tag.end()
         closing, name, attributes = tag[1], tag[2].lower(), tag[3]
         if name in RAW:
             if not closing and not attributes.endswith("/"):
-                end = re.compile(f"</{re.escape(name)}\\s*>", re.I).search(page, place)
-                place = len(page) if not end else end.end()
+                end = end_of(name)
+                if end:
+                    place = end.end()
+                elif name in CODE:  # without an end: code up to the next tag
+                    after = _TAG.search(page, place)
+                    place = after.start() if after else len(page)
             continue
-        if name in INLINE:
+        if name in DRAWN and not closing and not attributes.endswith("/"):
+            end = end_of(name)
+            drawn = max(drawn, end.start() if end else 0)
+            if end and _HIDDEN.search(attributes):
+                place = end.end()
+                continue
+        if name in INLINE or at < drawn:
             if name == "a":
                 in_link = not closing
             elif name == "br":

@@ -62,6 +62,26 @@ def test_wrappers_named_after_their_boilerplate():
         assert html_cut.main_text(f'<body>{article}<div class="{name}">{body}</div></body>') == want
 
 
+def test_formulas_fallbacks_and_elements_without_end():
+    words = "words of a sentence that is long enough to stay. " * 4
+    cases = {
+        f"<p>Let <math><mrow><mi>x</mi><mo>=</mo><mn>2</mn></mrow></math> be {words}": f"Let x=2 be {words}",
+        f"<p>See <svg><title>no</title><g><text>this label</text><path d=m /></g></svg> in {words}": f"See this label in {words}",
+        f"<p>One <svg style='display: none'><text>no</text></svg>{words}": f"One {words}",
+        f"<object data=a><param name=b><p>Fallback of {words}</p></object>": f"Fallback of {words}",
+        f"<noscript><p>Plain {words}</p></noscript>": f"Plain {words}",
+        f"<p>One {words}</p><textarea><p>Two {words}</p>": f"One {words}\nTwo {words}",
+        f"<p>One {words}</p><svg><p>Two {words}</p>": f"One {words}\nTwo {words}",
+        f"<p>One {words}</p><script>var x = 1 <p>Two {words}</p>": f"One {words}\nTwo {words}",
+        f"<p>One {words}</p><select><option>a</select><p>Two {words}</p>": f"One {words}\nTwo {words}",
+    }
+    for inner, want in cases.items():
+        got = html_cut.main_text(f"<body><article>{inner}</article></body>")
+        assert got == "\n".join(line.strip() for line in want.split("\n")), inner
+    assert html_cut.main_text(f"<article><p>If a <b then {words}") == f"If a <b then {words}".strip()
+    html_cut.main_text("<title><svg><script>" * 100_000)
+
+
 def test_pages_without_article_tags():
     body = "<p>" + "This is a sentence of the story. " * 5 + "</p>"
     page = f"<div id=menu><a href=a>Home</a> <a href=b>News</a></div><div class=story>{body}{body}</div><div class=footer>End. Of page.</div>"
