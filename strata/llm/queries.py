@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import html_cut, kd_shards, language, minhash, packing, phrase_index, quality_rules, simple8b, suffix_dedup, token_rollup
+from strata.llm import (
+    html_cut,
+    kd_shards,
+    language,
+    minhash,
+    packing,
+    phrase_index,
+    quality_rules,
+    simple8b,
+    source_divergence,
+    suffix_dedup,
+    token_rollup,
+)
 from strata.llm.common import table, tokenizer_file
 from strata.sources.folders import shared_folder
 
@@ -75,6 +87,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.divergences(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_rank_order_language": op1_rank_order_language,
     "op2_token_rollup": op2_token_rollup,
@@ -86,6 +102,7 @@ QUERIES: dict[str, Query] = {
     "op8_html_cut": op8_html_cut,
     "op9_residual_packing": op9_residual_packing,
     "op10_quality_rules": op10_quality_rules,
+    "op13_source_divergence": op13_source_divergence,
 }
 
 # DuckDB SQL of the queries that SQL can express.
@@ -138,5 +155,47 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
     CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
     coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
+""",
+    "op13_source_divergence": r"""
+WITH d AS (
+    SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+    FROM documents),
+w AS (
+    SELECT id, lang, source,
+        unnest(list_filter(string_split_regex(t, '[\x00-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '')) AS term
+    FROM d),
+kept AS (SELECT lang, term FROM w GROUP BY lang, term HAVING count(DISTINCT id) >= 10),
+v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+counts AS (SELECT lang, source, term, count(*) AS n FROM w JOIN kept USING (lang, term) GROUP BY lang, source, term),
+groups AS (SELECT DISTINCT lang, source FROM d),
+total AS (
+    SELECT g.lang, g.source, coalesce(sum(n), 0) AS total
+    FROM groups g LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source GROUP BY g.lang, g.source),
+whole AS (SELECT lang, term, sum(n) AS n FROM counts GROUP BY lang, term),
+whole_total AS (SELECT lang, sum(n) AS total FROM whole GROUP BY lang),
+share AS (
+    SELECT t.lang, t.source, k.term, coalesce(n, 0) AS n,
+        CAST(1 + (CAST(1000000000 AS HUGEINT) * (coalesce(n, 0) + 2)) // (total + 2 * v) AS BIGINT) AS p
+    FROM total t JOIN kept k USING (lang) JOIN v USING (lang)
+        LEFT JOIN counts c ON c.lang = t.lang AND c.source = t.source AND c.term = k.term),
+lang_share AS (
+    SELECT lang, term, CAST(1 + (CAST(1000000000 AS HUGEINT) * (n + 2)) // (total + 2 * v) AS BIGINT) AS q
+    FROM whole JOIN whole_total USING (lang) JOIN v USING (lang)),
+summed AS (
+    SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+    FROM share a JOIN share b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+    GROUP BY a.lang, a.source, b.source),
+found AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0) AS value
+    FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+        LEFT JOIN summed s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+    UNION ALL
+    SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q)
+    FROM share JOIN lang_share USING (lang, term) WHERE n > 0 AND p > q),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM found)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM ranked WHERE part = 'pair' OR rank <= 10
 """,
 }
