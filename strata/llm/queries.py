@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import (
+    collocations,
     html_cut,
     kd_shards,
     language,
@@ -87,6 +88,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_debruijn_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_divergence.divergences(table(spark, sf_dir, "documents"))
 
@@ -102,6 +107,7 @@ QUERIES: dict[str, Query] = {
     "op8_html_cut": op8_html_cut,
     "op9_residual_packing": op9_residual_packing,
     "op10_quality_rules": op10_quality_rules,
+    "op12_debruijn_collocations": op12_debruijn_collocations,
     "op13_source_divergence": op13_source_divergence,
 }
 
@@ -155,6 +161,41 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
     CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
     coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
+""",
+    "op12_debruijn_collocations": r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, list_filter(string_split_regex(unnest(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[.,;:!?\x0A-\x0D]')), '[\x20\x09]+'), lambda x: x <> '') AS w
+    FROM documents),
+sizes AS (SELECT lang, sum(len(w)) AS n FROM pieces GROUP BY lang),
+starts AS (SELECT lang, w, unnest(range(len(w))) AS s FROM pieces),
+grams AS (
+    SELECT lang, k, array_to_string(w[s + 1 : s + k], ' ') AS phrase, w[s + 1 : s + k] AS words
+    FROM starts, (VALUES (1), (2), (3)) AS lengths(k) WHERE s + k <= len(w)),
+f AS (SELECT lang, k, phrase, any_value(words) AS words, count(*) AS a FROM grams GROUP BY lang, k, phrase),
+halves AS (
+    SELECT lang, k, phrase, a, cut, array_to_string(words[1 : cut], ' ') AS le,
+        array_to_string(words[cut + 1 : k], ' ') AS ri
+    FROM (SELECT *, unnest(range(1, k)) AS cut FROM f WHERE k >= 2 AND a >= 10)),
+cuts AS (
+    SELECT h.lang, h.k, h.phrase, h.a, cut, x.a AS l, y.a AS r,
+        (CAST(1000000 AS HUGEINT) * h.a * h.a) // (CAST(x.a AS HUGEINT) * y.a) AS score
+    FROM halves h JOIN f x ON x.lang = h.lang AND x.phrase = h.le JOIN f y ON y.lang = h.lang AND y.phrase = h.ri),
+low AS (
+    SELECT lang, k, phrase, a, arg_min(l, (score, cut)) AS l, arg_min(r, (score, cut)) AS r, min(score) AS score
+    FROM cuts GROUP BY lang, k, phrase, a),
+covering AS (
+    SELECT lang, array_to_string(words[1 : 2], ' ') AS phrase, a FROM f WHERE k = 3 AND a >= 10
+    UNION ALL
+    SELECT lang, array_to_string(words[2 : 3], ' '), a FROM f WHERE k = 3 AND a >= 10),
+most AS (SELECT lang, phrase, max(a) AS most FROM covering GROUP BY lang, phrase),
+ranked AS (
+    SELECT low.*, row_number() OVER (PARTITION BY low.lang ORDER BY score DESC, a DESC, low.phrase) AS rank
+    FROM low LEFT JOIN most ON low.k = 2 AND most.lang = low.lang AND most.phrase = low.phrase
+    WHERE most IS NULL OR 100 * most < 50 * a)
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN sizes USING (lang) WHERE rank <= 2000
 """,
     "op13_source_divergence": r"""
 WITH d AS (

@@ -19,11 +19,11 @@ _RANDOM = np.random.Generator(np.random.PCG64(20240607))
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _BYTE = _RANDOM.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_LOWER = np.arange(256)
-_LOWER[65:91] += 32
-_FOLDED = _BYTE[_LOWER]
-_SPACE = np.zeros(256, dtype=bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+_FOLDED = _BYTE[LOWER]
+SPACE = np.zeros(256, dtype=bool)
+SPACE[[9, 10, 11, 12, 13, 32]] = True
 _STEP = np.uint64(0xD1342543DE82EF95)
 _powers = {int(b): np.ones(1, dtype=np.uint64) for b in (_BASE, _INVERSE, _STEP)}
 
@@ -64,6 +64,12 @@ class Words:
 
 def word_slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[Words]:
     """Words of a column of texts, about ``limit`` bytes of whole texts at a time; null is empty."""
+    for lo, data, offsets in byte_slices(texts, limit):
+        yield words_of(lo, data, offsets)
+
+
+def byte_slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Bytes of consecutive whole texts, about ``limit`` at a time: first row, bytes, places of the texts."""
     texts = texts.fill_null("") if texts.null_count else texts
     wide = pa.types.is_large_string(texts.type)
     buffers = texts.buffers()
@@ -73,14 +79,15 @@ def word_slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[Words]:
     lo = 0
     while lo < len(texts):
         hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + limit, side="right")) - 1)
-        yield _words(lo, data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
+        yield lo, data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
         lo = hi
 
 
-def _words(lo: int, data: np.ndarray, offsets: np.ndarray) -> Words:
+def words_of(lo: int, data: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE) -> Words:
+    """The words of the texts; ``space`` tells for each byte whether it separates words."""
     n = len(data)
     inner = np.zeros(n + 1, dtype=bool)
-    inner[:n] = ~_SPACE[data]
+    inner[:n] = ~space[data]
     after = np.zeros(n + 1, dtype=bool)  # whether the byte before is of the same word
     after[1:] = inner[:n]
     after[offsets] = False
