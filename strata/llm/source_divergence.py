@@ -28,10 +28,10 @@ from strata.llm.common import picked, written
 
 NOT_TERM = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 SCALE_STEPS, SCALE_STEP = 3, 1000  # shares are scaled by 1000^3
-SLICE_BYTES = 8 << 20  # texts counted at a time
-MERGE_ROWS = 400_000  # partial counts a task holds before it hands them on
+SLICE_BYTES = 2 << 20  # texts counted at a time
+MERGE_ROWS = 250_000  # partial counts a task holds before it hands them on
 TERMS_PER_SHARD = 8192
-CELLS = 1 << 21  # numbers of a dense block of a shard
+CELLS = 1 << 18  # numbers of a dense block of a shard
 COUNTS = "lang string, source string, term string, n long, d long"
 FOUND = "lang string, source string, part string, item string, value long"
 
