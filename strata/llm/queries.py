@@ -20,6 +20,7 @@ from strata.llm import (
     source_divergence,
     suffix_dedup,
     token_rollup,
+    toxic_spans,
 )
 from strata.llm.common import table, tokenizer_file
 from strata.sources.folders import shared_folder
@@ -88,6 +89,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_crf_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxic_spans.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op12_debruijn_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
@@ -107,6 +112,7 @@ QUERIES: dict[str, Query] = {
     "op8_html_cut": op8_html_cut,
     "op9_residual_packing": op9_residual_packing,
     "op10_quality_rules": op10_quality_rules,
+    "op11_crf_toxicity": op11_crf_toxicity,
     "op12_debruijn_collocations": op12_debruijn_collocations,
     "op13_source_divergence": op13_source_divergence,
 }
