@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from checks import queries as q
 
 BIG = "4294967296"
@@ -451,7 +453,7 @@ DQ_REJECT_RECORDS = _rejected(
 )
 
 
-def dq_results(rules, null_passes: bool = True) -> str:
+def dq_results(rules, null_passes: bool = True, source: str = DQ_INPUT) -> str:
     def text(v) -> str:
         return "NULL::VARCHAR" if v is None else f"'{v}'"
 
@@ -467,7 +469,7 @@ def dq_results(rules, null_passes: bool = True) -> str:
                    count(*) FILTER (WHERE {failed}) AS failed_row_count
             FROM judged""")
     return f"""
-        WITH judged AS (SELECT *, {_first_failed(rules, null_passes)} AS pos FROM {DQ_INPUT}),
+        WITH judged AS (SELECT *, {_first_failed(rules, null_passes)} AS pos FROM {source}),
         counted AS ({' UNION ALL '.join(parts)})
         SELECT * EXCLUDE (stops), evaluated_row_count - failed_row_count AS passed_row_count,
                CASE WHEN evaluated_row_count > 0 THEN failed_row_count::DOUBLE / evaluated_row_count * 100 ELSE 0.0::DOUBLE END
@@ -482,6 +484,19 @@ DQ_RESULT_ROWS = f"""
            * EXCLUDE (rule_position), NULL::VARCHAR AS sample_failed_records
     FROM ({dq_results(q.DQ_RULES, False)})"""
 
+REFERRING = """(
+    SELECT *, l_suppkey IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0) AS r1,
+        l_partkey IN (SELECT p_partkey FROM part WHERE p_type <> 'ECONOMY') AS r2,
+        (l_orderkey, l_shipdate) IN (SELECT (l_orderkey, l_shipdate) FROM lineitem WHERE l_linenumber % 3 <> 1) AS r3
+    FROM (SELECT * REPLACE (nullif(l_quantity, 50) AS l_quantity, nullif(l_returnflag, 'A') AS l_returnflag,
+                            nullif(l_partkey, 7) AS l_partkey) FROM lineitem))"""
+REFERENCE_RULES = [replace(r, expression=r.rule_id.lower()) if r.refers else r for r in q.REFERENCE_RULES]
+DQ_REFERENTIAL = f"""
+    SELECT {', '.join(q.DQ_SHOWN)}, CASE WHEN pos IS NULL THEN 'PASSED' ELSE 'FAILED' END AS dq_status,
+        {_per_rule(REFERENCE_RULES, lambda r: r.reason)} AS dq_error_message,
+        {_per_rule(REFERENCE_RULES, lambda r: r.rule_id)} AS failed_rule_id
+    FROM (SELECT *, {_first_failed(REFERENCE_RULES)} AS pos FROM {REFERRING})"""
+
 # --- incremental and control ----------------------------------------------------------------
 
 WATERMARK_ADVANCE = f"""
@@ -622,6 +637,8 @@ ORACLES: dict[str, str] = {
     "dq_results": dq_results(q.DQ_RULES),
     "dq_results_stopped": dq_results(q.STOPPING_RULES),
     "dq_result_rows": DQ_RESULT_ROWS,
+    "dq_referential": DQ_REFERENTIAL,
+    "dq_referential_counts": dq_results(REFERENCE_RULES, source=REFERRING),
     "incremental_slice": f"""SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate::VARCHAR AS o_orderdate, o_orderpriority
         FROM orders WHERE o_orderdate > TIMESTAMP '{q.SLICE_LOW}' AND o_orderdate <= TIMESTAMP '{q.SLICE_HIGH}'""",
     "incremental_lag": f"SELECT {shown(EVENT)} FROM events WHERE ts > TIMESTAMP '{q.STATE_UNTIL}' - INTERVAL 6 HOURS",

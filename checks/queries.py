@@ -7,6 +7,7 @@ and random ids are left out.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +21,7 @@ from strata.operators.calendar import calendar_columns, date_range_of
 from strata.operators.dedupe import duplicate_counts, latest_per_key, repeated_keys
 from strata.operators.merge import ACTION, fits_broadcast, merge_action_counts, merge_scd1
 from strata.operators.quality import Rule
+from strata.operators.references import resolve_references
 from strata.plans import gold, silver
 from strata.plans.audit import event_log, latest_runs, run_state, table_counts, workflow_rollup
 from strata.plans.loads import REJECT_LOG, RESULT_LOG, WATERMARK_LOG, SilverOptions, gold_load, silver_load
@@ -342,6 +344,48 @@ def dq_results(rules: tuple[Rule, ...]) -> Query:
     return query
 
 
+REFERENCE_RULES = (
+    DQ_RULES[1],
+    Rule("R1", "Supplier known", None, quality.WARN, "REFERENTIAL", "LOW", 0.0, "l_suppkey", "supplier", "s_suppkey"),
+    Rule("R2", "Part known", None, quality.QUARANTINE, "REFERENTIAL", "HIGH", 0.0, "l_partkey", "part", "p_partkey"),
+    DQ_RULES[4],
+    Rule(
+        "R3", "Order of this day known", None, quality.DROP_RECORD, "REFERENTIAL", "HIGH", 0.0,
+        "l_orderkey, l_shipdate", "order_day", "o_orderkey, day",
+    ),
+)
+
+
+def _reference(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """Reference tables in which some keys are missing, repeated, or of another type."""
+    if name == "part":
+        return raw.table(spark, folder, "part").filter("p_type <> 'ECONOMY'").select(F.col("p_partkey").cast("string"))
+    if name == "order_day":
+        lines = lineitem(spark, folder).filter("l_linenumber % 3 <> 1")
+        return lines.select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_shipdate").alias("day"))
+    suppliers = raw.table(spark, folder, "supplier").filter("s_acctbal > 0")
+    return suppliers.unionByName(suppliers)
+
+
+def _referential(spark: SparkSession, folder: str) -> tuple[DataFrame, list[Rule]]:
+    lines = dq_input(spark, folder).withColumn("l_partkey", F.nullif("l_partkey", F.lit(7)))
+    rows, rules = resolve_references(
+        lines, REFERENCE_RULES, partial(_reference, spark, folder), lambda df: _lake(spark, "missing").stage("missing", df)
+    )
+    return quality.classify(rows, rules), rules
+
+
+def dq_referential(spark: SparkSession, folder: str) -> DataFrame:
+    classified, rules = _referential(spark, folder)
+    good = quality.good_rows(classified).withColumn(quality.FAILED_RULE, F.lit(None).cast("string"))
+    both = good.unionByName(quality.rejected_rows(classified, rules))
+    return both.select(*DQ_SHOWN, "dq_status", "dq_error_message", F.col(quality.FAILED_RULE).alias("failed_rule_id"))
+
+
+def dq_referential_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.rule_counts(*_referential(spark, folder))
+
+
 def dq_result_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Rule counts in the stored shape, without the random id and the time."""
     counts = quality.rule_counts(quality.classify(dq_input(spark, folder), DQ_RULES, "fail"), DQ_RULES, "fail")
@@ -624,6 +668,8 @@ QUERIES: dict[str, Query] = {
     "dq_results": dq_results(DQ_RULES),
     "dq_results_stopped": dq_results(STOPPING_RULES),
     "dq_result_rows": dq_result_rows,
+    "dq_referential": dq_referential,
+    "dq_referential_counts": dq_referential_counts,
     "incremental_slice": incremental,
     "incremental_lag": incremental_lag,
     "watermark_bounds": bounds,

@@ -26,6 +26,7 @@ FAILED = "FAILED"
 REJECT_SEVERITY = "HIGH"
 
 POSITION = "_failed_position"
+ORPHAN = "_orphan_"
 FAILED_RULE = "_failed_rule_id"
 STATUS = "dq_status"
 MESSAGE = "dq_error_message"
@@ -37,15 +38,27 @@ class DataQualityError(ValueError):
 
 @dataclass(frozen=True)
 class Rule:
-    """A row predicate and what to do with rows for which it is false."""
+    """A row predicate and what to do with rows for which it is false.
+
+    A rule with a reference has no predicate of its own: the values of ``column_name`` have to
+    occur in ``reference_column`` of ``reference_object`` (of several columns, named with commas,
+    together); see :mod:`strata.operators.references`.
+    """
 
     rule_id: str
     rule_name: str
-    expression: str | Column
+    expression: str | Column | None
     failure_action: str | None = WARN
     rule_type: str | None = None
     severity: str | None = "CRITICAL"
     threshold_value: float | None = 0.0
+    column_name: str | None = None
+    reference_object: str | None = None
+    reference_column: str | None = None
+
+    @property
+    def refers(self) -> bool:
+        return self.reference_object is not None
 
     @property
     def blocks(self) -> bool:
@@ -57,6 +70,8 @@ class Rule:
 
     @property
     def predicate(self) -> Column:
+        if self.expression is None:
+            raise ValueError(f"{self.rule_id} refers to {self.reference_object}, which was not looked up")
         return F.expr(self.expression) if isinstance(self.expression, str) else self.expression
 
     @property
@@ -64,6 +79,15 @@ class Rule:
         return f"{self.rule_id}: {self.rule_name}"
 
 
+def orphan_flag(index: int) -> str:
+    """The column that is true where the rule at a position found no reference."""
+    return f"{ORPHAN}{index}"
+
+
+def _without_flags(df: DataFrame) -> DataFrame:
+    return df.drop(*(c for c in df.columns if c.startswith(ORPHAN)))
+
+
 def _fails(rule: Rule, null_policy: str) -> Column:
     """True when a row fails the rule; an unknown predicate follows ``null_policy``."""
     if null_policy not in ("pass", "fail"):
@@ -82,7 +106,7 @@ def classify(df: DataFrame, rules: Sequence[Rule], null_policy: str = "pass") ->
 
 def good_rows(classified: DataFrame) -> DataFrame:
     return (
-        classified.filter(F.col(POSITION).isNull())
+        _without_flags(classified.filter(F.col(POSITION).isNull()))
         .withColumns({STATUS: F.lit(PASSED), MESSAGE: F.lit(None).cast("string")})
         .drop(POSITION)
     )
@@ -90,7 +114,7 @@ def good_rows(classified: DataFrame) -> DataFrame:
 
 def rejected_rows(classified: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Rows that failed a blocking rule, each tagged with that rule."""
-    rejected = classified.filter(F.col(POSITION).isNotNull())
+    rejected = _without_flags(classified.filter(F.col(POSITION).isNotNull()))
     if not rules:
         message = rule_id = F.lit(None).cast("string")
     else:

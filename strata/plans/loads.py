@@ -21,6 +21,7 @@ from strata.operators import quality
 from strata.operators.align import align, cast_failures
 from strata.operators.calendar import DEFAULT_END, DEFAULT_START, dim_date
 from strata.operators.dedupe import latest_per_key, repeated_keys
+from strata.operators.references import resolve_references
 from strata.plans import gold, silver
 from strata.plans.audit import RunAudit
 from strata.sources import control
@@ -127,7 +128,8 @@ class _Silver:
             return target.schema, True
         return quality.good_rows(df.withColumn(quality.POSITION, F.lit(None).cast("int"))).schema, False
 
-    def classified(self, source: DataFrame) -> tuple[DataFrame, T.StructType, bool]:
+    def conformed(self, source: DataFrame) -> tuple[DataFrame, T.StructType, bool]:
+        """Latest rows, stamped; with the target's schema and whether it exists."""
         opts = self.options
         entity = silver.entity_for(self.spec.target_object, self.keys)
         conformed = silver.conform(source, entity, opts.load_ts)
@@ -139,7 +141,20 @@ class _Silver:
             fits = ~cast_failures(stamped, schema, opts.exclude)
             rule = quality.Rule("CAST", "Value does not fit the target type", fits, quality.QUARANTINE, "CAST")
             self.rules = [*self.rules, rule]
-        return quality.classify(stamped, self.rules, opts.null_policy), schema, exists
+        return stamped, schema, exists
+
+    def staged(self, stamped: DataFrame) -> DataFrame:
+        """Classified rows whose lineage is cut. Rules with references look up what is staged."""
+        if not any(rule.refers for rule in self.rules):
+            classified = quality.classify(stamped, self.rules, self.options.null_policy)
+            return self.lake.stage(self.spec.target_object, classified)
+        flagged, self.rules = resolve_references(
+            self.lake.stage(self.spec.target_object, stamped),
+            self.rules,
+            self.lake.read,
+            lambda missing: self.lake.stage(f"{self.spec.target_object}.missing", missing),
+        )
+        return quality.classify(flagged, self.rules, self.options.null_policy)
 
     def judge(self, staged: DataFrame) -> quality.Rule | None:
         """Count and record what the rules found; gives the rule that stops the load, if any."""
@@ -204,14 +219,14 @@ class _Silver:
     def run(self, source: DataFrame, incremental: bool) -> LoadResult:
         rows, low, high = self.bounded(source, incremental)
         if self.counts["rows_read"] or self.spec.load_type == control.FULL:
-            classified, schema, exists = self.classified(rows)
+            stamped, schema, exists = self.conformed(rows)
             if not self.rules and (self.spec.load_type in (control.FULL, control.APPEND) or not exists):
                 # Nothing to judge and one output: written straight through.
                 self.counts["_good"] = self.counts["rows_read"]
-                self.write_good(classified, schema)
+                self.write_good(quality.classify(stamped, [], self.options.null_policy), schema)
                 self.counts["rows_duplicated"] = self.counts["rows_read"] - self.counts["rows_written"]
             else:
-                self.load_staged(self.lake.stage(self.spec.target_object, classified), schema)
+                self.load_staged(self.staged(stamped), schema)
             _move_watermark(self.audit, self.spec.watermark_column, low, high)
         self.audit.complete(self.counts, low, high)
         return LoadResult(self.audit.audit_id, self.counts, low, high)

@@ -40,7 +40,7 @@ def test_a_first_merge_creates_and_a_second_needs_row_level_operations(spark, ta
 
 
 def test_a_replayable_append_is_refused(spark, tables):
-    with pytest.raises(ValueError, match="replayed"):
+    with pytest.raises(ValueError, match="tried again"):
         silver_load(
             tables,
             with_load_type(SPEC, "APPEND"),
