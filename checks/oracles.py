@@ -453,10 +453,11 @@ DQ_REJECT_RECORDS = _rejected(
 )
 
 
-def dq_results(rules, null_passes: bool = True, source: str = DQ_INPUT) -> str:
+def dq_results(rules, null_passes: bool = True, source: str = DQ_INPUT, thresholds: bool = False) -> str:
     def text(v) -> str:
         return "NULL::VARCHAR" if v is None else f"'{v}'"
 
+    over = "failed_row_count * 100.0 > threshold_value * evaluated_row_count" if thresholds else "failed_row_count > 0"
     parts = []
     for i, r in enumerate(rules):
         failed = f"pos = {i}" if r.blocks else f"(pos IS NULL OR pos >= {i}) AND NOT coalesce({r.expression}, {str(null_passes).lower()})"
@@ -464,7 +465,7 @@ def dq_results(rules, null_passes: bool = True, source: str = DQ_INPUT) -> str:
         parts.append(f"""
             SELECT {i} AS rule_position, {text(r.rule_id)} AS rule_id, {text(r.rule_name)} AS rule_name,
                    {text(r.rule_type)} AS rule_type, {text(r.severity)} AS severity,
-                   {text(r.failure_action)} AS failure_action, 0.0::DOUBLE AS threshold_value, {stops} AS stops,
+                   {text(r.failure_action)} AS failure_action, {r.threshold_value}::DOUBLE AS threshold_value, {stops} AS stops,
                    count(*) FILTER (WHERE pos IS NULL OR pos >= {i}) AS evaluated_row_count,
                    count(*) FILTER (WHERE {failed}) AS failed_row_count
             FROM judged""")
@@ -474,9 +475,9 @@ def dq_results(rules, null_passes: bool = True, source: str = DQ_INPUT) -> str:
         SELECT * EXCLUDE (stops), evaluated_row_count - failed_row_count AS passed_row_count,
                CASE WHEN evaluated_row_count > 0 THEN failed_row_count::DOUBLE / evaluated_row_count * 100 ELSE 0.0::DOUBLE END
                    AS failure_percentage,
-               CASE WHEN failed_row_count > 0 THEN 'FAILED' ELSE 'PASSED' END AS rule_status
+               CASE WHEN {over} THEN 'FAILED' ELSE 'PASSED' END AS rule_status
         FROM counted
-        WHERE rule_position <= coalesce((SELECT min(rule_position) FROM counted WHERE stops AND failed_row_count > 0), 1000)"""
+        WHERE rule_position <= coalesce((SELECT min(rule_position) FROM counted WHERE stops AND {over}), 1000)"""
 
 
 DQ_RESULT_ROWS = f"""
@@ -512,9 +513,27 @@ WATERMARK_ADVANCE = f"""
 
 CONFIG = """(SELECT CASE p_type WHEN 'ECONOMY' THEN 'PL_GOLD_' WHEN 'STANDARD' THEN 'PL_OTHER_' ELSE 'PL_SILVER_' END || p_partkey
                     AS pipeline_id, p_brand AS pipeline_group, p_name AS source_object, 't_' || p_name AS target_object,
-                    p_size AS execution_order, p_retailprice > 1000 AS is_active FROM part)"""
+                    p_size AS execution_order, p_size % 3 <> 0 AS is_active FROM part)"""
 SHIPPED = "(pipeline_id LIKE 'PL_SILVER_%' OR pipeline_id LIKE 'PL_GOLD_%')"
 
+def _other(name: str) -> str:
+    return f"NOT (starts_with({name}, 'PL_SILVER_') OR starts_with({name}, 'PL_GOLD_'))"
+
+
+CONTROL_RESET = f"""
+    WITH c AS (SELECT * FROM {CONFIG}),
+    dependency AS (
+        SELECT CASE WHEN execution_order % 2 = 0 THEN source_object ELSE pipeline_id END AS parent,
+            CASE WHEN execution_order % 5 = 0 THEN pipeline_id ELSE source_object END AS child FROM c)
+    SELECT 'pipeline_config' AS table_name, pipeline_id AS id, pipeline_group AS detail FROM c WHERE {_other('pipeline_id')}
+    UNION ALL SELECT 'pipeline_config', pipeline_id, 'RESET' FROM c WHERE is_active
+    UNION ALL SELECT 'data_quality_rule', pipeline_id, source_object FROM c WHERE execution_order > 20 AND {_other('pipeline_id')}
+    UNION ALL SELECT 'data_quality_rule', pipeline_id, 'NEW' FROM c WHERE execution_order > 40 AND is_active
+    UNION ALL SELECT 'pipeline_parameter', pipeline_id, execution_order::VARCHAR FROM c
+        WHERE execution_order <= 30 AND {_other('pipeline_id')}
+    UNION ALL SELECT 'pipeline_dependency', parent, child FROM dependency WHERE {_other('parent')} AND {_other('child')}
+    UNION ALL SELECT 'pipeline_watermark', pipeline_id, execution_order::VARCHAR FROM c WHERE {_other('pipeline_id')}"""
+
 RUNS = """(
     SELECT ts::DATE::VARCHAR || '/' || user_id AS audit_id, 'W-' || ts::DATE AS workflow_audit_id, ts::DATE::VARCHAR AS batch_id,
            'PL_' || user_id AS pipeline_id,
@@ -568,6 +587,9 @@ WRITE_FULL = f"SELECT {ORDER_COLUMNS}, silver_batch_id, 'PASSED' AS dq_status FR
 WRITE_APPEND = f"SELECT {ORDER_COLUMNS}, {SECOND_BATCH} AS silver_batch_id FROM ({ORDERS})"
 
 
+CONTROL_RESET_LOAD = f"{WRITE_APPEND} UNION ALL SELECT {ORDER_COLUMNS}, 'B3' AS silver_batch_id FROM ({ORDERS})"
+
+
 def _job_slice(condition: str, batch: str) -> str:
     return silver("repair_job", condition, batch, ["completed_timestamp"])
 
@@ -581,6 +603,8 @@ SILVER_LOAD_MERGE = f"""
     SELECT {JOB_COLUMNS}, 'PASSED' AS dq_status
     FROM (SELECT * FROM ({FIRST_JOBS}) WHERE labor_hours >= 2) o
     FULL JOIN (SELECT * FROM ({LATER_JOBS}) WHERE labor_hours >= 2) n ON o.repair_job_id = n.repair_job_id"""
+DQ_THRESHOLD_LOAD = f"""
+    SELECT {', '.join(q.MERGED)}, 'PASSED' AS dq_status FROM ({_job_slice('true', 'B1')}) WHERE labor_hours >= 2"""
 BOTH_LOADS = f"(SELECT 'B1' AS batch_id, * FROM ({FIRST_JOBS}) UNION ALL SELECT 'B2', * FROM ({LATER_JOBS}))"
 SILVER_LOAD_REJECTS = f"""
     SELECT batch_id, repair_job_id, 'HOURS: At least two hours' AS rejection_reason
@@ -601,6 +625,47 @@ GOLD_LOAD_MERGE = f"""
            {date_key('s.open_date')} AS open_date_key, NULL::INTEGER AS close_date_key, s.total_service_cost,
            s.repeat_repair_count, {SECOND_BATCH} AS silver_batch_id
     FROM ({ORDERS}) s"""
+MERGE_HISTORY = """
+    WITH v AS (SELECT o_custkey::BIGINT AS vin, date_trunc('month', o_orderdate) AS month, o_orderkey::BIGINT AS id,
+                      o_totalprice AS labor_cost FROM orders WHERE o_orderkey % 3 < 2),
+    last AS (SELECT * FROM v QUALIFY row_number() OVER (PARTITION BY vin, month ORDER BY id % 3 DESC, id DESC) = 1)
+    SELECT vin, month::TIMESTAMP::VARCHAR AS effective_from, id AS service_order_id, labor_cost,
+           (lead(month) OVER w)::TIMESTAMP::VARCHAR AS effective_to, lead(month) OVER w IS NULL AS is_current
+    FROM last WINDOW w AS (PARTITION BY vin ORDER BY month)"""
+SURROGATE_COLLISIONS = f"""
+    WITH ids AS (SELECT (l_orderkey * 10 + l_linenumber)::BIGINT AS id,
+                        min(CASE WHEN l_shipdate <= TIMESTAMP '{q.FIRST_UNTIL}' THEN 1 ELSE 2 END) AS load FROM lineitem GROUP BY 1),
+    based AS (SELECT id, load, ({key('id')}) % {1 << q.COLLIDING_BITS} AS base FROM ids),
+    keyed AS (SELECT id, base + (row_number() OVER (PARTITION BY base ORDER BY load, id) - 1) * {1 << q.COLLIDING_BITS} AS k FROM based)
+    SELECT id AS part_consumption_id, l_partkey::BIGINT AS part_id, k::BIGINT AS repair_job_key
+    FROM lineitem JOIN keyed ON id = l_orderkey * 10 + l_linenumber"""
+
+# A group's loads: orders, jobs of which short ones are rejected, breakdowns that stop at a code of three or more.
+LOADED = f"""(
+    SELECT 'PL_ORDER' AS pipeline_id, 1 AS place, (SELECT count(*) FROM orders) AS n_read,
+           (SELECT count(DISTINCT o_orderkey) FROM orders) AS n_kept, 0 AS n_bad
+    UNION ALL
+    SELECT 'PL_JOB', 2, (SELECT count(*) FROM lineitem), count(*), count(*) FILTER (WHERE labor_hours < 2)
+    FROM ({_job_slice('true', 'B1')})
+    UNION ALL
+    SELECT 'PL_BREAKDOWN', 3, count(*), count(DISTINCT event_id), count(DISTINCT event_id) FILTER (WHERE event_id % 7 + 1 >= 3)
+    FROM events WHERE event_type = 'error')"""
+GROUP_RUN = f"""
+    SELECT CASE pipeline_id WHEN 'PL_ORDER' THEN 'service_order' WHEN 'PL_JOB' THEN 'repair_job' ELSE 'breakdown' END AS table_name,
+           CASE WHEN place = 3 THEN 0 ELSE n_kept - n_bad END AS row_count FROM {LOADED}
+    UNION ALL SELECT 'dealer', 0"""
+LOAD_AUDIT = f"""
+    SELECT pipeline_id, CASE WHEN place = 3 THEN 'FAILED' ELSE 'SUCCESS' END AS run_status, n_read AS rows_read,
+           CASE WHEN place = 3 THEN 0 ELSE n_kept - n_bad END::BIGINT AS rows_inserted, 0::BIGINT AS rows_updated,
+           n_bad::BIGINT AS rows_rejected, (n_read - n_kept)::BIGINT AS rows_duplicated,
+           CASE WHEN place = 3 THEN 'DataQualityError' END AS error_code
+    FROM {LOADED}"""
+WORKFLOW_COMPLETED = f"""
+    SELECT 'nightly' AS workflow_name, 'B1' AS batch_id, 'MANUAL' AS trigger_type, 'FAILED' AS run_status, count(*) AS total_pipelines,
+           count(*) FILTER (WHERE place < 3) AS successful_pipelines, 1::BIGINT AS failed_pipelines,
+           count(*) FILTER (WHERE place < 3 AND n_bad > 0) AS warning_pipelines, sum(n_read)::BIGINT AS total_rows_read,
+           (sum(n_kept - n_bad) FILTER (WHERE place < 3))::BIGINT AS total_rows_inserted, sum(n_bad)::BIGINT AS total_rows_rejected
+    FROM {LOADED}"""
 STREAM_SILVER = f"""
     SELECT usage_id, vin, usage_date, ts::VARCHAR AS ts, event_id, distance_km, business_key_hash, record_hash
     FROM ({silver('vehicle_daily_usage', first=['ts'])})"""
@@ -629,6 +694,9 @@ ORACLES: dict[str, str] = {
     "merge_scd1": merged(ACTION),
     "merge_measured": merged(ACTION),
     "merge_preserving": MERGE_PRESERVING,
+    "merge_bucketed": merged(ACTION),
+    "merge_history": MERGE_HISTORY,
+    "surrogate_collisions": SURROGATE_COLLISIONS,
     "merge_actions": f"SELECT {ACTION} AS action, count(*) AS row_count FROM {PAIRS} GROUP BY 1",
     "dq_good": dq_good(True),
     "dq_good_strict": dq_good(False),
@@ -637,6 +705,8 @@ ORACLES: dict[str, str] = {
     "dq_results": dq_results(q.DQ_RULES),
     "dq_results_stopped": dq_results(q.STOPPING_RULES),
     "dq_result_rows": DQ_RESULT_ROWS,
+    "dq_threshold": dq_results(q.THRESHOLD_RULES, thresholds=True),
+    "dq_threshold_load": DQ_THRESHOLD_LOAD,
     "dq_referential": DQ_REFERENTIAL,
     "dq_referential_counts": dq_results(REFERENCE_RULES, source=REFERRING),
     "incremental_slice": f"""SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate::VARCHAR AS o_orderdate, o_orderpriority
@@ -652,6 +722,8 @@ ORACLES: dict[str, str] = {
     "load_group_counts": f"SELECT pipeline_group, count(*) AS pipeline_count FROM {CONFIG} WHERE {SHIPPED} GROUP BY 1",
     "config_reset": f"""SELECT * FROM {CONFIG} WHERE NOT {SHIPPED}
                         UNION ALL SELECT * REPLACE ('RESET' AS pipeline_group) FROM {CONFIG} WHERE is_active""",
+    "control_reset": CONTROL_RESET,
+    "control_reset_load": CONTROL_RESET_LOAD,
     "run_states": f"SELECT audit_id, workflow_audit_id, run_status, rows_read, event_id FROM {RUNS}",
     "event_log": EVENT_LOG,
     "workflow_rollup": ROLLUP,
@@ -666,4 +738,8 @@ ORACLES: dict[str, str] = {
     "gold_load_merge": GOLD_LOAD_MERGE,
     "gold_load_incremental": GOLD_LOAD_MERGE,
     "stream_silver": STREAM_SILVER,
+    "stream_out_of_order": STREAM_SILVER,
+    "group_run": GROUP_RUN,
+    "load_audit": LOAD_AUDIT,
+    "workflow_completed": WORKFLOW_COMPLETED,
 }

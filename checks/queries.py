@@ -7,29 +7,43 @@ and random ids are left out.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial
+from dataclasses import replace
+from functools import partial, reduce
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.columns import coalesce_existing, derive_missing, first_existing
-from strata.functions.hashing import business_key_hash, record_hash, surrogate_key
+from strata.functions.hashing import business_key_hash, collision_free_keys, link_keys, probed, record_hash, surrogate_key
 from strata.operators import quality
 from strata.operators.align import align, cast_failures
 from strata.operators.calendar import calendar_columns, date_range_of
 from strata.operators.dedupe import duplicate_counts, latest_per_key, repeated_keys
+from strata.operators.history import merge_history
 from strata.operators.merge import ACTION, fits_broadcast, merge_action_counts, merge_scd1
 from strata.operators.quality import Rule
 from strata.operators.references import resolve_references
 from strata.plans import gold, silver
-from strata.plans.audit import event_log, latest_runs, run_state, table_counts, workflow_rollup
-from strata.plans.loads import REJECT_LOG, RESULT_LOG, WATERMARK_LOG, SilverOptions, gold_load, silver_load
+from strata.plans.audit import (
+    RUN_LOG,
+    complete_workflow,
+    event_log,
+    latest_runs,
+    run_state,
+    start_workflow,
+    table_counts,
+    workflow_rollup,
+)
+from strata.plans.loads import REJECT_LOG, RESULT_LOG, WATERMARK_LOG, SilverOptions, gold_load, run_group, silver_load
+from strata.plans.reset import reset_control
 from strata.sources import control, raw
+from strata.sources.bucketed import BucketedTable
 from strata.sources.control import LoadSpec
 from strata.sources.folders import shared_folder
 from strata.sources.lake import Lake
-from strata.streaming.stream import file_stream, stream_silver
+from strata.streaming.stream import file_stream, stream_silver, without_redelivery
 from strata.streaming.watermark import advance_watermarks, incremental_slice, watermark_bounds, watermark_state
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -275,6 +289,40 @@ def merge_preserving(spark: SparkSession, folder: str) -> DataFrame:
     return merged.select(*MERGED, F.col(ACTION).alias("action"))
 
 
+def merge_bucketed(spark: SparkSession, folder: str) -> DataFrame:
+    """The same upsert into a bucketed table: only the second slice is shuffled."""
+    target, source = repair_job_slices(spark, folder)
+    table = BucketedTable(spark, f"repair_job_{uuid4().hex}", ["repair_job_id"], 8)
+    table.create(target)
+    return table.merged(source).select(*MERGED, F.col(ACTION).alias("action"))
+
+
+def merge_history_query(spark: SparkSession, folder: str) -> DataFrame:
+    """Vehicles by month of order: a load, one with late and equal months, and that one again."""
+    orders = raw.service_order(spark, folder).select(
+        "vin", F.date_trunc("month", "open_timestamp").alias("month"), "service_order_id", "labor_cost"
+    )
+    first, second = (orders.filter(F.col("service_order_id") % 3 == 0), orders.filter(F.col("service_order_id") % 3 == 1))
+    held = merge_history(None, first, ["vin"], "month")
+    held = merge_history(held, second, ["vin"], "month")
+    return plain(merge_history(held, second, ["vin"], "month"))
+
+
+COLLIDING_BITS = 20
+
+
+def surrogate_collisions(spark: SparkSession, folder: str) -> DataFrame:
+    """Keys of few bits, so that many collide: given out in two loads, and linked to by facts."""
+    jobs = raw.repair_job(spark, folder)
+    early = incremental_slice(jobs, "completed_timestamp", None, FIRST_UNTIL)
+    known = collision_free_keys(early, "repair_job_id", bits=COLLIDING_BITS)
+    keys = known.unionByName(collision_free_keys(jobs, "repair_job_id", known, COLLIDING_BITS))
+    exceptions = _lake(spark, "keys").stage("exceptions", probed(keys, COLLIDING_BITS))
+    facts = raw.part_consumption(spark, folder).select("part_consumption_id", "part_id")
+    linked = link_keys(facts, "part_consumption_id", "repair_job_key", exceptions, fits_broadcast(exceptions), COLLIDING_BITS)
+    return linked.select("part_consumption_id", "part_id", "repair_job_key")
+
+
 def merge_actions(spark: SparkSession, folder: str) -> DataFrame:
     target, source = repair_job_slices(spark, folder)
     return merge_action_counts(merge_scd1(target, source, ["repair_job_id"]))
@@ -375,6 +423,31 @@ def _referential(spark: SparkSession, folder: str) -> tuple[DataFrame, list[Rule
     return quality.classify(rows, rules), rules
 
 
+THRESHOLD_RULES = (
+    Rule("T1", "Tax below eight percent", "l_tax < 0.08", quality.WARN, "RANGE", "LOW", 50.0),
+    Rule("T2", "More than five pieces", "l_quantity > 5", quality.QUARANTINE, "RANGE", "HIGH", 5.0),
+    Rule("T3", "Discount at most nine percent", "l_discount <= 0.09", quality.FAIL_PIPELINE, "RANGE", "HIGH", 40.0),
+    Rule("T4", "Not returned", "l_returnflag <> 'R'", quality.FAIL_PIPELINE, "DOMAIN", "HIGH", 10.0),
+    Rule("T5", "At most six lines", "l_linenumber < 7", quality.WARN, "RANGE", "LOW", 0.0),
+)
+
+
+def dq_threshold(spark: SparkSession, folder: str) -> DataFrame:
+    """Two rules that would stop a load: one tolerates its failed rows, the other doesn't."""
+    classified = quality.classify(dq_input(spark, folder), THRESHOLD_RULES)
+    return quality.rule_counts(classified, THRESHOLD_RULES, thresholds=True)
+
+
+def dq_threshold_load(spark: SparkSession, folder: str) -> DataFrame:
+    """A load that goes on although a rule that stops it has failed rows, within its threshold."""
+    lake = _lake(spark, "threshold")
+    spec = spec_for("repair_job", "bronze.repair_job", control.MERGE, ("repair_job_id",), None, "completed_timestamp")
+    rules = [Rule("HOURS", "At least two hours", "labor_hours >= 2", quality.FAIL_PIPELINE, threshold_value=10.0)]
+    options = SilverOptions(load_ts=load_time(), enforce_thresholds=True)
+    silver_load(lake, spec, "B1", source=raw.repair_job(spark, folder), rules=rules, options=options)
+    return lake.read("repair_job").select(*MERGED, "dq_status")
+
+
 def dq_referential(spark: SparkSession, folder: str) -> DataFrame:
     classified, rules = _referential(spark, folder)
     good = quality.good_rows(classified).withColumn(quality.FAILED_RULE, F.lit(None).cast("string"))
@@ -446,7 +519,7 @@ def config_rows(spark: SparkSession, folder: str) -> DataFrame:
         F.col("p_name").alias("source_object"),
         F.concat(F.lit("t_"), F.col("p_name")).alias("target_object"),
         F.col("p_size").alias("execution_order"),
-        (F.col("p_retailprice") > 1000).alias("is_active"),
+        (F.col("p_size") % 3 != 0).alias("is_active"),
     )
 
 
@@ -473,6 +546,61 @@ def config_reset(spark: SparkSession, folder: str) -> DataFrame:
     return control.replace_matching(config, fresh)
 
 
+def _control_lake(spark: SparkSession, folder: str) -> Lake:
+    """Control tables of all parts: definitions, rules, parameters, dependencies, watermarks."""
+    lake = _lake(spark, "control")
+    config = config_rows(spark, folder)
+    part = config.select("pipeline_id", "source_object", "execution_order")
+    lake.overwrite("pipeline_config", config, "B1")
+    rules = part.filter("execution_order > 20")
+    lake.overwrite("data_quality_rule", rules.select("pipeline_id", F.col("source_object").alias("rule_id")), "B1")
+    parameters = part.filter("execution_order <= 30")
+    lake.overwrite("pipeline_parameter", parameters.select(
+        "pipeline_id", F.lit("order").alias("parameter_name"), F.col("execution_order").cast("string").alias("parameter_value")), "B1")
+    lake.overwrite("pipeline_dependency", part.select(
+        F.when(F.col("execution_order") % 2 == 0, F.col("source_object")).otherwise(F.col("pipeline_id")).alias("parent_pipeline_id"),
+        F.when(F.col("execution_order") % 5 == 0, F.col("pipeline_id")).otherwise(F.col("source_object")).alias("child_pipeline_id")), "B1")
+    moves = part.select(
+        "pipeline_id", F.lit("ts").alias("watermark_column"), F.lit("0").alias("previous_watermark"),
+        F.col("execution_order").cast("string").alias("current_watermark"), F.lit("B1").alias("last_successful_batch_id"),
+        F.lit("A1").alias("last_successful_audit_id"), load_time().alias("last_successful_run_timestamp"),
+        load_time().alias("updated_timestamp"))
+    lake.append_log(WATERMARK_LOG, control.PIPELINE_WATERMARK, moves)
+    return lake
+
+
+def control_reset(spark: SparkSession, folder: str) -> DataFrame:
+    """What the five tables hold after a reset that adds some definitions and rules anew."""
+    lake = _control_lake(spark, folder)
+    config = config_rows(spark, folder).filter("is_active").withColumn("pipeline_group", F.lit("RESET"))
+    rules = config.filter("execution_order > 40").select("pipeline_id", F.lit("NEW").alias("rule_id"))
+    reset_control(lake, "B2", {"pipeline_config": config, "data_quality_rule": rules})
+    state = watermark_state(lake.log(WATERMARK_LOG, control.PIPELINE_WATERMARK))
+    shown = {
+        "pipeline_config": (lake.read("pipeline_config"), "pipeline_id", "pipeline_group"),
+        "data_quality_rule": (lake.read("data_quality_rule"), "pipeline_id", "rule_id"),
+        "pipeline_parameter": (lake.read("pipeline_parameter"), "pipeline_id", "parameter_value"),
+        "pipeline_dependency": (lake.read("pipeline_dependency"), "parent_pipeline_id", "child_pipeline_id"),
+        "pipeline_watermark": (state, "pipeline_id", "current_watermark"),
+    }
+    frames = [df.select(F.lit(n).alias("table_name"), F.col(a).alias("id"), F.col(b).alias("detail")) for n, (df, a, b) in shown.items()]
+    return reduce(DataFrame.unionByName, frames)
+
+
+def control_reset_load(spark: SparkSession, folder: str) -> DataFrame:
+    """Two incremental loads, a reset, and the next load, which reads all rows again."""
+    lake = _lake(spark, "reset")
+    spec = spec_for("service_order", "bronze.service_order", control.APPEND, ("service_order_id",), "open_timestamp")
+    spec = replace(spec, pipeline_id="PL_SILVER_ORDER")
+    orders = raw.service_order(spark, folder)
+    silver_load(lake, spec, "B1", source=incremental_slice(orders, "open_timestamp", None, SLICE_HIGH))
+    silver_load(lake, spec, "B2", source=orders)
+    reset_control(lake, "R1")
+    silver_load(lake, spec, "B3", source=orders)
+    silver_load(lake, spec, "B4", source=orders)
+    return lake.read("service_order").select(*ORDER_SHOWN, "silver_batch_id")
+
+
 def run_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Events as run-audit rows: a user's day is a run, each event a later state of it."""
     kind = F.col("event_type")
@@ -639,6 +767,94 @@ def stream_query(spark: SparkSession, folder: str) -> DataFrame:
     ))
 
 
+STREAM_FILES = 4
+
+
+def stream_out_of_order(spark: SparkSession, folder: str) -> DataFrame:
+    """Usage rows in files that come newest first, the last one twice: what one batch would give."""
+    root = shared_folder(spark, "stream")
+    lake = Lake(spark, f"{root}/lake")
+    events = raw.table(spark, folder, "events")
+    number = F.floor(F.datediff(F.col("ts"), F.lit("1970-01-01")) / 7) % STREAM_FILES
+    for i in [*reversed(range(STREAM_FILES)), 0]:
+        events.filter(number == i).coalesce(1).write.mode("append").parquet(f"{root}/files")
+    stream = file_stream(spark, f"{root}/files", events.schema, max_files=1)
+    usage = without_redelivery(stream.withColumn("ts", F.col("ts").cast("timestamp")), "ts", ["event_id"], "3650 days")
+    usage = usage.select(
+        F.col("user_id").alias("vin"), F.col("user_id").alias("customer_id"), F.col("ts").cast("date").alias("usage_date"),
+        F.col("ts").cast(events.schema["ts"].dataType).alias("ts"), "event_id", F.col("value").alias("distance_km"),
+    )
+    spec = spec_for("vehicle_daily_usage", "bronze.usage", control.MERGE, ("usage_id",), None, "ts")
+    stream_silver(lake, usage, spec, f"{root}/checkpoint", options=SilverOptions(load_ts=load_time())).awaitTermination()
+    return plain(lake.read("vehicle_daily_usage").select(
+        "usage_id", "vin", "usage_date", "ts", "event_id", "distance_km", "business_key_hash", "record_hash"
+    ))
+
+
+def _audited_loads(spark: SparkSession, folder: str) -> tuple[Lake, str]:
+    """A workflow of three loads of one group: one succeeds, one rejects rows, one is stopped."""
+    lake = _lake(spark, "group")
+    jobs = raw.repair_job(spark, folder)
+    config = [
+        ("PL_ORDER", "service_order", "service_order_id", None, 1),
+        ("PL_JOB", "repair_job", "repair_job_id", "completed_timestamp", 2),
+        ("PL_BREAKDOWN", "breakdown", "breakdown_id", None, 3),
+        ("PL_OFF", "dealer", "dealer_id", None, 0),
+    ]
+    names = control.PIPELINE_CONFIG.names
+    rows = [
+        tuple({
+            "pipeline_id": pipeline, "pipeline_group": "SILVER", "source_catalog": "w", "source_schema": "bronze",
+            "source_object": name, "target_catalog": "w", "target_schema": "silver", "target_object": name, "load_type": "MERGE",
+            "primary_key_columns": key, "sequence_column": sequence, "execution_order": order, "is_active": pipeline != "PL_OFF",
+        }.get(c) for c in names)
+        for pipeline, name, key, sequence, order in config
+    ]
+    for name in ("service_order", "breakdown"):
+        lake.overwrite(f"w.bronze.{name}", raw.BRONZE[name](spark, folder), "B0")
+    lake.overwrite("w.bronze.repair_job", jobs, "B0")
+    shown = "rule_id string, pipeline_id string, rule_name string, rule_type string, column_name string, rule_expression string, " \
+        "reference_object string, reference_column string, severity string, failure_action string, threshold_value double, is_active boolean"
+    rules = spark.createDataFrame([
+        ("HOURS", "PL_JOB", "At least two hours", None, None, "labor_hours >= 2", None, None, None, "QUARANTINE", 0.0, True),
+        ("CODE", "PL_BREAKDOWN", "Failure code below three", None, None, "failure_code < 3", None, None, None, "FAIL_PIPELINE", 0.0, True),
+    ], shown)
+    ids = start_workflow(lake, "nightly", batch_id=BATCH)
+    control_rows = spark.createDataFrame(rows, control.PIPELINE_CONFIG)
+    try:
+        run_group(lake, control_rows, "SILVER", BATCH, rules=rules, workflow_audit_id=ids["workflow_audit_id"])
+    except quality.DataQualityError:
+        pass
+    return lake, ids["workflow_audit_id"]
+
+
+def group_run(spark: SparkSession, folder: str) -> DataFrame:
+    """Tables after a group's active loads ran in order, until one was stopped by its rule."""
+    lake, _ = _audited_loads(spark, folder)
+    names = ("service_order", "repair_job", "breakdown", "dealer")
+    found = {name: lake.find(f"w.silver.{name}") for name in names}
+    return table_counts({name: df if df is not None else spark.range(0) for name, df in found.items()})
+
+
+AUDIT_SHOWN = ("pipeline_id", "run_status", "rows_read", "rows_inserted", "rows_updated", "rows_rejected", "rows_duplicated", "error_code")
+
+
+def load_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """What the loads of a group wrote about themselves: each run's latest state."""
+    lake, _ = _audited_loads(spark, folder)
+    return run_state(lake.log(RUN_LOG, control.PIPELINE_RUN_AUDIT)).select(*AUDIT_SHOWN)
+
+
+def workflow_completed(spark: SparkSession, folder: str) -> DataFrame:
+    """The workflow's finished row, one of whose loads failed."""
+    lake, workflow = _audited_loads(spark, folder)
+    done = complete_workflow(lake, workflow, BATCH)
+    return done.select(
+        "workflow_name", "batch_id", "trigger_type", "run_status", "total_pipelines", "successful_pipelines", "failed_pipelines",
+        "warning_pipelines", "total_rows_read", "total_rows_inserted", "total_rows_rejected",
+    )
+
+
 QUERIES: dict[str, Query] = {
     **{f"silver_{name}": silver_query(name) for name in silver.ENTITIES},
     "dim_date": dim_date,
@@ -661,6 +877,9 @@ QUERIES: dict[str, Query] = {
     "merge_measured": merge_measured,
     "merge_preserving": merge_preserving,
     "merge_actions": merge_actions,
+    "merge_bucketed": merge_bucketed,
+    "merge_history": merge_history_query,
+    "surrogate_collisions": surrogate_collisions,
     "dq_good": dq_good("pass"),
     "dq_good_strict": dq_good("fail"),
     "dq_rejected": dq_rejected,
@@ -668,6 +887,8 @@ QUERIES: dict[str, Query] = {
     "dq_results": dq_results(DQ_RULES),
     "dq_results_stopped": dq_results(STOPPING_RULES),
     "dq_result_rows": dq_result_rows,
+    "dq_threshold": dq_threshold,
+    "dq_threshold_load": dq_threshold_load,
     "dq_referential": dq_referential,
     "dq_referential_counts": dq_referential_counts,
     "incremental_slice": incremental,
@@ -679,6 +900,8 @@ QUERIES: dict[str, Query] = {
     "config_report": config_report,
     "load_group_counts": load_group_counts,
     "config_reset": config_reset,
+    "control_reset": control_reset,
+    "control_reset_load": control_reset_load,
     "run_states": run_states,
     "event_log": events,
     "workflow_rollup": rollup,
@@ -693,4 +916,8 @@ QUERIES: dict[str, Query] = {
     "gold_load_merge": gold_load_query(False),
     "gold_load_incremental": gold_load_query(True),
     "stream_silver": stream_query,
+    "stream_out_of_order": stream_out_of_order,
+    "group_run": group_run,
+    "load_audit": load_audit,
+    "workflow_completed": workflow_completed,
 }

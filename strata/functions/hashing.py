@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.columns import column, existing_names
@@ -96,3 +96,56 @@ def surrogate_key(
             any_known = any_known | c.isNotNull()
         return F.when(any_known, key)
     raise ValueError(f"unknown null_key {null_key!r}")
+
+
+# --- keys that collide ------------------------------------------------------------------------
+
+KEY_BITS = 31
+
+
+def key_base(*columns: Column | str, bits: int = KEY_BITS) -> Column:
+    """The murmur3 key, in as many bits: what colliding natural keys share."""
+    return F.pmod(surrogate_key(*columns), F.lit(1 << bits))
+
+
+def collision_free_keys(rows: DataFrame, natural: str, known: DataFrame | None = None, bits: int = KEY_BITS) -> DataFrame:
+    """A key of its own for each new natural key: ``natural``, ``key``.
+
+    The first natural key of a base takes the base as its key, so nearly all keys are what
+    :func:`surrogate_key` gives; the n-th after it is probed to base + n * 2^bits, which no other
+    base reaches. ``known`` (natural, key) are those of earlier loads: they keep their keys, and
+    new ones of the same base come after them, in the order of the natural key. NULL gets no key.
+    Only keys are shuffled: once to find the new ones, once by their base.
+    """
+    fresh = rows.select(column(natural).alias("natural")).filter("natural IS NOT NULL").distinct()
+    held = None
+    if known is not None:
+        fresh = fresh.join(known.select("natural"), "natural", "left_anti")
+        last = F.max(F.shiftright("key", bits)).alias("last")
+        held = known.groupBy(F.pmod("key", F.lit(1 << bits)).alias("base")).agg(last)
+    based = fresh.withColumn("base", key_base("natural", bits=bits))
+    place = F.row_number().over(Window.partitionBy("base").orderBy("natural")) - 1
+    if held is None:
+        probe = place
+    else:
+        based = based.join(held, "base", "left")
+        probe = place + F.coalesce(F.col("last") + 1, F.lit(0))
+    return based.select("natural", (F.col("base") + probe.cast("bigint") * F.lit(1 << bits)).alias("key"))
+
+
+def probed(keys: DataFrame, bits: int = KEY_BITS) -> DataFrame:
+    """The keys that aren't their base: as few as collide, and all that a link has to look up."""
+    return keys.filter(F.col("key") >= F.lit(1 << bits))
+
+
+def link_keys(
+    facts: DataFrame, natural: str, name: str, exceptions: DataFrame, small: bool = False, bits: int = KEY_BITS
+) -> DataFrame:
+    """``facts`` with the key of a natural key as ``name``, computed but for the ``exceptions``.
+
+    ``small`` says that the exceptions were measured to fit a broadcast: facts aren't shuffled then.
+    """
+    looked_up = exceptions.select(F.col("natural").alias("_natural"), F.col("key").alias("_key"))
+    joined = facts.join(F.broadcast(looked_up) if small else looked_up, column(natural) == F.col("_natural"), "left")
+    computed = F.when(column(natural).isNotNull(), key_base(natural, bits=bits))
+    return joined.withColumn(name, F.coalesce("_key", computed)).drop("_natural", "_key")

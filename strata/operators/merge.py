@@ -74,10 +74,11 @@ def _renamed_source(source: DataFrame, cols: MergeColumns) -> DataFrame:
     return source.select(*picked, F.lit(True).alias(_IN_SOURCE))
 
 
-def _same_key(keys: Sequence[str]) -> Column:
-    condition = column(keys[0]).eqNullSafe(column(_PREFIX + keys[0]))
-    for key in keys[1:]:
-        condition = condition & column(key).eqNullSafe(column(_PREFIX + key))
+def _same_key(keys: Sequence[str], null_safe: bool = True) -> Column:
+    condition = F.lit(True)
+    for key in keys:
+        old, new = column(key), column(_PREFIX + key)
+        condition = condition & (old.eqNullSafe(new) if null_safe else old == new)
     return condition
 
 
@@ -135,6 +136,7 @@ def merge_scd1(
     sequence: str | None = None,
     small_source: bool = False,
     order: str | None = None,
+    null_safe: bool = True,
 ) -> DataFrame:
     """The target after the upsert, each row with the action that produced it.
 
@@ -142,7 +144,8 @@ def merge_scd1(
     either side lacks it) every match updates. ``preserve`` columns keep their first value,
     ``exclude`` columns are never written. With ``order`` a matched row whose value of that column
     is smaller in the source than in the target is left as it is. Source keys must be unique: ``on_duplicate="latest"``
-    makes them so, otherwise the caller has checked it.
+    makes them so, otherwise the caller has checked it. ``null_safe=False`` is for keys that are
+    never NULL: a plain comparison lets Spark use how a bucketed target is laid out.
 
     By default both sides meet in one full outer join, one shuffle each. ``small_source=True``
     says the source was measured to fit a broadcast (see :func:`fits_broadcast`): then the
@@ -155,7 +158,7 @@ def merge_scd1(
     cols = MergeColumns.of(target, source, keys, preserve, exclude)
     new = _renamed_source(source, cols)
     old = target.withColumn(_IN_TARGET, F.lit(True))
-    same_key = _same_key(cols.keys)
+    same_key = _same_key(cols.keys, null_safe)
     if not small_source:
         return _next_state(old.join(new, same_key, "full_outer"), target, cols, compare, order)
 

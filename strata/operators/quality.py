@@ -127,9 +127,22 @@ def rejected_rows(classified: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     ).drop(POSITION)
 
 
-def rule_counts(classified: DataFrame, rules: Sequence[Rule], null_policy: str = "pass") -> DataFrame:
+def _over(rule: Rule, failed: Column, evaluated: Column, thresholds: bool) -> Column:
+    """Whether more rows failed a rule than it tolerates; its threshold is a percentage."""
+    if not thresholds:
+        return failed > 0
+    return failed * F.lit(100.0) > F.lit(float(rule.threshold_value or 0.0)) * evaluated
+
+
+def rule_counts(
+    classified: DataFrame, rules: Sequence[Rule], null_policy: str = "pass", thresholds: bool = False
+) -> DataFrame:
     """One row per rule that was reached: rows it saw, failed and passed.
 
+    With ``thresholds`` a rule has failed, and one that stops the load does so, only when the
+    percentage of failed rows is above the rule's threshold. Rows that failed a blocking rule are
+    rejected either way.
+
     A rule sees the rows no earlier blocking rule took out. Rules after one that stops the
     load are not reached. All counts come from a single aggregation, without a shuffle of
     rows: each task contributes one partial row.
@@ -145,7 +158,7 @@ def rule_counts(classified: DataFrame, rules: Sequence[Rule], null_policy: str =
         counts.append(F.count_if(failed).alias(f"_failed_{index}"))
     totals = classified.agg(*counts)
     stopped = [
-        F.when(F.col(f"_failed_{index}") > 0, F.lit(index))
+        F.when(_over(rule, F.col(f"_failed_{index}"), F.col(f"_reached_{index}"), thresholds), F.lit(index))
         for index, rule in enumerate(rules)
         if rule.stops
     ]
@@ -160,6 +173,7 @@ def rule_counts(classified: DataFrame, rules: Sequence[Rule], null_policy: str =
             F.lit(rule.threshold_value).cast("double").alias("threshold_value"),
             F.col(f"_reached_{index}").alias("evaluated_row_count"),
             F.col(f"_failed_{index}").alias("failed_row_count"),
+            _over(rule, F.col(f"_failed_{index}"), F.col(f"_reached_{index}"), thresholds).alias("_over"),
         )
         for index, rule in enumerate(rules)
     ]
@@ -173,9 +187,10 @@ def rule_counts(classified: DataFrame, rules: Sequence[Rule], null_policy: str =
             {
                 "passed_row_count": evaluated - failed,
                 "failure_percentage": F.when(evaluated > 0, failed / evaluated * 100).otherwise(0.0),
-                "rule_status": F.when(failed > 0, FAILED).otherwise(PASSED),
+                "rule_status": F.when(F.col("_over"), FAILED).otherwise(PASSED),
             }
         )
+        .drop("_over")
     )
 
 

@@ -27,12 +27,7 @@ from strata.plans.audit import RunAudit
 from strata.sources import control
 from strata.sources.control import LoadSpec
 from strata.sources.lake import Lake
-from strata.streaming.watermark import (
-    current_watermark,
-    incremental_slice,
-    watermark_bounds,
-    watermark_state,
-)
+from strata.streaming.watermark import incremental_slice, load_position, watermark_bounds
 
 RESULT_LOG, REJECT_LOG, WATERMARK_LOG = "data_quality_result", "rejected_record", "pipeline_watermark"
 PRESERVED = ("effective_from", "created_timestamp")
@@ -53,7 +48,8 @@ class SilverOptions:
     ``on_cast_error``: ``"raise"`` fails the load on a value its target type cannot hold,
     ``"null"`` blanks the value, ``"reject"`` rejects the row. ``replayable`` says that the
     same batch id means the same rows again, as in a stream; an append then replaces them.
-    ``part_column`` names the column a new target is kept in parts by.
+    ``part_column`` names the column a new target is kept in parts by. With
+    ``enforce_thresholds`` a rule tolerates failed rows up to its threshold, in percent.
     """
 
     null_policy: str = "pass"
@@ -64,6 +60,7 @@ class SilverOptions:
     load_ts: Column | None = None
     replayable: bool = False
     part_column: str | None = None
+    enforce_thresholds: bool = False
 
 
 @dataclass
@@ -113,9 +110,9 @@ class _Silver:
             return source, None, None
         if self.options.watermark_lag and self.spec.load_type == control.APPEND:
             raise ValueError(f"{self.spec.pipeline_id}: an append can't take a watermark_lag, it would add rows again")
-        low = _watermark(self.lake, self.spec)
+        low, since = load_position(self.lake.log(WATERMARK_LOG, control.PIPELINE_WATERMARK), self.spec.pipeline_id)
         # Until the watermark moves, each try starts here and reads at least what the last one did.
-        self.delivery = self.delivery or json.dumps([self.spec.pipeline_id, "after", low])
+        self.delivery = self.delivery or json.dumps([self.spec.pipeline_id, "after", low, "since", since])
         pending = incremental_slice(source, name, low, lag=self.options.watermark_lag)
         rows, high = watermark_bounds(pending, name).first()
         self.counts["rows_read"] = rows
@@ -161,14 +158,17 @@ class _Silver:
         if not self.rules:
             staged_rows, stop, rejected = staged.count(), None, 0
         else:
-            counts = quality.rule_counts(staged, self.rules, self.options.null_policy)
+            counts = quality.rule_counts(
+                staged, self.rules, self.options.null_policy, self.options.enforce_thresholds
+            )
             rows = counts.collect()  # one row per rule
             found = self.lake.spark.createDataFrame(rows, counts.schema)
             results = quality.rule_results(found, **self.ids(), evaluated_ts=self.options.load_ts)
             self.lake.append_log(RESULT_LOG, control.DATA_QUALITY_RESULT, results, self.delivered)
             staged_rows = rows[0]["evaluated_row_count"]
             failing = {r["rule_position"]: r["failed_row_count"] for r in rows if r["failed_row_count"]}
-            stop = next((self.rules[i] for i in sorted(failing) if self.rules[i].stops), None)
+            over = sorted(r["rule_position"] for r in rows if r["rule_status"] == quality.FAILED)
+            stop = next((self.rules[i] for i in over if self.rules[i].stops), None)
             rejected = sum(n for i, n in failing.items() if self.rules[i].blocks)
             self.counts["rows_quarantined"] = sum(
                 n for i, n in failing.items() if self.rules[i].failure_action == quality.QUARANTINE
@@ -227,16 +227,12 @@ class _Silver:
                 self.counts["rows_duplicated"] = self.counts["rows_read"] - self.counts["rows_written"]
             else:
                 self.load_staged(self.staged(stamped), schema)
+                self.lake.unstage(self.spec.target_object)
             _move_watermark(self.audit, self.spec.watermark_column, low, high)
         self.audit.complete(self.counts, low, high)
         return LoadResult(self.audit.audit_id, self.counts, low, high)
 
 
-def _watermark(lake: Lake, spec: LoadSpec) -> str | None:
-    state = watermark_state(lake.log(WATERMARK_LOG, control.PIPELINE_WATERMARK))
-    return current_watermark(state, spec.pipeline_id)
-
-
 def _move_watermark(audit: RunAudit, name: str | None, low: str | None, high: str | None) -> None:
     """Append a load's new watermark, when it has one."""
     if high is None:
@@ -347,8 +343,7 @@ def gold_load(
     back (which silver loads with a stamp of their own check), and unchanged key options.
 
     A merge matches on the surrogate key together with the natural key, so two natural keys
-    that share a surrogate key stay two rows. Source keys are checked for repetition, unless
-    the silver table is known to have been kept free of it.
+    that share a surrogate key stay two rows. Source keys are checked for repetition.
     """
     audit = RunAudit(lake, spec, batch_id, workflow_audit_id)
     excluded = tuple(exclude)
@@ -356,7 +351,7 @@ def gold_load(
     counts: dict = {}
 
     def body() -> LoadResult:
-        keys, unique, low, high = list(spec.primary_key_columns), False, None, None
+        keys, low, high = list(spec.primary_key_columns), None, None
         target = lake.find(spec.target_object)
         if spec.target_object.split(".")[-1] == gold.DATE_DIMENSION:
             built = dim_date(lake.spark, *calendar, load_ts)
@@ -365,7 +360,8 @@ def gold_load(
             table = gold.gold_table(spec.target_object)
             silver_rows = lake.read(spec.source_object)
             if incremental and merges and find_name(silver_rows, silver.UPDATE_STAMP):
-                low = None if target is None else _watermark(lake, spec)
+                log = lake.log(WATERMARK_LOG, control.PIPELINE_WATERMARK)
+                low = None if target is None else load_position(log, spec.pipeline_id)[0]
                 # Silver loads may share a stamp: rows at the bound are read again, which the
                 # merge finds unchanged.
                 pending = incremental_slice(silver_rows, silver.UPDATE_STAMP, low, inclusive=True)
@@ -381,12 +377,12 @@ def gold_load(
                 key_type=key_type,
                 load_ts=load_ts,
             )
-            natural = gold.natural_key_name(silver_rows, table)
-            keys.append(natural)
-            unique = lake.known_unique(spec.source_object, natural)
+            keys.append(gold.natural_key_name(silver_rows, table))
         final = align(built, built.schema if target is None else target.schema, excluded)
         keys = [k for k in keys if find_name(final, k)]
-        if merges and not unique:
+        if merges:
+            # Written once: it is checked, measured, looked up and joined.
+            final = lake.stage(spec.target_object, final)
             repeated = repeated_keys(final, keys).limit(5).collect()
             if repeated:
                 raise ValueError(f"{spec.target_object}: source repeats keys, such as {repeated}")
@@ -403,6 +399,8 @@ def gold_load(
                 part_column=part_column,
             )
             counts.update(written)
+        if merges:
+            lake.unstage(spec.target_object)
         _move_watermark(audit, silver.UPDATE_STAMP, low, high)
         audit.complete(counts, low, high)
         return LoadResult(audit.audit_id, counts, low, high)

@@ -49,14 +49,14 @@ class CatalogTables:
     def read(self, name: str) -> DataFrame:
         return self.spark.table(name)
 
-    def known_unique(self, name: str, key: str) -> bool:
-        return False
-
     def stage(self, name: str, df: DataFrame) -> DataFrame:
         folder = shared_folder(self.spark, f"staging-{name}")
         df.write.parquet(folder)
         return self.spark.read.schema(df.schema).parquet(folder)
 
+    def unstage(self, name: str) -> None:
+        """A staged frame lies in a folder of its own below the checkpoint folder, which is cleared with it."""
+
     def _save(self, name: str, df: DataFrame, mode: str, operation: str, part_column: str | None = None) -> dict:
         observation = Observation()
         writer = self._writer(df.observe(observation, F.count(F.lit(1)).alias("rows"))).mode(mode)

@@ -1,12 +1,14 @@
-"""Named parquet tables under one shared folder.
+"""Named parquet tables under one shared folder, written by Spark's dynamic partition overwrite.
 
-Each write goes to fresh folders, and one row appended to the ``versions`` log makes them the
-table's current ones. Readers of the previous version are never overwritten, and a load that
-dies before its log row leaves the table as it was. A table should have one writer at a time:
-of two writes that started from the same version, the later one fails.
+Each table is a folder partitioned by PART, a column that readers don't see. A merge reads the parts
+that hold one of its keys, found by a join, and the parts its new rows go to; it writes these parts
+anew and no other, and Spark puts them in place of the old ones when the whole job has succeeded. By
+default a new row's part is the batch it came with, so a merge rewrites only the batches that hold a
+changed key; with a part column it is that column's value. A row stays in the part it was first
+written to.
 
-A table may be kept in parts by one of its columns. A merge into such a table first finds the
-parts it concerns, from the keys alone, and rewrites only those.
+What an append or a log row delivers has a part of its own, named by the delivery, so that a second
+try takes the place of the first. A table should have one writer at a time.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from collections.abc import Sequence
 from uuid import uuid4
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,55 +35,45 @@ from strata.operators.merge import (
     merge_scd1,
 )
 
-VERSIONS = T.StructType(
+DEFINITIONS = T.StructType(
     [
         T.StructField("table_name", T.StringType()),
-        T.StructField("version", T.LongType()),
-        T.StructField("folder", T.StringType()),
-        # Only for a table kept in parts: the column, and each part's folder.
-        T.StructField("part_column", T.StringType()),
-        T.StructField("parts", T.MapType(T.LongType(), T.StringType())),
         T.StructField("table_schema", T.StringType()),
-        # The key whose values are known not to repeat, as every write was a merge on it.
-        T.StructField("unique_key", T.ArrayType(T.StringType())),
-        T.StructField("row_count", T.LongType()),
-        T.StructField("batch_id", T.StringType()),
-        T.StructField("operation", T.StringType()),
-        T.StructField("committed_at", T.TimestampType()),
+        T.StructField("part_column", T.StringType()),
+        T.StructField("created_at", T.TimestampType()),
     ]
 )
 
-# A small source is broadcast only into a target at least this many times its size.
+# A small source is broadcast only into parts with at least this many times its rows.
 BROADCAST_RATIO = 10
 
 PART = "_part"
 TEXT_PARTS = 256
-NO_PART = -1
-
-
-class ConcurrentWriteError(RuntimeError):
-    """Another write has made its version current in the meantime."""
+NO_PART = "none"
+WHOLE = "all"
 
 
 def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def _schema_of(version: Row) -> T.StructType:
-    return T.StructType.fromJson(json.loads(version["table_schema"]))
+def _digest(text: str) -> str:
+    return hashlib.sha256(text.encode()).hexdigest()[:32]
 
 
-def part_of(df: DataFrame, name: str) -> Column:
-    """The part a row belongs to: a day, a whole number as it is, other values by digest."""
-    dtype = df.schema[name].dataType
-    value = column(name)
+def part_of(df: DataFrame, name: str | None, batch_id: str) -> Column:
+    """The part a new row goes to: its batch, or a day, a whole number, or a digest of ``name``."""
+    if name is None:
+        return F.lit(f"batch-{_digest(batch_id)}")
+    dtype = df.schema[find_name(df, name)].dataType
+    value = column(find_name(df, name))
     if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-        part = date_key(value).cast("bigint")
+        part = date_key(value)
     elif isinstance(dtype, T.IntegralType):
-        part = value.cast("bigint")
+        part = value
     else:
         part = F.pmod(F.xxhash64(value), F.lit(TEXT_PARTS))
-    return F.when(value.isNull(), F.lit(NO_PART)).otherwise(part)
+    return F.coalesce(part.cast("string"), F.lit(NO_PART))
 
 
 class Lake:
@@ -91,52 +83,57 @@ class Lake:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._known: dict[str, tuple[T.StructType, str | None]] = {}
 
-    # --- append-only logs -------------------------------------------------------------
-
-    def _log_folder(self, name: str) -> str:
-        return f"{self.root}/_logs/{name}"
+    def _folder(self, name: str) -> str:
+        return f"{self.root}/{name.replace('.', '/')}"
 
-    def log(self, name: str, schema: T.StructType) -> DataFrame:
-        """All rows of a log; a log nobody has written to is empty."""
+    def _stored(self, folder: str, schema: T.StructType) -> DataFrame:
+        """Rows of a partitioned folder with their PART; one nobody has written to is empty."""
+        whole = T.StructType([*schema.fields, T.StructField(PART, T.StringType())])
         try:
-            # Deliveries lie in sub-folders of a log.
-            reader = self.spark.read.schema(schema).option("recursiveFileLookup", True)
-            return reader.parquet(self._log_folder(name))
+            return self.spark.read.schema(whole).parquet(folder)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return empty_frame(self.spark, schema)
+            return empty_frame(self.spark, whole)
+
+    @staticmethod
+    def _replace_parts(df: DataFrame, folder: str) -> None:
+        """Write the parts that ``df`` has rows of; the others stay as they are."""
+        writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(PART).parquet(folder)
+
+    # --- append-only logs -------------------------------------------------------------
+
+    def log(self, name: str, schema: T.StructType) -> DataFrame:
+        """All rows of a log; a log nobody has written to is empty."""
+        return self._stored(f"{self.root}/_logs/{name}", schema).drop(PART)
 
     def append_log(self, name: str, schema: T.StructType, rows: DataFrame, delivery: str | None = None) -> None:
         """Add rows to a log. Those of a ``delivery`` take the place of an earlier try of it."""
+        folder = f"{self.root}/_logs/{name}"
+        aligned = align(rows, schema)
         if delivery is None:
-            align(rows, schema).write.mode("append").parquet(self._log_folder(name))
+            aligned.withColumn(PART, F.lit("rows")).write.mode("append").partitionBy(PART).parquet(folder)
         else:
-            folder = f"{self._log_folder(name)}/delivery-{hashlib.sha256(delivery.encode()).hexdigest()}"
-            align(rows, schema).write.mode("overwrite").parquet(folder)
+            self._replace_parts(aligned.withColumn(PART, F.lit(f"delivery-{_digest(delivery)}")), folder)
 
     # --- reading ----------------------------------------------------------------------
 
-    def current(self, name: str) -> Row | None:
-        """The log row of a table's current version."""
-        versions = self.log("versions", VERSIONS).filter(F.col("table_name") == name)
-        return versions.orderBy(F.col("version").desc(), "committed_at", "folder").first()
-
-    def _load(self, version: Row, parts: Sequence[int] | None = None) -> DataFrame:
-        schema = _schema_of(version)
-        folders = [version["folder"]]
-        if version["parts"] is not None:
-            held = version["parts"]
-            folders = list(held.values()) if parts is None else [held[p] for p in parts if p in held]
-        if not folders:
-            return empty_frame(self.spark, schema)
-        # Appended batches lie in sub-folders of a version.
-        return self.spark.read.schema(schema).option("recursiveFileLookup", True).parquet(*folders)
+    def _definition(self, name: str) -> tuple[T.StructType, str | None] | None:
+        """A table's schema and part column, which stay what they were when it was created."""
+        if name not in self._known:
+            rows = self.log("tables", DEFINITIONS).filter(F.col("table_name") == name)
+            first = rows.orderBy("created_at", "table_schema").first()
+            if first is None:
+                return None
+            self._known[name] = T.StructType.fromJson(json.loads(first["table_schema"])), first["part_column"]
+        return self._known[name]
 
     def find(self, name: str) -> DataFrame | None:
-        current = self.current(name)
-        return self._load(current) if current else None
+        found = self._definition(name)
+        return self._stored(self._folder(name), found[0]).drop(PART) if found else None
 
     def read(self, name: str) -> DataFrame:
         found = self.find(name)
@@ -144,115 +141,52 @@ class Lake:
             raise ValueError(f"no table {name!r} in {self.root}")
         return found
 
-    def known_unique(self, name: str, key: str) -> bool:
-        """Whether merges alone have kept a table's key from repeating."""
-        current = self.current(name)
-        return bool(current) and current["unique_key"] == [key.lower()]
-
     # --- writing ----------------------------------------------------------------------
 
     def create(self, name: str, schema: T.StructType, part_column: str | None = None) -> None:
         """An empty table, so that loads have a schema to align to."""
-        if self.current(name) is None:
-            self._commit(name, empty_frame(self.spark, schema), [], "create", "CREATE", None, part_column, {})
+        if self._definition(name) is None:
+            row = self.spark.createDataFrame([(name, schema.json(), part_column)], T.StructType(DEFINITIONS.fields[:-1]))
+            self.append_log("tables", DEFINITIONS, row.withColumn("created_at", F.current_timestamp()))
 
-    def _commit(
-        self,
-        name: str,
-        df: DataFrame,
-        metrics: Sequence[Column],
-        batch_id: str,
-        operation: str,
-        current: Row | None,
-        part_column: str | None = None,
-        kept: dict[int, str] | None = None,
-        unique_key: Sequence[str] | None = None,
-        kept_rows: int = 0,
-    ) -> dict:
-        """Write a next version, count its rows on the way, and make it current.
+    def overwrite(self, name: str, df: DataFrame, batch_id: str, part_column: str | None = None) -> dict:
+        """Replace all rows; an existing table keeps its schema.
 
-        The observation sits in the stage that writes, whose tasks each count once, however
-        often an executor is lost.
+        A table that has only ever been replaced is one part, which Spark exchanges when the job has
+        succeeded; so ``df`` may be read from the table itself. With other parts, or without new
+        rows, the folder is emptied first.
         """
-        version = current["version"] + 1 if current else 0
-        folder = f"{self.root}/{name.replace('.', '/')}/v{version:06d}-{uuid4().hex[:8]}"
-        schema = df.drop(ACTION).schema
+        self.create(name, df.schema, part_column)
+        schema, part_column = self._definition(name)
+        folder = self._folder(name)
+        others = part_column or not self._stored(folder, schema).filter(F.col(PART) != WHOLE).isEmpty()
         observation = Observation()
-        counted = [F.count(F.lit(1)).alias("rows_total"), *metrics]
-        parts = None
-        if part_column is None:
-            df.observe(observation, *counted).drop(ACTION).write.parquet(folder)
+        placed = align(df, schema).withColumn(PART, part_of(df, part_column, batch_id) if part_column else F.lit(WHOLE))
+        watched = placed.hint("rebalance", PART).observe(observation, F.count(F.lit(1)).alias("rows_written"))
+        if others:
+            watched.write.mode("overwrite").partitionBy(PART).parquet(folder)
         else:
-            # Rebalancing splits a part that holds much of the table over several tasks.
-            placed = df.withColumn(PART, part_of(df, part_column)).hint("rebalance", PART)
-            placed.observe(observation, *counted).drop(ACTION).write.partitionBy(PART).parquet(folder)
-            parts = dict(kept or {})
-            if observation.get["rows_total"]:
-                # The version's log row names every part: one number and one folder for each.
-                written = self.spark.read.schema(T.StructType().add(PART, T.LongType())).parquet(folder)
-                parts |= {r[0]: f"{folder}/{PART}={r[0]}" for r in written.distinct().toLocalIterator()}
-        counts = dict(observation.get)
-        counts["rows_total"] += kept_rows
-        self._record(
-            table_name=name,
-            version=version,
-            folder=folder,
-            part_column=part_column,
-            parts=parts,
-            table_schema=schema.json(),
-            unique_key=[k.lower() for k in unique_key] if unique_key else None,
-            row_count=counts["rows_total"],
-            batch_id=batch_id,
-            operation=operation,
-        )
-        return {"operation": operation, "version": version, **counts}
-
-    def _record(self, **version) -> None:
-        row = [tuple(version[name] for name in VERSIONS.names[:-1])]
-        rows = self.spark.createDataFrame(row, T.StructType(VERSIONS.fields[:-1]))
-        self.append_log("versions", VERSIONS, rows.withColumn("committed_at", F.current_timestamp()))
-        current = self.current(version["table_name"])
-        if (current["version"], current["folder"]) != (version["version"], version["folder"]):
-            raise ConcurrentWriteError(f"{version['table_name']}: version {version['version']} is taken")
-
-    def overwrite(self, name: str, df: DataFrame, batch_id: str, part_column: str | None = None) -> dict:
-        """Replace all rows; an existing table keeps its schema."""
-        current = self.current(name)
-        if current:
-            df, part_column = align(df, _schema_of(current)), current["part_column"]
-        counts = self._commit(name, df, [], batch_id, "OVERWRITE", current, part_column)
-        rows = counts["rows_total"]
-        return {**counts, "rows_written": rows, "rows_inserted": rows, "rows_updated": 0, "rows_deleted": 0}
+            self._replace_parts(watched, folder)
+            if not observation.get["rows_written"]:
+                empty_frame(self.spark, placed.schema).write.mode("overwrite").partitionBy(PART).parquet(folder)
+        return self._added("OVERWRITE", observation.get["rows_written"])
 
     def append(self, name: str, df: DataFrame, batch_id: str, delivery: str | None = None) -> dict:
-        """Add rows to the current version, each batch in a folder of its own.
+        """Add rows, as a part of their own.
 
         Rows of a ``delivery`` take the place of an earlier try of it, so neither a replay nor a
         retry adds rows twice.
         """
-        current = self.current(name)
-        if current is None:
-            self.create(name, df.schema)
-            current = self.current(name)
-        if current["parts"] is not None:
-            raise ValueError(f"{name}: a table kept in parts takes merges and full loads only")
-        # Recorded first: from here on no key of the table is known to be unique.
-        version = current["version"] + 1
-        changed = {"version": version, "unique_key": None, "batch_id": batch_id, "operation": "APPEND"}
-        self._record(**{**current.asDict(), **changed})
-        part = hashlib.sha256(delivery.encode()).hexdigest() if delivery else uuid4().hex
+        self.create(name, df.schema)
+        part = f"delivery-{_digest(delivery)}" if delivery else f"delivery-{uuid4().hex}"
         observation = Observation()
         watched = df.observe(observation, F.count(F.lit(1)).alias("rows_written"))
-        watched.write.mode("overwrite").parquet(f"{current['folder']}/batch-{part}")
-        rows = observation.get["rows_written"]
-        return {
-            "operation": "APPEND",
-            "version": version,
-            "rows_written": rows,
-            "rows_inserted": rows,
-            "rows_updated": 0,
-            "rows_deleted": 0,
-        }
+        self._replace_parts(watched.withColumn(PART, F.lit(part)), self._folder(name))
+        return self._added("APPEND", observation.get["rows_written"])
+
+    @staticmethod
+    def _added(operation: str, rows: int) -> dict:
+        return {"operation": operation, "rows_written": rows, "rows_inserted": rows, "rows_updated": 0, "rows_deleted": 0}
 
     def merge(
         self,
@@ -272,76 +206,64 @@ class Lake:
 
         With ``order`` a row isn't replaced by one whose value of that column is smaller.
 
-        The source should be cheap to read twice, such as a written table, as it may be
-        measured before it is joined. When it is small, and much smaller than the target, it
-        is broadcast, and the target is read without being shuffled. ``part_column`` is how a
-        table that does not exist yet will be kept.
+        The source should be cheap to read several times, such as a written table. When it was
+        measured to be small, and much smaller than the parts it meets, it is broadcast, and they
+        are read without being shuffled. ``part_column`` is how a table that does not exist yet
+        will be kept.
         """
-        current = self.current(name)
-        if current is None:
+        new = self._definition(name) is None
+        self.create(name, source.schema, part_column)
+        schema, part_column = self._definition(name)
+        # The stored types stand, whatever the source's are.
+        source = align(source, T.StructType([f for f in schema.fields if find_name(source, f.name)]))
+        source = source.withColumn(PART, part_of(source, part_column, batch_id))
+        small = False
+        if new:
             merged = source.withColumn(ACTION, F.lit(INSERT))
-            counts = self._commit(
-                name, merged, merge_metrics(), batch_id, "MERGE", None, part_column, unique_key=keys
+        else:
+            target = self._stored(self._folder(name), schema)
+            small = fits_broadcast(source, source_rows)
+            parts = self._parts(name, target, source, keys, small)
+            # The filter lets Spark read the parts that were found and skip the others' files.
+            found = F.broadcast(parts.filter(F.col(PART) >= ""))
+            touched = target.join(found, PART, "left_semi")
+            if small and touched.count() < BROADCAST_RATIO * (source.count() if source_rows is None else source_rows):
+                small = False
+            merged = merge_scd1(
+                touched.select(*schema.names, PART),
+                source,
+                keys,
+                compare=compare,
+                preserve=[*preserve, PART],
+                exclude=exclude,
+                small_source=small,
+                order=order,
             )
-            return {**counts, "rows_deleted": 0, "broadcast": False}
+        observation = Observation()
+        # Rebalancing splits a part that holds much of the table over several tasks.
+        watched = merged.hint("rebalance", PART).observe(observation, *merge_metrics()).drop(ACTION)
+        self._replace_parts(watched, self._folder(name))
+        return {"operation": "MERGE", **observation.get, "rows_deleted": 0, "broadcast": small}
 
-        # The stored types stand, whatever the source's are.
-        stored = _schema_of(current)
-        present = [f for f in stored.fields if find_name(source, f.name)]
-        source = align(source, T.StructType(present))
-        rows = source.count() if source_rows is None else source_rows
-        small = rows * BROADCAST_RATIO <= current["row_count"] and fits_broadcast(source, rows)
-        target, kept, kept_rows = self._load(current), None, 0
-        if current["parts"] is not None:
-            touched = self._touched(target, source, keys, current, small)
-            kept = {p: f for p, f in current["parts"].items() if p not in touched}
-            target = self._load(current, touched)
-            kept_rows = current["row_count"] - target.count()
-        merged = merge_scd1(
-            target,
-            source,
-            keys,
-            compare=compare,
-            preserve=preserve,
-            exclude=exclude,
-            small_source=small,
-            order=order,
-        )
-        empty = current["row_count"] == 0 and current["operation"] != "APPEND"
-        unique = keys if empty or current["unique_key"] == [k.lower() for k in keys] else None
-        counts = self._commit(
-            name,
-            merged,
-            merge_metrics(),
-            batch_id,
-            "MERGE",
-            current,
-            current["part_column"],
-            kept,
-            unique,
-            kept_rows,
-        )
-        return {**counts, "rows_deleted": 0, "broadcast": small}
-
-    def _touched(
-        self, target: DataFrame, source: DataFrame, keys: Sequence[str], current: Row, small: bool
-    ) -> list[int]:
-        """Parts that hold a source key now, and parts the source rows belong to.
-
-        Looking keys up in the whole target, which reads only its key and part columns, finds
-        also rows that move from one part to another. The result is bounded by the number of
-        parts.
+    def _parts(self, name: str, target: DataFrame, source: DataFrame, keys: Sequence[str], small: bool) -> DataFrame:
+        """Parts that hold a key of the source now, and parts its rows go to; one short row each.
+
+        The whole target is looked through, but only its keys are read.
         """
-        name = current["part_column"]
-        held = matching_rows(target.withColumn(PART, part_of(target, name)), source, keys, small)
-        homes = held.select(PART)
-        coming = source.select(part_of(source, name).alias(PART))
-        return [r[0] for r in homes.union(coming).distinct().collect()]
+        held = matching_rows(target, source.drop(PART), keys, small).select(PART)
+        return self.stage(f"{name}.parts", held.unionByName(source.select(PART)).distinct())
 
     # --- staging ----------------------------------------------------------------------
 
     def stage(self, name: str, df: DataFrame) -> DataFrame:
-        """Write a frame once and read it back: later steps no longer repeat its lineage."""
-        folder = f"{self.root}/_staging/{name.replace('.', '/')}/{uuid4().hex}"
-        df.write.parquet(folder)
+        """Write a frame once and read it back: later steps no longer repeat its lineage.
+
+        The next frame that is staged by this name takes its place; ``unstage`` empties it.
+        """
+        folder = f"{self.root}/_staging/{name.replace('.', '/')}/rows"
+        df.write.mode("overwrite").parquet(folder)
         return self.spark.read.schema(df.schema).parquet(folder)
+
+    def unstage(self, name: str) -> None:
+        """Give up the space of a staged frame."""
+        self.stage(name, empty_frame(self.spark, T.StructType([T.StructField("nothing", T.IntegerType())])))

@@ -29,6 +29,16 @@ def file_stream(
     return reader.parquet(folder)
 
 
+def without_redelivery(stream: DataFrame, event_time: str, identity: Sequence[str], lateness: str) -> DataFrame:
+    """Each row once, however many files bring it: the first delivery of its ``identity``.
+
+    What was seen is kept as state until the event time, less ``lateness``, has passed it; a row
+    that is later still is dropped, as it can't be known whether it was seen. Batches may come in
+    any order of event time within that bound.
+    """
+    return stream.withWatermark(event_time, lateness).dropDuplicatesWithinWatermark([event_time, *identity])
+
+
 def stream_silver(
     lake: Lake,
     stream: DataFrame,

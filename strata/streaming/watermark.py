@@ -16,8 +16,33 @@ from strata.operators.dedupe import latest_per_key
 
 
 def watermark_state(log: DataFrame) -> DataFrame:
-    """One row per load from an append-only log of watermark moves: the latest move."""
-    return latest_per_key(log, ["pipeline_id"], "updated_timestamp")
+    """One row per load from an append-only log of watermark moves: the latest move.
+
+    A load that was told to start over since has no row.
+    """
+    return latest_per_key(log, ["pipeline_id"], "updated_timestamp").filter(F.col("current_watermark").isNotNull())
+
+
+def start_over(state: DataFrame) -> DataFrame:
+    """Moves that end the history of the loads in ``state``: each starts over, as if never run."""
+    moment = F.current_timestamp()
+    nothing = F.lit(None).cast("string")
+    return state.withColumns(
+        {
+            "previous_watermark": F.col("current_watermark"),
+            "current_watermark": nothing,
+            "last_successful_batch_id": nothing,
+            "last_successful_audit_id": nothing,
+            "updated_timestamp": moment,
+        }
+    )
+
+
+def load_position(log: DataFrame, pipeline_id: str) -> tuple[str | None, str | None]:
+    """A load's watermark, and the time it was last told to start over; one aggregate, no sort."""
+    own = log.filter(F.col("pipeline_id") == pipeline_id)
+    ended = F.max(F.when(F.col("current_watermark").isNull(), F.col("updated_timestamp")))
+    return tuple(own.agg(F.max_by("current_watermark", "updated_timestamp"), as_text(ended, T.TimestampType())).first())
 
 
 def current_watermark(state: DataFrame | None, pipeline_id: str) -> str | None:

@@ -1,4 +1,5 @@
 import datetime as dt
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from strata.plans.loads import (
 from strata.sources import control
 from strata.sources.control import LoadSpec
 from strata.sources.folders import shared_folder
-from strata.sources.lake import ConcurrentWriteError, Lake
+from strata.sources.lake import PART, Lake
 from strata.streaming.stream import file_stream, stream_silver
 from strata.streaming.watermark import (
     advance_watermarks,
@@ -212,23 +213,63 @@ def test_a_table_in_parts_is_rewritten_only_where_a_batch_reaches(spark, lake):
     ]
     changed = []
     for number, batch in enumerate(batches):
-        before = lake.current("silver.job")
+        before = files(lake, "silver.job")
         result = silver_load(lake, spec, f"B{number}", source=days(*batch), options=options)
         other = silver_load(lake, plain, f"B{number}", source=days(*batch))
-        for counter in ("rows_inserted", "rows_updated", "rows_total"):
+        for counter in ("rows_inserted", "rows_updated"):
             assert result.counts[counter] == other.counts[counter]
-        after = lake.current("silver.job")
-        held = before["parts"] if before else {}
-        changed.append(sorted(p for p, f in after["parts"].items() if held.get(p) != f))
+        after = files(lake, "silver.job")
+        changed.append(sorted(p for p in after if before.get(p) != after[p]))
         shown = ("id", "v", "day", "record_hash", "silver_batch_id")
         assert rows(lake.read("silver.job"), *shown) == rows(lake.read("silver.plain"), *shown)
-    assert changed[0] == [-1, 20250101, 20250102, 20250103, 20250104]
-    assert changed[1] == [20250101, 20250105]
-    assert changed[2] == [20250102, 20250103, 20250104]
-    assert changed[3] == [20250101]
-    assert -1 not in lake.current("silver.job")["parts"]
-    with pytest.raises(ValueError, match="kept in parts"):
-        silver_load(lake, with_load_type(spec, "APPEND"), "B9", source=days(*batches[1]))
+    assert changed[0] == ["20250101", "20250102", "20250103", "20250104", "none"]
+    assert changed[1] == ["20250101", "20250105"]
+    assert changed[2] == ["20250102", "20250103", "20250104", "none"]  # where rows are, and where theirs would go
+    assert changed[3] == ["20250101"]
+    parts = files(lake, "silver.plain")
+    assert len(parts) == 2  # by default the batches that brought new rows
+    silver_load(lake, plain, "B8", source=days((6, "g", d(5))))
+    again = files(lake, "silver.plain")
+    assert sum(again[p] == parts.get(p) for p in again) == 1
+
+
+def files(lake, name):
+    """The files of each part of a table."""
+    out = {}
+    for path in Path(lake.root, *name.split(".")).glob(f"{PART}=*/*.parquet"):
+        out.setdefault(path.parent.name.split("=")[1], set()).add(path.name)
+    return out
+
+
+def test_a_merge_reads_only_the_parts_it_writes(spark, lake):
+    df = spark.range(1000).withColumn("day", F.expr("date_add(date '2025-01-01', cast(id % 5 as int))"))
+    lake.merge("t", df, ["id"], "B1", compare=None, part_column="day")
+    before = files(lake, "t")
+    one = df.filter("id = 7").withColumn("day", F.expr("date '2025-01-03'"))
+    result = lake.merge("t", one, ["id"], "B2", compare=None)
+    after = files(lake, "t")
+    assert [p for p in after if after[p] != before[p]] == ["20250103"]
+    assert (result["rows_updated"], result["rows_inserted"], lake.read("t").count()) == (1, 0, 1000)
+
+
+def test_no_staging_is_left_behind(spark, lake):
+    silver_load(lake, SPEC, "B1", source=bronze(spark, (1, "a", at(1)), (2, "b", at(2))))
+    silver_load(lake, SPEC, "B2", source=bronze(spark, (1, "a", at(1)), (3, "c", at(3))))
+    left = spark.read.option("recursiveFileLookup", True).parquet(f"{lake.root}/_staging/silver/job/rows")
+    assert left.count() == 0
+
+
+def test_a_full_load_may_read_the_table_it_replaces(spark, lake):
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string")
+    lake.overwrite("t", df, "B1")
+    lake.overwrite("t", lake.read("t").filter("id = 2").union(df.filter("id = 1")), "B2")
+    assert rows(lake.read("t")) == [(1, "a"), (2, "b")]
+    lake.overwrite("t", lake.read("t").filter("id > 5"), "B3")
+    assert lake.read("t").count() == 0
+    lake.append("t", df, "B4")
+    lake.merge("t", df, ["id"], "B5", compare=None)
+    lake.overwrite("t", df.filter("id = 1"), "B6")
+    assert rows(lake.read("t")) == [(1, "a")]
 
 
 def test_parts_by_number_and_by_text(spark, lake):
@@ -243,31 +284,6 @@ def test_parts_by_number_and_by_text(spark, lake):
         assert lake.read(f"by_{name}").count() == 0 and lake.read(f"by_{name}").columns == ["id", "v"]
 
 
-def test_uniqueness_is_known_only_while_every_write_was_a_merge_on_the_key(spark, lake):
-    df = spark.createDataFrame([(1, "a")], "id int, v string")
-    lake.create("t", df.schema)
-    assert not lake.known_unique("t", "id")
-    lake.merge("t", df, ["id"], "B1", compare=None)
-    assert lake.known_unique("t", "ID") and not lake.known_unique("t", "v")
-    lake.append("t", df, "B2")
-    assert not lake.known_unique("t", "id") and lake.read("t").count() == 2
-    lake.merge("t", df, ["id"], "B3", compare=None)
-    assert not lake.known_unique("t", "id")
-
-
-def test_the_later_of_two_writes_from_one_version_fails(spark, lake):
-    df = spark.createDataFrame([(1, "a")], "id int, v string")
-    lake.create("t", df.schema)
-    start = lake.current("t")
-    lake.merge("t", df, ["id"], "first", compare=None)
-    late = Lake(spark, lake.root)
-    seen = []
-    late.current = lambda name: seen.append(name) or (start if len(seen) == 1 else Lake.current(late, name))
-    with pytest.raises(ConcurrentWriteError, match="version 1 is taken"):
-        late.merge("t", df.withColumn("v", F.lit("z")), ["id"], "second", compare=None)
-    assert rows(lake.read("t")) == [(1, "a")]
-
-
 def test_gold_merges_keep_first_times_and_colliding_keys_apart(spark, lake):
     silver_spec = LoadSpec("S", "s", "SILVER", "b", "customer", "MERGE", ("customer_id",))
     spec = LoadSpec("G", "g", "GOLD", "customer", "gold.dim_customer", "MERGE", ("customer_key",))
