@@ -89,7 +89,9 @@ class _Grams:
         long = h2 != 0
         ends = np.sort(h1[~long])
         a, b, c = h1[long], h2[long], h3[long]
-        key = mix(a.view(np.uint64) + mix(b.view(np.uint64) + mix(c.view(np.uint64))))
+        # Sorted by the first word, then the second: the shuffle's compression finds both repeated.
+        high, low = np.uint64(32), np.uint64(48)
+        key = (mix(a.view(np.uint64)) >> high << high) | (mix(b.view(np.uint64)) >> low << np.uint64(16)) | (mix(c.view(np.uint64)) >> low)
         order = np.argsort(key)
         a, b, c = a[order], b[order], c[order]
         first = np.ones(len(a), bool)  # equal keys of different grams at most split a count

@@ -1,7 +1,7 @@
 """Token ids of many texts with the tokenizers library.
 
-Each distinct word is encoded once by a worker and its ids are remembered, up to MEMO_WORDS words;
-later words are encoded again each time. A text is cut only where the tokenizer's own splitting
+A worker remembers the ids of the words it meets. With MEMO_WORDS of them it forgets all and starts
+again, so that what is remembered are words of the texts at hand. A text is cut only where the tokenizer's own splitting
 always cuts, at a single space between two other characters, so the ids are those of the whole
 text.
 """
@@ -42,25 +42,25 @@ class WordMemo:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
         self.lead = {"leads": " ", "dropped": ""}[space]
         same = [self.tokenizer.encode(c, add_special_tokens=False).ids for c in "Aa"]
         self.folds = space == "dropped" and same[0] == same[1]  # the tokenizer lower-cases
         self.first: dict[str, bytes] = {}
         self.rest: dict[str, bytes] = self.first if space == "dropped" else {}
 
-    def _learn(self, known: dict[str, bytes], words: set[str], lead: str) -> list[str]:
-        """Adds the ids of words not known yet; returns those that have no room for longer."""
+    def _learn(self, known: dict[str, bytes], words: set[str], lead: str) -> None:
+        """Adds the ids of words not known yet; forgets the others where there is no room."""
         new = list(words.difference(known))
-        room = max(0, MEMO_WORDS - len(known))
+        if len(known) + len(new) > MEMO_WORDS:
+            known.clear()
+            new = list(words)
         coded = self.tokenizer.encode_batch_fast([lead + w for w in new], add_special_tokens=False)
         known.update((w, array("I", e.ids).tobytes()) for w, e in zip(new, coded))
-        return new[room:]
 
     def _parts(self, text: str) -> list[str]:
         if self.lead and (text[0] in _SPACES or text[-1] in _SPACES or any(pair in text for pair in _ODD_PAIRS)):
             return _SAFE_SPACE.split(text)
-        if self.folds and _latin(text):
+        if self.folds and "<|" not in text and _latin(text):  # capitals make no special token
             text = text.lower()
         return text.split(" ")
 
@@ -69,13 +69,13 @@ class WordMemo:
         for at in range(0, len(texts), group):
             split = [self._parts(t) if t else [""] for t in texts[at : at + group]]
             heads = [p.pop(0) for p in split]
-            one = self._learn(self.first, set(heads), "")
-            two = self._learn(self.rest, set().union(*split), self.lead)
+            if self.rest is self.first:
+                self._learn(self.first, set(heads).union(*split), "")
+            else:
+                self._learn(self.first, set(heads), "")
+                self._learn(self.rest, set().union(*split), self.lead)
             head, rest = self.first.__getitem__, self.rest.__getitem__
             out += [head(h) + b"".join(map(rest, p)) for h, p in zip(heads, split)]
-            for memo, passing in ((self.first, one), (self.rest, two)):
-                for w in passing:
-                    del memo[w]
         return out
 
 

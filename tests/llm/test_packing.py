@@ -16,7 +16,7 @@ from strata.llm.tokens import WordMemo
 BYTE_BPE, WORD_BPE = tokenizer_file("byte_bpe_50k.json"), tokenizer_file("word_bpe_49k.json")
 ODD = [
     "", " ", "  a", "a  b", "a \n b", "\n\nx y\t z ", "it's we'll 'S 's x", "naïve Über ΑΣ ΑΣ Ω", "a᠎ b ᠎c",
-    "<|endoftext|> <|startoftext|>a", "x\x1cy \x85 z", "1234 5,6.7 €", "é e ́a", "日本語 テキスト", "a" * 3000, " 　 b", "﻿a b",
+    "<|endoftext|> <|startoftext|>a", "b <|endoftext|> c<|endoftext|>d <|ENDOFTEXT|>", "<|endoftext|>", "X <|EndOfText|> Y", "x\x1cy \x85 z", "1234 5,6.7 €", "é e ́a", "日本語 テキスト", "a" * 3000, " 　 b", "﻿a b",
 ]
 
 
@@ -24,9 +24,7 @@ ODD = [
 def whole(path):
     from tokenizers import Tokenizer
 
-    out = Tokenizer.from_file(path)
-    out.encode_special_tokens = True
-    return out
+    return Tokenizer.from_file(path)
 
 
 def ids(path, text):
