@@ -12,6 +12,15 @@ from strata.llm.common import picked, table, tokenizer_file, written
 ORACLE_SQL = None
 
 
+# Rows of whole texts that go to a Python worker at a time. Spark's 10,000 are tens of megabytes of
+# text, held by the executor's direct memory and by the worker at once, and kept by both.
+BATCH_ROWS = 1000
+
+
+def _small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that neither the base rule nor the learned list rejects."""
     rules = quality_rules.learn_rules(docs, table(spark, sf_dir, "labels"))
@@ -20,11 +29,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, the one of the smallest id."""
+    _small_batches(spark)
     return minhash.keep_one(docs, percent=80)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents; passages that stand in an earlier one too are cut out, n_chars follows."""
+    _small_batches(spark)
     cut = suffix_dedup.without_repeats(docs)
     return suffix_dedup.with_length(cut) if "n_chars" in docs.columns else cut
 
@@ -36,6 +47,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where each piece of each document's ids lies in the training sequences."""
+    _small_batches(spark)
     return packing.pack(docs, tokenizer_file("byte_bpe_50k.json"))
 
 
