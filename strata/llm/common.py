@@ -33,6 +33,14 @@ def picked(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     return df.select(*(F.col(f"`{theirs}`").alias(own) for own, theirs in columns.items()))
 
 
+def rows_without(docs: DataFrame, key: str, gone: DataFrame) -> DataFrame:
+    """The rows whose key isn't in the one column of ``gone``, whatever else their columns are called."""
+    name = "_gone"
+    while name in {c.lower() for c in docs.columns}:
+        name += "_"
+    return docs.join(gone.toDF(name).distinct(), F.col(f"`{key}`") == F.col(name), "left_anti")
+
+
 def tokenizer_file(name: str) -> str:
     """Where an installed public tokenizer's file is; the same place on every machine."""
     import public_tokenizers

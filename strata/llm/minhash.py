@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import picked, written
+from strata.llm.common import picked, rows_without, written
 from strata.llm.components import connected
 from strata.llm.words import lists, mix, sequence_hashes, shingles, word_slices
 
@@ -259,5 +259,4 @@ def _possible(left: DataFrame, chosen: DataFrame, percent: int) -> DataFrame:
 
 def keep_one(docs: DataFrame, percent: int = 85, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that stand for their component, and those linked with nothing."""
-    gone = near_duplicates(docs, percent, key, text).filter(~F.col("kept")).select(F.col(key).alias("_gone")).distinct()
-    return docs.join(gone, F.col(f"`{key}`") == F.col("_gone"), "left_anti")
+    return rows_without(docs, key, near_duplicates(docs, percent, key, text).filter(~F.col("kept")).select(key))

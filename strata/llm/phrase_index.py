@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import picked, written
+from strata.llm.common import picked, rows_without, written
 
 WINDOW_WORDS = 13
 # A vocabulary of up to so many counted terms is broadcast; a larger one is joined by shuffle.
@@ -217,5 +217,4 @@ def contamination(
 
 def without_contaminated(docs: DataFrame, tests: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that aren't contaminated."""
-    bad = contamination(docs, tests, key, text).filter("contaminated").select(F.col(key).alias("_bad")).distinct()
-    return docs.join(bad, F.col(f"`{key}`") == F.col("_bad"), "left_anti")
+    return rows_without(docs, key, contamination(docs, tests, key, text).filter("contaminated").select(key))
