@@ -21,7 +21,7 @@ from strata.sources import control
 from strata.sources.control import LoadSpec
 from strata.sources.folders import shared_folder
 from strata.sources.lake import PART, Lake
-from strata.streaming.stream import file_stream, stream_silver
+from strata.streaming.stream import file_stream, stream_silver, without_redelivery
 from strata.streaming.watermark import (
     advance_watermarks,
     current_watermark,
@@ -407,3 +407,39 @@ def test_watermark_text_means_the_same_in_another_zone(spark):
         assert incremental_slice(df, "ingestion_timestamp", None, high).count() == 1
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+@pytest.mark.parametrize("bound,stops", [(50.0, False), (49.0, True)])
+def test_a_load_stops_only_beyond_a_rules_threshold(spark, lake, bound, stops):
+    rules = [Rule("R", "r", "v <> 'bad'", FAIL_PIPELINE, threshold_value=bound)]
+    options = SilverOptions(enforce_thresholds=True)
+    source = bronze(spark, (1, "a", at(1)), (2, "bad", at(2)))
+    if stops:
+        with pytest.raises(DataQualityError):
+            silver_load(lake, SPEC, "B1", source=source, rules=rules, options=options)
+        assert lake.find("silver.job") is None
+    else:
+        counts = silver_load(lake, SPEC, "B1", source=source, rules=rules, options=options).counts
+        assert (counts["rows_inserted"], counts["rows_rejected"]) == (1, 1)
+    assert lake.log("rejected_record", control.REJECTED_RECORD).count() == 1
+
+
+def test_a_redelivered_file_changes_nothing_whatever_the_order(spark, lake, tmp_path):
+    folder, checkpoint = str(tmp_path / "files"), str(tmp_path / "checkpoint")
+    batches = [[(1, "new", at(9)), (2, "b", at(8))], [(1, "old", at(1)), (3, "c", at(2))], [(1, "new", at(9)), (2, "b", at(8))]]
+    spec = LoadSpec(**{**SPEC.__dict__, "sequence_column": "ingestion_timestamp", "watermark_column": None})
+
+    def run():
+        stream = file_stream(spark, folder, bronze(spark, (0, "x", at(1))).schema, max_files=1)
+        once = without_redelivery(stream, "ingestion_timestamp", ["id"], "30 days")
+        stream_silver(lake, once, spec, checkpoint).awaitTermination()
+
+    for batch in batches:
+        bronze(spark, *batch).coalesce(1).write.mode("append").parquet(folder)
+        run()
+    assert rows(lake.read("silver.job"), "id", "v") == [(1, "new"), (2, "b"), (3, "c")]
+    commits = sorted((tmp_path / "checkpoint" / "commits").glob("[0-9]*"), key=lambda p: int(p.name))
+    commits[-1].unlink()  # as if the driver had died after the write but before the commit
+    commits[-1].with_name(f".{commits[-1].name}.crc").unlink()
+    run()
+    assert rows(lake.read("silver.job"), "id", "v") == [(1, "new"), (2, "b"), (3, "c")]

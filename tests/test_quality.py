@@ -127,3 +127,14 @@ def test_every_row_lands_on_one_side_and_counts_match_sequential_rules(spark, da
         if rule.failure_action in quality.BLOCKING:
             left = [r for r in left if r not in failed]
     assert counts(df, rules, null_policy=policy) == want
+
+
+def test_a_threshold_is_a_percentage_that_may_fail(spark):
+    df = spark.range(100)
+    for bound, status in ((9.9, "FAILED"), (10.0, "PASSED"), (None, "FAILED")):
+        rule = Rule("R", "r", "id >= 10", quality.FAIL_PIPELINE, threshold_value=bound)
+        after = Rule("S", "s", "id < 50", quality.WARN, threshold_value=60.0)
+        counts = quality.rule_counts(quality.classify(df, [rule, after]), [rule, after], thresholds=True)
+        assert [(r["rule_id"], r["rule_status"]) for r in counts.collect()] == [("R", status), ("S", "PASSED")][: 1 + (status == "PASSED")]
+    none = quality.rule_counts(quality.classify(df.limit(0), [rule]), [rule], thresholds=True).first()
+    assert (none["rule_status"], none["failure_percentage"]) == ("PASSED", 0.0)
