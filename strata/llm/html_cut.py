@@ -56,8 +56,10 @@ BOILERPLATE_WORDS = frozenset(
     "ad ads advert advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies "
     "copyright disqus footer form gdpr header legal login masthead menu modal nav navbar navigation newsletter "
     "notice pager pagination popup promo promotion related reply replies share sharing sidebar signup skip social "
-    "sponsor sponsored subscribe subscription teaser toolbar widget".split()
+    "respond responses sponsor sponsored subscribe subscription teaser toolbar widget".split()
 )
+# Endings that make no other word of a boilerplate word: commentlist, replylist, sidebarbox.
+BOX_WORDS = ("area", "bar", "block", "box", "container", "form", "item", "list", "section", "thread", "wrap", "wrapper")
 BOILERPLATE_WORD = -9000
 NEVER_CHARGED = frozenset(["body", "html", "article", "main"])
 # What follows one of these in a class or id tells how the page is laid out, not what the element is.
@@ -70,11 +72,14 @@ HEADING_GAIN = 600
 LINK_LOSS = 4000  # times the share of characters in links
 BIAS = -900
 SMOOTH_PARENT, SMOOTH_GRAND, SMOOTH_FAR = 900, 450, 100
+# Blocks whose elements' evidence differs by so much belong to different parts of the page, however near.
+CONTRAST = 3000
 
 _TAG = re.compile(r"<(?:!--|[!?]|/?[A-Za-z])")
-_OPEN = re.compile(r"""<(/?)([A-Za-z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*'|["'])*?)>""")
-_ATTRIBUTE = re.compile(r"""\b(id|class|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
-_HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none""", re.I)
+# A quote counts only where a value begins. All parts are possessive, so a tag is read once, however it ends.
+_OPEN = re.compile(r"""<(/?+)([A-Za-z][^\s/>]*+)((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+)>""")
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=][^\s>/=]*+)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>]++)))?+""")
+_UNSEEN = re.compile(r"display\s*:\s*none", re.I)
 _WORD = re.compile(r"[a-z]+")
 _SENTENCE = re.compile(r"[.!?。！？…](?:\s|$)")
 
@@ -102,19 +107,31 @@ class _Open:
 def _is_boilerplate(name: str) -> bool:
     """Whether a class, id or role names boilerplate: cookie-notice does; has-sidebar and entry-header don't."""
     words = _WORD.findall(name)
+    words = [next((w.removesuffix(b) for b in BOX_WORDS if w.removesuffix(b) in BOILERPLATE_WORDS), w) for w in words]
     words = words[: next((i for i, w in enumerate(words) if w in STATE_WORDS), None)]
     found = BOILERPLATE_WORDS.intersection(words)
     return bool(found) and not (found == {"header"} and any(w in CONTENT_WORDS for w in words))
 
 
-def _evidence(tag: str, attributes: str, inside: list[_Open]) -> tuple[int, int]:
+def _attributes(text: str) -> dict[str, str]:
+    """A tag's attributes by lower-case name; of repeated ones the first counts."""
+    out: dict[str, str] = {}
+    for name, double, single, bare in _ATTRIBUTE.findall(text):
+        out.setdefault(name.lower(), double or single or bare)
+    return out
+
+
+def _is_hidden(attributes: dict[str, str]) -> bool:
+    return "hidden" in attributes or bool(_UNSEEN.search(attributes.get("style", "")))
+
+
+def _evidence(tag: str, attributes: dict[str, str], inside: list[_Open]) -> tuple[int, int]:
     """The score of an element's tag and content words, and the charge for its boilerplate words."""
     score, charge = CONTENT_TAGS.get(tag, 0) + BOILERPLATE_TAGS.get(tag, 0), 0
     own_head = tag == "header" and any(o.tag == "article" for o in inside)
     if own_head:
         score = 0  # an article's own head
-    for _, value in _ATTRIBUTE.findall(attributes):
-        value = value.lower()
+    for value in (attributes.get(name, "").lower() for name in ("id", "class", "role")):
         charged = any(_is_boilerplate(name) for name in value.split())
         charge += BOILERPLATE_WORD * charged
         if not charged or tag in NEVER_CHARGED:
@@ -222,7 +239,7 @@ def blocks(page: str) -> list[Block]:
         if name in DRAWN and not closing and not attributes.endswith("/"):
             end = end_of(name)
             drawn = max(drawn, end.start() if end else 0)
-            if end and _HIDDEN.search(attributes):
+            if end and _is_hidden(_attributes(attributes)):
                 place = end.end()
                 continue
         if name in INLINE or at < drawn:
@@ -245,7 +262,8 @@ def blocks(page: str) -> list[Block]:
             close(len(stack) - 1)
         while stack and stack[-1].tag in CLOSED_BY.get(name, ()):
             close(len(stack) - 1)
-        score, charge = (HIDDEN_SCORE, 0) if _HIDDEN.search(attributes) else _evidence(name, attributes, stack)
+        given = _attributes(attributes)
+        score, charge = (HIDDEN_SCORE, 0) if _is_hidden(given) else _evidence(name, given, stack)
         hidden += score == HIDDEN_SCORE
         around = stack[-1] if stack else elements[0]
         stack.append(_Open(name, len(elements), around.number, score, charge, around.heading or name in HEADINGS))
@@ -276,10 +294,12 @@ def smoothness(found: list[Block]) -> list[tuple[int, int, int]]:
         if j:
             before = found[j - 1].path
             near = SMOOTH_PARENT if before[:-1] == parent else SMOOTH_GRAND if before[:-2] == grand else SMOOTH_FAR
+            if abs(block.score - found[j - 1].score) > CONTRAST:
+                near = SMOOTH_FAR
             edges.append((j - 1, j, near))
         i = last_in.get(parent)
         if i is not None and i != j - 1:
-            edges.append((i, j, SMOOTH_GRAND))
+            edges.append((i, j, SMOOTH_GRAND if abs(block.score - found[i].score) <= CONTRAST else SMOOTH_FAR))
         last_in[parent] = j
     return edges
 

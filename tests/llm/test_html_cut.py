@@ -3,6 +3,7 @@
 import itertools
 import random
 import re
+import time
 
 from strata.llm import html_cut
 from strata.llm.queries import QUERIES
@@ -82,6 +83,36 @@ def test_formulas_fallbacks_and_elements_without_end():
     html_cut.main_text("<title><svg><script>" * 100_000)
 
 
+def test_tags_that_never_end_and_many_quotes_take_linear_time():
+    begun = time.perf_counter()
+    story = "<p>" + "This is a sentence of the story. " * 5
+    for tail in ('<a title="a>b"' + ' x="y"' * 10_000, "<a " + "b='" * 10_000, '<a "' * 10_000, "<a =" * 10_000, '<a b="c' * 10_000):
+        assert html_cut.main_text(f"<article>{story}</p>{tail}").startswith("This is a sentence of the story.")
+    many = "".join(f'<p title="x > {i}" data-x=\'"\'>Word number {i} of a sentence.</p>' for i in range(2000))
+    assert html_cut.main_text(f"<article>{many}</article>").count("\n") == 1999
+    assert time.perf_counter() - begun < 5
+
+
+def test_attributes_are_read_by_name():
+    text = "This is a sentence of the story. " * 5
+    for tag in ('p title="a hidden gem"', 'p class="hidden lg:block"', "p data-role=dialog data-id=nav", 'p title="display: none"'):
+        assert html_cut.main_text(f"<article><{tag}>{text}</p></article>") == text.strip(), tag
+    for tag in ("p hidden", 'p HIDDEN=""', "p style='color: red; Display : none'"):
+        assert html_cut.main_text(f"<article><{tag}>{text}</p><p>{text}</article>") == text.strip(), tag
+
+
+def test_comments_named_in_one_word_and_their_neighbours():
+    text = "This is a sentence of the story. " * 5
+    comment = "I liked this article very much, and so did all of my friends. " * 2
+    for name in ('class="commentlist"', 'id="replylist"', 'id="responses"', 'class="comment-thread"', 'id=respond'):
+        page = f"<article><p>{text}</p><div {name}><p>{comment}</p></div></article>"
+        assert html_cut.main_text(page) == text.strip(), name
+    near = "A short bare paragraph of only eleven words stands right here."
+    page = f'<body><article><p>{text}</p></article><p>{near}</p><div class="comments"><p>{comment}</p><p>{comment}</p></div></body>'
+    assert html_cut.main_text(page) == f"{text.strip()}\n{near}"
+    assert html_cut.main_text(f'<article><div class="commentary"><p>{text}</p></div></article>') == text.strip()
+
+
 def test_pages_without_article_tags():
     body = "<p>" + "This is a sentence of the story. " * 5 + "</p>"
     page = f"<div id=menu><a href=a>Home</a> <a href=b>News</a></div><div class=story>{body}{body}</div><div class=footer>End. Of page.</div>"
