@@ -32,6 +32,7 @@ BANDS = 20
 BAND_ROWS = 4
 # About so many pivots of a bucket in the first round across components, times as many in the next.
 PIVOT_GROWTH = 32
+_LONG_MAX = (1 << 63) - 1
 
 
 def _fmix32(x: np.ndarray) -> np.ndarray:
@@ -87,15 +88,15 @@ def _hash_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     pa.array(np.array([len(s) for s in sets], dtype=np.int64)),
                     lists(keys),
                 ],
-                names=["k", "one", "two", "n", "buckets"],
+                names=["key", "one", "two", "n", "buckets"],
             )
 
 
 def _shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for words in word_slices(batch.column(1)):
-            ids = batch.column(0).slice(words.lo, len(words))
-            yield pa.RecordBatch.from_arrays([ids, lists(shingles(words, SHINGLE_WORDS))], names=["k", "shingles"])
+        for words in word_slices(batch.column(0)):
+            one, two = (pa.array(x.view(np.int64)) for x in sequence_hashes(words))
+            yield pa.RecordBatch.from_arrays([one, two, lists(shingles(words, SHINGLE_WORDS))], names=["one", "two", "shingles"])
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -118,33 +119,40 @@ def near_duplicates(docs: DataFrame, percent: int = 85, key: str = "doc_id", tex
     Texts whose shingle sets have a Jaccard similarity of ``percent`` / 100 or more are linked;
     ``component_id`` is the smallest key reachable over links, ``kept`` whether it is the row's own.
     A null or empty text, or one of white space alone, has no shingles and is linked with nothing.
-    Rows that repeat a key are one node, so all of them are kept or none. A row with a null key
-    takes no part: its component is null and it is kept. Equal texts are always linked.
+    Rows that repeat a key are linked, whatever their texts, so all of them are kept or none. A row
+    with a null key takes no part: its component is null and it is kept. Equal texts are always
+    linked. Keys are whole numbers.
+
+    What is searched are texts, not keys: a node is a text's 63-bit hash, ``k`` from here on.
     """
-    hashed = picked(docs, {"k": key, "t": text}).mapInArrow(
-        _hash_texts, "k long, one long, two long, n long, buckets array<long>"
+    hashed = picked(docs, {"key": key, "t": text}).mapInArrow(
+        _hash_texts, "key long, one long, two long, n long, buckets array<long>"
+    )
+    node = F.xxhash64("one", "two").bitwiseAND(F.lit(_LONG_MAX)).alias("k")
+    hashed = written(hashed.select("key", node, "n", "buckets"), "minhash")
+    live = F.col("key").isNotNull() & (F.col("n") > 0)
+    heads = hashed.filter(live).groupBy("k").agg(
+        F.min("key").alias("rep"), F.first("n").alias("n"), F.first("buckets").alias("buckets")
     )
-    hashed = written(hashed, "minhash")
-    live = F.col("k").isNotNull() & (F.col("n") > 0)
-    classes = hashed.filter(live).groupBy("one", "two").agg(F.min("k").alias("rep"))
-    members = hashed.filter(live).join(classes, ["one", "two"])
-    members = written(members.select("k", "n", "rep", "buckets"), "minhash-classes")
-
-    heads = members.filter("k = rep").dropDuplicates(["k"]).select("k", "n", F.explode("buckets").alias("bucket"))
-    shared = heads.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
-    inside = written(heads.join(shared, "bucket"), "minhash-buckets")
+    heads = written(heads, "minhash-texts")
+    same_key = _texts_of_one_key(hashed.filter(live))
+
+    each = heads.select("k", "n", F.explode("buckets").alias("bucket"))
+    shared = each.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
+    inside = written(each.join(shared, "bucket"), "minhash-buckets")
     weight = inside.groupBy("k").agg(F.sum("size").alias("weight"))
     inside = written(inside.join(weight, "k"), "minhash-weights")
 
-    wanted = weight.select("k")
-    texts = picked(docs, {"k": key, "t": text}).join(wanted, "k", "left_semi").dropDuplicates(["k"])
-    sets = written(texts.mapInArrow(_shingle_sets, "k long, shingles array<long>"), "minhash-sets")
+    wanted = heads.join(weight.select("k"), "k", "left_semi")
+    texts = picked(docs, {"key": key, "t": text}).join(wanted.select(F.col("rep").alias("key")).distinct(), "key", "left_semi")
+    sets = texts.select("t").mapInArrow(_shingle_sets, "one long, two long, shingles array<long>").select(node, "shingles")
+    sets = written(sets.join(wanted.select("k"), "k", "left_semi").dropDuplicates(["k"]), "minhash-sets")
 
     # The pivot: the heaviest member, then the smallest key.
     first = F.max(F.struct(F.col("weight"), -F.col("k"), F.col("n"))).alias("p")
     pivots = inside.groupBy("bucket").agg(first)
     pivots = pivots.select("bucket", (-F.col("p.col2")).alias("b"), F.col("p.n").alias("nb"))
-    links = _compared(inside, pivots, sets, percent)
+    links = _compared(inside, pivots, sets, percent).unionByName(same_key)
     links = written(links, "minhash-links")
     roots = written(connected(links), "minhash-roots")
     width, known = PIVOT_GROWTH, False
@@ -170,17 +178,27 @@ def near_duplicates(docs: DataFrame, percent: int = 85, key: str = "doc_id", tex
             break
         width *= PIVOT_GROWTH
 
-    named = members.select("k", "n", "rep").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
-    named = named.select("k", "n", F.coalesce("root", "rep").alias("component_id"))
-    alone = hashed.filter(~live | F.col("k").isNull()).select("k", "n", F.col("k").alias("component_id"))
-    return named.unionByName(alone).select(
-        F.col("k").alias(key),
+    named = heads.select("k", "rep").join(roots.withColumnRenamed("node", "k"), "k", "left")
+    named = written(named.select("k", "rep", F.coalesce("root", "k").alias("root")), "minhash-named")
+    least = named.groupBy("root").agg(F.min("rep").alias("component_id"))
+    named = named.join(least, "root").select("k", "component_id")
+    found = hashed.filter(live).select("key", "n", "k").join(named, "k").select("key", "n", "component_id")
+    alone = hashed.filter(~live | F.col("key").isNull()).select("key", "n", F.col("key").alias("component_id"))
+    return found.unionByName(alone).select(
+        F.col("key").alias(key),
         F.col("n").alias("n_shingles"),
         "component_id",
-        F.coalesce(F.col("k") == F.col("component_id"), F.lit(True)).alias("kept"),
+        F.coalesce(F.col("key") == F.col("component_id"), F.lit(True)).alias("kept"),
     )
 
 
+def _texts_of_one_key(hashed: DataFrame) -> DataFrame:
+    """Links (a, b) between the texts of each key that stands at several."""
+    several = hashed.groupBy("key").agg(F.min("k").alias("b"), F.max("k").alias("most")).filter("b < most")
+    pairs = hashed.select("key", F.col("k").alias("a")).join(several.select("key", "b"), "key")
+    return pairs.filter("a <> b").select("a", "b").distinct()
+
+
 def _compared(inside: DataFrame, pivots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links between members of buckets and the bucket's one pivot."""
     near = 100 * F.least("n", "nb") >= percent * F.greatest("n", "nb")

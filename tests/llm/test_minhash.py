@@ -71,3 +71,16 @@ def test_components_of_paths(spark, n):
     edges = spark.createDataFrame([(i, i + 1) for i in range(n)] + [(900, 901), (901, 902), (902, 900)], "a long, b long")
     roots = {r["node"]: r["root"] for r in connected(edges).collect()}
     assert roots == {i: 0 for i in range(n + 1)} | {900: 900, 901: 900, 902: 900}
+
+
+def test_a_key_at_two_texts_links_what_each_of_them_resembles(spark):
+    a, b, c = ([f"{x}{i}" for i in range(100)] for x in "abc")
+    edit = [*a[:50], "changed", *a[51:]]
+    rows = [(1, b), (1, a), (5, edit), (7, [*b, "more"]), (9, c), (3, [*c, "more"]), (3, ["quite", "other"]), (4, ["quite", "other"])]
+    df = spark.createDataFrame([(k, " ".join(w), "") for k, w in rows], SCHEMA).repartition(4)
+    got = {(r["doc_id"], r["n_shingles"]): (r["component_id"], r["kept"]) for r in minhash.near_duplicates(df).collect()}
+    assert got == {
+        (1, 96): (1, True), (5, 96): (1, False), (7, 97): (1, False),
+        (9, 96): (3, False), (3, 97): (3, True), (3, 1): (3, True), (4, 1): (3, False),
+    }
+    assert sorted(r["doc_id"] for r in minhash.keep_one(df.withColumnRenamed("buckets", "_gone")).collect()) == [1, 1, 3, 3]
