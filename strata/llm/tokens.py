@@ -1,7 +1,7 @@
 """Token ids of many texts with the tokenizers library.
 
-A worker remembers the ids of the words it meets. With MEMO_WORDS of them it forgets all and starts
-again, so that what is remembered are words of the texts at hand. A text is cut only where the tokenizer's own splitting
+Each distinct word is encoded once by a worker and its ids are remembered, up to MEMO_WORDS words;
+later words are encoded again each time. Words are encoded many at a time, as one text. A text is cut only where the tokenizer's own splitting
 always cuts, at a single space between two other characters, so the ids are those of the whole
 text.
 """
@@ -11,8 +11,12 @@ from __future__ import annotations
 import os
 import re
 from array import array
+from collections.abc import Iterator
+
+import numpy as np
 
 MEMO_WORDS = 500_000
+RUN = 512  # words encoded as one text
 
 # U+180E counts as white space in some regex engines: no cut is made beside it.
 _SPACES = "".join(c for c in map(chr, range(0x3001)) if c.isspace()) + "᠎"
@@ -48,14 +52,28 @@ class WordMemo:
         self.first: dict[str, bytes] = {}
         self.rest: dict[str, bytes] = self.first if space == "dropped" else {}
 
-    def _learn(self, known: dict[str, bytes], words: set[str], lead: str) -> None:
-        """Adds the ids of words not known yet; forgets the others where there is no room."""
+    def _learn(self, known: dict[str, bytes], words: set[str], lead: str) -> list[str]:
+        """Adds the ids of words not known yet; returns those that have no room for longer."""
         new = list(words.difference(known))
-        if len(known) + len(new) > MEMO_WORDS:
-            known.clear()
-            new = list(words)
-        coded = self.tokenizer.encode_batch_fast([lead + w for w in new], add_special_tokens=False)
-        known.update((w, array("I", e.ids).tobytes()) for w, e in zip(new, coded))
+        room = max(0, MEMO_WORDS - len(known))
+        if known is self.rest:
+            known.update(self._coded([w for w in new if w]))
+            known.setdefault("", b"")
+        else:
+            coded = self.tokenizer.encode_batch_fast([lead + w for w in new], add_special_tokens=False)
+            known.update((w, array("I", e.ids).tobytes()) for w, e in zip(new, coded))
+        return new[room:]
+
+    def _coded(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
+        """The ids of words, RUN of them encoded as one text with a space between each two."""
+        runs = [words[i : i + RUN] for i in range(0, len(words), RUN)]
+        for run, coded in zip(runs, self.tokenizer.encode_batch([self.lead + " ".join(r) for r in runs], add_special_tokens=False)):
+            ids = array("I", coded.ids).tobytes()
+            # A token begins in its word or at the space before it.
+            begins = np.fromiter((a for a, _ in coded.offsets), np.int64, len(coded.ids))
+            ends = np.cumsum(np.fromiter(map(len, run), np.int64, len(run)) + 1) - 1 + len(self.lead)
+            upto = (np.searchsorted(begins, ends) * 4).tolist()
+            yield from zip(run, (ids[a:b] for a, b in zip([0, *upto], upto)))
 
     def _parts(self, text: str) -> list[str]:
         if self.lead and (text[0] in _SPACES or text[-1] in _SPACES or any(pair in text for pair in _ODD_PAIRS)):
@@ -69,13 +87,13 @@ class WordMemo:
         for at in range(0, len(texts), group):
             split = [self._parts(t) if t else [""] for t in texts[at : at + group]]
             heads = [p.pop(0) for p in split]
-            if self.rest is self.first:
-                self._learn(self.first, set(heads).union(*split), "")
-            else:
-                self._learn(self.first, set(heads), "")
-                self._learn(self.rest, set().union(*split), self.lead)
+            one = [] if self.rest is self.first else self._learn(self.first, set(heads), "")
+            two = self._learn(self.rest, set().union(*split, heads if self.rest is self.first else ()), self.lead)
             head, rest = self.first.__getitem__, self.rest.__getitem__
             out += [head(h) + b"".join(map(rest, p)) for h, p in zip(heads, split)]
+            for memo, passing in ((self.first, one), (self.rest, two)):
+                for w in passing:
+                    del memo[w]
         return out
 
 
