@@ -33,15 +33,15 @@ def lower_az(word: Column) -> Column:
     )
 
 
-def _split(texts: DataFrame) -> DataFrame:
+def _split(texts: DataFrame, *more: str) -> DataFrame:
     """(k, t) to (k, w, skip): the words as they stand, perhaps with an empty first or last one."""
-    parts = texts.select("k", F.split(F.coalesce("t", F.lit("")), SEPARATORS).alias("w"))
+    parts = texts.select("k", *more, F.split(F.coalesce("t", F.lit("")), SEPARATORS).alias("w"))
     return parts.withColumn("skip", F.when(F.col("w")[0] == "", 1).otherwise(0))
 
 
-def _n_words(split: DataFrame) -> DataFrame:
+def _n_words(split: DataFrame, *more: str) -> DataFrame:
     last = F.when((F.size("w") > 1) & (F.element_at("w", -1) == ""), 1).otherwise(0)
-    return split.select("k", (F.size("w") - F.col("skip") - last).cast("long").alias("n_words"))
+    return split.select("k", *more, (F.size("w") - F.col("skip") - last).cast("long").alias("n_words"))
 
 
 def terms_at(texts: DataFrame) -> DataFrame:
@@ -52,14 +52,10 @@ def terms_at(texts: DataFrame) -> DataFrame:
 
 @dataclass
 class PhraseIndex:
-    """Postings (term, k, at) of the training texts for the terms of the test items.
-
-    items: (item, at, term) of the test items; lengths: (k, n_words) of every training row.
-    """
+    """Postings (term, k, at) of the training texts for the terms of the test items (item, at, term)."""
 
     postings: DataFrame
     items: DataFrame
-    lengths: DataFrame
 
 
 def build_index(docs: DataFrame, tests: DataFrame) -> PhraseIndex:
@@ -67,7 +63,7 @@ def build_index(docs: DataFrame, tests: DataFrame) -> PhraseIndex:
     items = written(terms_at(tests.filter("k IS NOT NULL")).withColumnRenamed("k", "item"), "test-terms")
     vocabulary = items.select("term").distinct()
     postings = _of_terms(terms_at(docs.filter("k IS NOT NULL")), vocabulary).select("term", "k", "at")
-    return PhraseIndex(written(postings, "postings"), items, _n_words(_split(docs)))
+    return PhraseIndex(written(postings, "postings"), items)
 
 
 def _of_terms(postings: DataFrame, terms: DataFrame) -> DataFrame:
@@ -189,12 +185,14 @@ def contamination(
     twenty or more is hit. Null and empty texts have no words; items without words have no window.
     The hash is of the ids of the items found, as text, sorted and joined by commas (of the empty
     text if none). Items with a null id are left out, rows of ``docs`` with a null key match
-    nothing. Rows that repeat a key are one document: hits of any of their texts count.
+    nothing. Each row is judged by its own text, whatever other rows have its key.
     """
-    docs = picked(docs, {"k": key, "t": text})
+    # A document is known by a hash of its key and text.
+    identity = F.when(F.col("key").isNotNull(), F.xxhash64("key", "t")).alias("k")
+    docs = picked(docs, {"key": key, "t": text}).select("key", "t", identity)
     index = build_index(docs, picked(tests, {"k": item, "t": item_text}))
     found = written(exact_matches(index, docs, size), "matches")
-    lengths = index.lengths
+    lengths = _n_words(_split(docs, "key"), "key")
     # Words covered: each match adds its length less the overlap with the ones before it.
     by_end = found.groupBy("k", "at").agg(F.max("n").alias("n"))
     before = Window.partitionBy("k").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
@@ -206,7 +204,7 @@ def contamination(
     both = hits.join(items, "k")
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     return lengths.join(both, "k", "left").select(
-        F.col("k").alias(key),
+        F.col("key").alias(key),
         "n_words",
         n_hit.alias("n_hit"),
         F.when(F.col("ids").isNull(), 0).otherwise(F.size("ids")).cast("long").alias("n_items"),
@@ -216,5 +214,5 @@ def contamination(
 
 
 def without_contaminated(docs: DataFrame, tests: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that aren't contaminated."""
+    """The rows of ``docs`` whose key has no contaminated text."""
     return rows_without(docs, key, contamination(docs, tests, key, text).filter("contaminated").select(key))

@@ -74,6 +74,16 @@ def test_empty_tables_null_ids_repeated_rows(spark):
     assert phrase_index.without_contaminated(docs, tests).count() == 0
 
 
+def test_texts_of_one_key_are_not_read_as_one(spark):
+    words = [f"w{i}" for i in range(13)]
+    rows = [(1, " ".join(words[:7])), (1, "x " * 7 + " ".join(words[7:])), (1, "w1 w2 w3"), (2, " ".join(words)), (2, "clean text")]
+    docs = spark.createDataFrame([(*r, 1, 2) for r in rows], "doc_id long, text string, k int, _gone int").repartition(3)
+    tests = spark.createDataFrame([(5, " ".join(words))], "item_id long, text string")
+    got = sorted((r["doc_id"], r["n_words"], r["n_hit"], r["contaminated"]) for r in phrase_index.contamination(docs, tests).collect())
+    assert got == [(1, 3, 0, False), (1, 7, 0, False), (1, 13, 0, False), (2, 2, 0, False), (2, 13, 13, True)]
+    assert sorted(r["doc_id"] for r in phrase_index.without_contaminated(docs, tests).collect()) == [1, 1, 1]
+
+
 def test_proximity_lets_words_move(spark):
     docs = {1: "p alpha q beta gamma r", 2: "alpha beta gamma", 3: "alpha x x x x x beta gamma"}
     docs, tests = frames(spark, docs, {7: "alpha beta gamma"})
