@@ -31,7 +31,7 @@ SHINGLE_WORDS = 5
 BANDS = 20
 BAND_ROWS = 4
 # About so many pivots of a bucket in the first round across components, times as many in the next.
-PIVOT_GROWTH = 32
+PIVOT_GROWTH = 8
 _LONG_MAX = (1 << 63) - 1
 
 
