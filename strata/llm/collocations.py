@@ -10,8 +10,8 @@ compacted: the edges on both sides belong to one unary path, a longer phrase of
 Texts are read in numpy inside the tasks. A word is known by a 64-bit hash of itself and its
 language until the phrases that are returned get their words back; two of a language's words share
 one with a chance of 2^-64 a pair. Grams are counted in a task's large batches before the one
-shuffle, by their first two words, which then holds a pair's distinct grams of each batch; sorted
-within the partitions they are summed in one pass of bounded memory.
+shuffle, by their first two words, which then holds a pair's distinct grams of each batch, in the
+order of their words, so that repeated ones compress; sorted within the partitions they are summed in one pass of bounded memory.
 
 Null text is empty, null lang is "und". Texts and pieces without a word give nothing. Repeated rows
 count each. An empty table has no rows. Extra columns of any name are ignored.
