@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.columns import column, existing_names, find_name, require_columns
+from strata.functions.hashing import BUSINESS_KEY_HASH, RECORD_HASH
 from strata.operators.dedupe import latest_per_key
 
 ACTION = "_action"
@@ -68,6 +69,32 @@ class MergeColumns:
         return MergeColumns(key_names, written, preserved, untouched)
 
 
+_DIGITS, _TEXT = b"\x01", b"\x00"
+
+
+def _packed(text: Column) -> Column:
+    """A text in half the bytes where it is lower-case hexadecimal digits, told apart by its first byte."""
+    digits = F.unhex(text)
+    is_hex = F.lower(F.hex(digits)).eqNullSafe(text)
+    return F.when(is_hex, F.concat(F.lit(_DIGITS), digits)).otherwise(F.concat(F.lit(_TEXT), text.cast("binary")))
+
+
+def _unpacked(packed: Column) -> Column:
+    rest = F.substring(packed, 2, (1 << 31) - 1)
+    return F.when(F.substring(packed, 1, 1) == F.lit(_DIGITS), F.lower(F.hex(rest))).otherwise(rest.cast("string"))
+
+
+def _shared_digests(target: DataFrame, source: DataFrame, cols: MergeColumns) -> list[str]:
+    """Digest columns of the target that both sides hold as text."""
+    text = T.StringType()
+    return [
+        n
+        for n in (*cols.written, *cols.preserved)
+        if n.lower() in (BUSINESS_KEY_HASH, RECORD_HASH)
+        and target.schema[n].dataType == source.schema[find_name(source, n)].dataType == text
+    ]
+
+
 def _renamed_source(source: DataFrame, cols: MergeColumns) -> DataFrame:
     names = [*cols.keys, *cols.written, *cols.preserved]
     picked = [column(find_name(source, n)).alias(_PREFIX + n) for n in names]
@@ -160,17 +187,124 @@ def merge_scd1(
     old = target.withColumn(_IN_TARGET, F.lit(True))
     same_key = _same_key(cols.keys, null_safe)
     if not small_source:
-        return _next_state(old.join(new, same_key, "full_outer"), target, cols, compare, order)
+        # Digests are most of a row: they are shuffled as bytes, and are text again after the join.
+        digests = _shared_digests(target, source, cols)
+        old = old.withColumns({n: _packed(column(n)) for n in digests})
+        new = new.withColumns({_PREFIX + n: _packed(column(_PREFIX + n)) for n in digests})
+        state = _next_state(old.join(new, same_key, "full_outer"), target, cols, compare, order)
+        return state.withColumns({n: _unpacked(column(n)) for n in digests})
 
     new_keys = new.select(*[column(_PREFIX + k) for k in cols.keys])
     old_keys = target.select(*[column(k) for k in cols.keys])
     # Distinct keys found in the source, so never larger than the source itself.
     hits = old_keys.join(F.broadcast(new_keys), same_key, "left_semi").distinct()
     fresh = new.join(F.broadcast(hits), same_key, "left_anti")
-    blanks = [F.lit(None).cast(f.dataType).alias(f.name) for f in old.schema.fields]
     current = _next_state(old.join(F.broadcast(new), same_key, "left"), target, cols, compare, order)
-    added = _next_state(fresh.select(*blanks, "*"), target, cols, compare)
-    return current.unionByName(added)
+    return current.unionByName(_added(fresh, old, target, cols, compare))
+
+
+def _added(fresh: DataFrame, old: DataFrame, target: DataFrame, cols: MergeColumns, compare: str | None) -> DataFrame:
+    """Source rows that no target row matches, as rows of the target."""
+    blanks = [F.lit(None).cast(f.dataType).alias(f.name) for f in old.schema.fields]
+    return _next_state(fresh.select(*blanks, "*"), target, cols, compare)
+
+
+# --- merges that shuffle only the rows that change ----------------------------------------------
+
+# Keys are hashed to places, some per source row, whose bits are broadcast: at most 48 MB of them.
+PLACES_PER_ROW = 4
+MAX_PLACES = 1 << 27
+NEW, SAME, CHANGED = "new", "same", "changed"
+_BUCKET, _BIT, _JOINS = "_bucket", "_bit", "_joins"
+
+
+def can_sift(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> bool:
+    """Whether equal keys hash alike: plain types, the same on both sides."""
+    plain = (T.IntegralType, T.DecimalType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
+    kinds = [target.schema[n].dataType for n in existing_names(target, keys)]
+    return kinds == [source.schema[n].dataType for n in existing_names(source, keys)] and all(
+        isinstance(kind, plain) or kind == T.StringType() for kind in kinds
+    )
+
+
+def key_places(rows: int) -> int:
+    """How many places the keys of so many source rows are hashed to."""
+    return max(1, min(PLACES_PER_ROW * rows, MAX_PLACES))
+
+
+def _place(df: DataFrame, keys: Sequence[str], places: int) -> Column:
+    return F.pmod(F.xxhash64(*[column(n) for n in existing_names(df, keys)]), F.lit(places))
+
+
+def _comparable(df: DataFrame, compare: str | None) -> Column:
+    """What two rows differ in when they differ in ``compare``: of a text, 128 bits."""
+    name = find_name(df, compare) if compare else None
+    if name is None:
+        return F.lit(None).cast("binary")
+    value = column(name)
+    return F.unhex(F.md5(value.cast("binary"))) if df.schema[name].dataType == T.StringType() else value
+
+
+def decide(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], places: int, compare: str | None = None, carried: Sequence[str] = ()
+) -> DataFrame:
+    """For each source row the place of its key, and whether it is new, the same or changed; few columns are shuffled.
+
+    ``carried`` are columns of the target row it matches. Without a column to compare, or if a side lacks
+    it, a row that matches has changed.
+    """
+    names = existing_names(target, keys)
+    picked = [column(find_name(source, k)).alias(_PREFIX + k) for k in names]
+    new = source.select(*picked, _comparable(source, compare).alias("_new"), _place(source, keys, places).alias("_place"))
+    old = target.select(*[column(n) for n in (*names, *carried)], _comparable(target, compare).alias("_old"), F.lit(True).alias(_IN_TARGET))
+    joined = new.join(old, _same_key(names), "left")
+    compared = bool(compare and find_name(target, compare) and find_name(source, compare))
+    same = F.col("_old").eqNullSafe(F.col("_new")) if compared else F.lit(False)
+    kind = F.when(F.col(_IN_TARGET).isNull(), NEW).when(same, SAME).otherwise(CHANGED)
+    return joined.select(*[column(n) for n in carried], "_place", kind.alias("_kind"))
+
+
+def sieve(decided: DataFrame) -> DataFrame:
+    """The places where keys are new, the same or changed, as bitmaps: one row for each 32,768 places."""
+    # Dealt out by bitmap first, as each task would otherwise build all bitmaps.
+    dealt = decided.select(F.bitmap_bucket_number("_place").alias(_BUCKET), F.bitmap_bit_position("_place").alias(_BIT), "_kind")
+    bits = [F.expr(f"bitmap_construct_agg({_BIT}) FILTER (WHERE _kind = '{kind}')").alias(f"_{kind}") for kind in (NEW, SAME, CHANGED)]
+    return dealt.repartition(_BUCKET).groupBy(_BUCKET).agg(*bits)
+
+
+def _is_set(bitmap: str) -> Column:
+    byte = F.substring(F.col(bitmap), F.floor(F.col(_BIT) / 8).cast("int") + 1, F.lit(1))
+    value = F.conv(F.hex(byte), 16, 10).cast("int")
+    return F.coalesce(F.getbit(value, (F.col(_BIT) % 8).cast("int")) == 1, F.lit(False))
+
+
+def _sifted(df: DataFrame, keys: Sequence[str], places: int, bitmaps: DataFrame) -> DataFrame:
+    place = _place(df, keys, places)
+    placed = df.withColumns({_BUCKET: F.bitmap_bucket_number(place), _BIT: F.bitmap_bit_position(place)})
+    marked = placed.join(F.broadcast(bitmaps), _BUCKET, "left")
+    # Where no key has changed, keys that share a place are all new or all the same.
+    joins = _is_set(f"_{CHANGED}") | (_is_set(f"_{SAME}") & _is_set(f"_{NEW}"))
+    return marked.select(*[column(c) for c in df.columns], joins.alias(_JOINS), _is_set(f"_{NEW}").alias(f"_{NEW}"))
+
+
+def merge_sifted(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], bitmaps: DataFrame, places: int, *,
+    compare: str | None = "record_hash", preserve: Iterable[str] = (), exclude: Iterable[str] = (), order: str | None = None,
+) -> DataFrame:
+    """What :func:`merge_scd1` gives, by a join of only those rows whose place holds a changed key.
+
+    Target rows elsewhere stay as they are, matched or not (both as KEEP), and source rows elsewhere are new or
+    the same: neither is shuffled. ``bitmaps`` is the :func:`sieve` of what was decided for this target
+    and source, with as many ``places``.
+    """
+    cols = MergeColumns.of(target, source, keys, preserve, exclude)
+    old, new = _sifted(target, keys, places, bitmaps), _sifted(source, keys, places, bitmaps)
+    left = old.filter(~F.col(_JOINS)).select(*[column(c) for c in target.columns], F.lit(KEEP).alias(ACTION))
+    fresh = new.filter(~F.col(_JOINS) & F.col(f"_{NEW}")).select(*[column(c) for c in source.columns])
+    added = _added(_renamed_source(fresh, cols), target.withColumn(_IN_TARGET, F.lit(True)), target, cols, compare)
+    old, new = (df.filter(_JOINS).drop(_JOINS, f"_{NEW}") for df in (old, new))
+    joined = merge_scd1(old, new, keys, compare=compare, preserve=preserve, exclude=exclude, order=order)
+    return left.unionByName(joined).unionByName(added)
 
 
 def matching_rows(target: DataFrame, source: DataFrame, keys: Sequence[str], small_source: bool = False) -> DataFrame:

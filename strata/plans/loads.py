@@ -15,8 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.functions.columns import find_name
-from strata.functions.hashing import RECORD_HASH
+from strata.functions.columns import column, find_name
+from strata.functions.hashing import BUSINESS_KEY_HASH, RECORD_HASH, add_hashes
 from strata.operators import quality
 from strata.operators.align import align, cast_failures
 from strata.operators.calendar import DEFAULT_END, DEFAULT_START, dim_date
@@ -74,6 +74,8 @@ class _Silver:
     options: SilverOptions
     audit: RunAudit
     counts: dict = field(default_factory=dict)
+    # Key and record columns of the digests, unless a column that a digest replaces is one of them.
+    digested: tuple[Sequence[str], Sequence[str]] | None = None
     # Names what this load delivers: the same name again means the same rows, or those and more.
     delivery: str | None = None
 
@@ -133,6 +135,9 @@ class _Silver:
         latest = latest_per_key(conformed, self.keys, self.sequence)
         # Digests are computed after the shuffle, for the surviving rows only.
         stamped = silver.stamp(latest, entity.keys, self.batch_id, opts.load_ts, opts.hash_scope)
+        if not (find_name(latest, BUSINESS_KEY_HASH) or find_name(latest, RECORD_HASH)):
+            business = opts.hash_scope == "business"
+            self.digested = entity.keys, silver.business_columns(latest) if business else stamped.columns
         schema, exists = self.target_schema(stamped)
         if opts.on_cast_error == "reject":
             fits = ~cast_failures(stamped, schema, opts.exclude)
@@ -140,13 +145,19 @@ class _Silver:
             self.rules = [*self.rules, rule]
         return stamped, schema, exists
 
+    def stage(self, stamped: DataFrame) -> DataFrame:
+        """Stamped rows, written without their digests, which are computed again where they are read."""
+        if self.digested is None:
+            return self.lake.stage(self.spec.target_object, stamped)
+        staged = self.lake.stage(self.spec.target_object, stamped.drop(BUSINESS_KEY_HASH, RECORD_HASH))
+        return add_hashes(staged, *self.digested).select(*[column(c) for c in stamped.columns])
+
     def staged(self, stamped: DataFrame) -> DataFrame:
         """Classified rows whose lineage is cut. Rules with references look up what is staged."""
         if not any(rule.refers for rule in self.rules):
-            classified = quality.classify(stamped, self.rules, self.options.null_policy)
-            return self.lake.stage(self.spec.target_object, classified)
+            return self.stage(quality.classify(stamped, self.rules, self.options.null_policy))
         flagged, self.rules = resolve_references(
-            self.lake.stage(self.spec.target_object, stamped),
+            self.stage(stamped),
             self.rules,
             self.lake.read,
             lambda missing: self.lake.stage(f"{self.spec.target_object}.missing", missing),
@@ -191,7 +202,7 @@ class _Silver:
         )
         self.lake.append_log(REJECT_LOG, control.REJECTED_RECORD, records, self.delivered)
 
-    def write_good(self, staged: DataFrame, schema: T.StructType) -> None:
+    def write_good(self, staged: DataFrame, schema: T.StructType, reread: bool = True) -> None:
         cast = "null" if self.options.on_cast_error == "null" else "raise"
         final = align(quality.good_rows(staged), schema, self.options.exclude, cast)
         good = self.counts.pop("_good")
@@ -207,6 +218,7 @@ class _Silver:
                 order=self.sequence if self.spec.sequence_column else None,
                 rows=good,
                 part_column=self.options.part_column,
+                reread=reread,
             )
 
     def load_staged(self, staged: DataFrame, schema: T.StructType) -> None:
@@ -223,7 +235,7 @@ class _Silver:
             if not self.rules and (self.spec.load_type in (control.FULL, control.APPEND) or not exists):
                 # Nothing to judge and one output: written straight through.
                 self.counts["_good"] = self.counts["rows_read"]
-                self.write_good(quality.classify(stamped, [], self.options.null_policy), schema)
+                self.write_good(quality.classify(stamped, [], self.options.null_policy), schema, reread=False)
                 self.counts["rows_duplicated"] = self.counts["rows_read"] - self.counts["rows_written"]
             else:
                 self.load_staged(self.staged(stamped), schema)
@@ -260,6 +272,7 @@ def _write(
     order: str | None = None,
     rows: int | None = None,
     part_column: str | None = None,
+    reread: bool = True,
 ) -> dict:
     """Write by load type. An unknown type is an error, not a merge."""
     if spec.load_type == control.FULL:
@@ -269,7 +282,7 @@ def _write(
     if spec.load_type in (control.MERGE, control.SCD1):
         compare = RECORD_HASH if find_name(df, RECORD_HASH) else None
         # Only a lake's own merge keeps rows from being replaced by older ones.
-        ordered = {"order": order} if order and lake.takes_deliveries else {}
+        own = {"order": order, "reread": reread} if lake.takes_deliveries else {}
         return lake.merge(
             spec.target_object,
             df,
@@ -280,7 +293,7 @@ def _write(
             exclude=exclude,
             source_rows=rows,
             part_column=part_column,
-            **ordered,
+            **own,
         )
     raise ValueError(f"unknown load type {spec.load_type!r}; known: {control.LOAD_TYPES}")
 

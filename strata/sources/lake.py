@@ -29,11 +29,17 @@ from strata.operators.align import align
 from strata.operators.merge import (
     ACTION,
     INSERT,
+    can_sift,
+    decide,
     fits_broadcast,
+    key_places,
     matching_rows,
     merge_metrics,
     merge_scd1,
+    merge_sifted,
+    sieve,
 )
+from strata.sources.folders import CODEC
 
 DEFINITIONS = T.StructType(
     [
@@ -47,6 +53,9 @@ DEFINITIONS = T.StructType(
 # A small source is broadcast only into parts with at least this many times its rows.
 BROADCAST_RATIO = 10
 
+# Tasks write to so few parts as they are; to more, rows are first brought together by part.
+FEW_PARTS = 16
+
 PART = "_part"
 TEXT_PARTS = 256
 NO_PART = "none"
@@ -101,7 +110,7 @@ class Lake:
     @staticmethod
     def _replace_parts(df: DataFrame, folder: str) -> None:
         """Write the parts that ``df`` has rows of; the others stay as they are."""
-        writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer = df.write.mode("overwrite").options(**CODEC).option("partitionOverwriteMode", "dynamic")
         writer.partitionBy(PART).parquet(folder)
 
     # --- append-only logs -------------------------------------------------------------
@@ -115,7 +124,7 @@ class Lake:
         folder = f"{self.root}/_logs/{name}"
         aligned = align(rows, schema)
         if delivery is None:
-            aligned.withColumn(PART, F.lit("rows")).write.mode("append").partitionBy(PART).parquet(folder)
+            aligned.withColumn(PART, F.lit("rows")).write.mode("append").options(**CODEC).partitionBy(PART).parquet(folder)
         else:
             self._replace_parts(aligned.withColumn(PART, F.lit(f"delivery-{_digest(delivery)}")), folder)
 
@@ -162,9 +171,11 @@ class Lake:
         others = part_column or not self._stored(folder, schema).filter(F.col(PART) != WHOLE).isEmpty()
         observation = Observation()
         placed = align(df, schema).withColumn(PART, part_of(df, part_column, batch_id) if part_column else F.lit(WHOLE))
-        watched = placed.hint("rebalance", PART).observe(observation, F.count(F.lit(1)).alias("rows_written"))
+        # A table of one part is written by the tasks that have the rows.
+        placed = placed.hint("rebalance", PART) if part_column else placed
+        watched = placed.observe(observation, F.count(F.lit(1)).alias("rows_written"))
         if others:
-            watched.write.mode("overwrite").partitionBy(PART).parquet(folder)
+            watched.write.mode("overwrite").options(**CODEC).partitionBy(PART).parquet(folder)
         else:
             self._replace_parts(watched, folder)
             if not observation.get["rows_written"]:
@@ -201,6 +212,7 @@ class Lake:
         source_rows: int | None = None,
         part_column: str | None = None,
         order: str | None = None,
+        reread: bool = True,
     ) -> dict:
         """Upsert ``source``, whose keys must be unique, into a table.
 
@@ -208,8 +220,9 @@ class Lake:
 
         The source should be cheap to read several times, such as a written table. When it was
         measured to be small, and much smaller than the parts it meets, it is broadcast, and they
-        are read without being shuffled. ``part_column`` is how a table that does not exist yet
-        will be kept.
+        are read without being shuffled. Otherwise keys and digests are joined first, and then only rows
+        that may have changed (see ``merge_sifted``). ``part_column`` is how a table that does not exist
+        yet will be kept; with ``reread=False`` its first rows are read once, to be written.
         """
         new = self._definition(name) is None
         self.create(name, source.schema, part_column)
@@ -217,41 +230,48 @@ class Lake:
         # The stored types stand, whatever the source's are.
         source = align(source, T.StructType([f for f in schema.fields if find_name(source, f.name)]))
         source = source.withColumn(PART, part_of(source, part_column, batch_id))
-        small = False
+        small, few = False, part_column is None
         if new:
             merged = source.withColumn(ACTION, F.lit(INSERT))
+            if part_column and reread:
+                few = self._are_few(source.select(PART).distinct())
         else:
             target = self._stored(self._folder(name), schema)
             small = fits_broadcast(source, source_rows)
-            parts = self._parts(name, target, source, keys, small)
+            rows = source.count() if source_rows is None else source_rows
+            places = key_places(rows)
+            sifts = not small and can_sift(target, source, keys)
+            if sifts:
+                # The whole target is looked through, but only its keys and digests are read.
+                decided = self.stage(f"{name}.decided", decide(target, source, keys, places, compare, [PART]))
+                held = decided.select(PART).filter(F.col(PART).isNotNull())
+            else:
+                held = matching_rows(target, source.drop(PART), keys, small).select(PART)
+            # Parts that hold a key of the source now, and parts its rows go to; one short row each.
+            parts = self.stage(f"{name}.parts", held.unionByName(source.select(PART)).distinct())
+            few = self._are_few(parts)
             # The filter lets Spark read the parts that were found and skip the others' files.
             found = F.broadcast(parts.filter(F.col(PART) >= ""))
-            touched = target.join(found, PART, "left_semi")
-            if small and touched.count() < BROADCAST_RATIO * (source.count() if source_rows is None else source_rows):
+            touched = target.join(found, PART, "left_semi").select(*schema.names, PART)
+            if small and touched.count() < BROADCAST_RATIO * rows:
                 small = False
-            merged = merge_scd1(
-                touched.select(*schema.names, PART),
-                source,
-                keys,
-                compare=compare,
-                preserve=[*preserve, PART],
-                exclude=exclude,
-                small_source=small,
-                order=order,
-            )
+            options = {"compare": compare, "preserve": [*preserve, PART], "exclude": exclude, "order": order}
+            if sifts:
+                merged = merge_sifted(touched, source, keys, sieve(decided), places, **options)
+            else:
+                merged = merge_scd1(touched, source, keys, small_source=small, **options)
         observation = Observation()
         # Rebalancing splits a part that holds much of the table over several tasks.
-        watched = merged.hint("rebalance", PART).observe(observation, *merge_metrics()).drop(ACTION)
+        merged = merged if few else merged.hint("rebalance", PART)
+        watched = merged.observe(observation, *merge_metrics()).drop(ACTION)
         self._replace_parts(watched, self._folder(name))
+        if not new and sifts:
+            self.unstage(f"{name}.decided")
         return {"operation": "MERGE", **observation.get, "rows_deleted": 0, "broadcast": small}
 
-    def _parts(self, name: str, target: DataFrame, source: DataFrame, keys: Sequence[str], small: bool) -> DataFrame:
-        """Parts that hold a key of the source now, and parts its rows go to; one short row each.
-
-        The whole target is looked through, but only its keys are read.
-        """
-        held = matching_rows(target, source.drop(PART), keys, small).select(PART)
-        return self.stage(f"{name}.parts", held.unionByName(source.select(PART)).distinct())
+    @staticmethod
+    def _are_few(parts: DataFrame) -> bool:
+        return parts.limit(FEW_PARTS + 1).count() <= FEW_PARTS
 
     # --- staging ----------------------------------------------------------------------
 
@@ -261,7 +281,7 @@ class Lake:
         The next frame that is staged by this name takes its place; ``unstage`` empties it.
         """
         folder = f"{self.root}/_staging/{name.replace('.', '/')}/rows"
-        df.write.mode("overwrite").parquet(folder)
+        df.write.mode("overwrite").options(**CODEC).parquet(folder)
         return self.spark.read.schema(df.schema).parquet(folder)
 
     def unstage(self, name: str) -> None:

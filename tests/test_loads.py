@@ -21,6 +21,7 @@ from strata.sources import control
 from strata.sources.control import LoadSpec
 from strata.sources.folders import shared_folder
 from strata.sources.lake import PART, Lake
+from strata.sources import lake as lake_module
 from strata.streaming.stream import file_stream, stream_silver, without_redelivery
 from strata.streaming.watermark import (
     advance_watermarks,
@@ -443,3 +444,23 @@ def test_a_redelivered_file_changes_nothing_whatever_the_order(spark, lake, tmp_
     commits[-1].with_name(f".{commits[-1].name}.crc").unlink()
     run()
     assert rows(lake.read("silver.job"), "id", "v") == [(1, "new"), (2, "b"), (3, "c")]
+
+
+@pytest.mark.parametrize("scope", ["business", "all"])
+def test_staged_rows_have_no_digests_and_large_merges_end_like_small_ones(spark, tmp_path, monkeypatch, scope):
+    staged, stage = [], Lake.stage
+    monkeypatch.setattr(Lake, "stage", lambda self, name, df: staged.append((name, df.columns)) or stage(self, name, df))
+    rules = [Rule("V", "Not x", "v <> 'x'", QUARANTINE)]
+    options = SilverOptions(hash_scope=scope, load_ts=F.lit(at(9)))
+    found = []
+    for name, fits in (("small", None), ("large", False), ("parts", False)):
+        if fits is not None:
+            monkeypatch.setattr(lake_module, "fits_broadcast", lambda *a: False)
+        own, chosen = Lake(spark, str(tmp_path / name)), SilverOptions(**{**options.__dict__, "part_column": "v" if name == "parts" else None})
+        first = bronze(spark, (1, "a", at(1)), (2, "b", at(1)), (3, "x", at(1)), (None, "n", at(1)))
+        silver_load(own, SPEC, "B1", source=first, rules=rules, options=chosen)
+        counts = silver_load(own, SPEC, "B2", source=bronze(spark, (1, "a", at(2)), (2, "c", at(2)), (4, "d", at(2))), rules=rules, options=chosen).counts
+        assert (counts["rows_inserted"], counts["rows_updated"]) == (1, 1 if scope == "business" else 2)
+        found.append(rows(own.read("silver.job")))
+    assert found[0] == found[1] == found[2]
+    assert staged and not any("record_hash" in columns for _, columns in staged)

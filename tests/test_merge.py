@@ -1,7 +1,9 @@
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
+from strata.operators import merge
 from strata.operators.merge import ACTION, fits_broadcast, merge_action_counts, merge_scd1
 from tests.conftest import rows
 from tests.test_operators import FEW
@@ -124,3 +126,45 @@ def test_merge_against_a_plain_model_and_again(spark, old, new):
     again = merge_scd1(got, source, ["k"])
     assert rows(again.drop(ACTION)) == rows(got)
     assert {r[0] for r in merge_action_counts(again).collect()} <= {"KEEP", "NOOP"}
+
+
+@pytest.mark.parametrize("compare", ["record_hash", None])
+@pytest.mark.parametrize("places", [1, 7, 4000])
+def test_sifted_merge_ends_like_the_plain_merge(spark, places, compare):
+    """However many keys share a place, and whatever their texts, only KEEP and NOOP aren't told apart."""
+    digest = F.when(F.col("k") % 7 == 0, F.lit("Not a digest")).otherwise(F.sha2((F.col("k") % 5).cast("string"), 256))
+    key = F.when(F.col("id") > 0, F.col("id").cast("int")).alias("k")
+    target = spark.range(300).select(key, F.lit("old").alias("v"), F.lit("t").alias("note")).withColumn("record_hash", digest)
+    changed = F.when(F.col("k") % 9 == 0, F.lit(None)).when(F.col("k") % 4 == 0, F.lit("ABCD")).otherwise(F.col("record_hash"))
+    source = spark.range(0, 600, 2).select(key, F.lit("new").alias("v")).withColumn("record_hash", digest).withColumn("record_hash", changed)
+    assert merge.can_sift(target, source, ["k"])
+    decided = merge.decide(target, source, ["k"], places, compare, ["note"])
+    assert decided.count() == 300 and decided.filter("note IS NULL").count() == 150
+    sifted = merge.merge_sifted(target, source, ["K"], merge.sieve(decided), places, compare=compare, preserve=["note"])
+    plain = merge_scd1(target, source, ["k"], compare=compare, preserve=["note"])
+    assert sifted.schema.names == plain.schema.names
+    as_kept = F.when(F.col(ACTION) == "NOOP", "KEEP").otherwise(F.col(ACTION)).alias(ACTION)
+    names = ["k", "v", "note", "record_hash"]
+    assert rows(sifted.select(*names, as_kept)) == rows(plain.select(*names, as_kept))
+
+
+def test_rows_that_did_not_change_are_not_joined(spark, monkeypatch):
+    target = spark.range(2000).selectExpr("id k", "sha2(cast(id as string), 256) record_hash")
+    source = spark.range(1990, 3000).selectExpr("id k", "sha2(if(id = 1995, 'x', cast(id as string)), 256) record_hash")
+    places = merge.key_places(1010)
+    joined = []
+    plain = merge.merge_scd1
+    monkeypatch.setattr(merge, "merge_scd1", lambda old, new, *a, **o: joined.append((old, new)) or plain(old, new, *a, **o))
+    state = merge.merge_sifted(target, source, ["k"], merge.sieve(merge.decide(target, source, ["k"], places, "record_hash")), places)
+    counts = dict(rows(merge_action_counts(state)))
+    assert (counts["INSERT"], counts["UPDATE"], counts["KEEP"] + counts.get("NOOP", 0)) == (1000, 1, 1999)
+    old, new = joined[0]
+    assert old.count() < 20 and new.count() < 20
+
+
+def test_digests_are_packed_for_the_shuffle_and_any_text_comes_back(spark):
+    texts = ["ab" * 32, "AB" * 32, "abc", "", "\x01ab", "ab" * 32 + "\n", "zz", "äß", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    packed = merge._packed(F.col("t"))
+    got = df.select("t", merge._unpacked(packed).alias("back"), F.octet_length(packed).alias("n")).collect()
+    assert [r.t for r in got] == [r.back for r in got] == texts and got[0].n == 33 and got[1].n == 65
