@@ -394,8 +394,7 @@ def gold_load(
         final = align(built, built.schema if target is None else target.schema, excluded)
         keys = [k for k in keys if find_name(final, k)]
         if merges:
-            # Written once: it is checked, measured, looked up and joined.
-            final = lake.stage(spec.target_object, final)
+            # A projection of a written table: cheap to read for checking, measuring and joining.
             repeated = repeated_keys(final, keys).limit(5).collect()
             if repeated:
                 raise ValueError(f"{spec.target_object}: source repeats keys, such as {repeated}")
@@ -412,8 +411,6 @@ def gold_load(
                 part_column=part_column,
             )
             counts.update(written)
-        if merges:
-            lake.unstage(spec.target_object)
         _move_watermark(audit, silver.UPDATE_STAMP, low, high)
         audit.complete(counts, low, high)
         return LoadResult(audit.audit_id, counts, low, high)

@@ -464,3 +464,15 @@ def test_staged_rows_have_no_digests_and_large_merges_end_like_small_ones(spark,
         found.append(rows(own.read("silver.job")))
     assert found[0] == found[1] == found[2]
     assert staged and not any("record_hash" in columns for _, columns in staged)
+
+
+def test_a_gold_load_does_not_write_its_rows_twice(spark, lake, monkeypatch):
+    silver_load(lake, LoadSpec("S", "s", "SILVER", "b", "customer", "MERGE", ("customer_id",)), "B1",
+                source=spark.createDataFrame([(1, "a"), (2, "b")], "customer_id bigint, name string"))
+    staged, stage = [], Lake.stage
+    monkeypatch.setattr(Lake, "stage", lambda self, name, df: staged.append(df.columns) or stage(self, name, df))
+    spec = LoadSpec("G", "g", "GOLD", "customer", "gold.dim_customer", "MERGE", ("customer_key",))
+    for batch in ("G1", "G2"):
+        gold_load(lake, spec, batch)
+    assert rows(lake.read("gold.dim_customer"), "customer_id", "name") == [(1, "a"), (2, "b")]
+    assert not any("name" in columns for columns in staged)
