@@ -39,7 +39,7 @@ from strata.plans.audit import (
 from strata.plans.loads import REJECT_LOG, RESULT_LOG, WATERMARK_LOG, SilverOptions, gold_load, run_group, silver_load
 from strata.plans.reset import reset_control
 from strata.sources import control, raw
-from strata.sources.bucketed import BucketedTable
+from strata.sources.bucketed import BucketedTable, buckets_for
 from strata.sources.control import LoadSpec
 from strata.sources.folders import shared_folder
 from strata.sources.lake import Lake
@@ -292,7 +292,9 @@ def merge_preserving(spark: SparkSession, folder: str) -> DataFrame:
 def merge_bucketed(spark: SparkSession, folder: str) -> DataFrame:
     """The same upsert into a bucketed table: only the second slice is shuffled."""
     target, source = repair_job_slices(spark, folder)
-    table = BucketedTable(spark, f"repair_job_{uuid4().hex}", ["repair_job_id"], 8)
+    jobs = raw.repair_job(spark, folder)
+    rows = incremental_slice(jobs, "completed_timestamp", None, FIRST_UNTIL).count()
+    table = BucketedTable(spark, f"repair_job_{uuid4().hex}", ["repair_job_id"], buckets_for(rows, 8))
     table.create(target)
     return table.merged(source).select(*MERGED, F.col(ACTION).alias("action"))
 

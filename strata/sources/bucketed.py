@@ -15,9 +15,15 @@ from pyspark.sql import functions as F
 
 from strata.functions.columns import column, existing_names, require_columns
 from strata.operators.merge import ACTION, merge_scd1
-from strata.sources.folders import shared_folder
+from strata.sources.folders import CODEC, shared_folder
 
 KEY_TEXT = "_key_text"
+BUCKET_ROWS = 500_000
+
+
+def buckets_for(rows: int, least: int = 1) -> int:
+    """How many buckets keep each one, which a task reads whole, to ``BUCKET_ROWS`` rows."""
+    return max(least, -(-rows // BUCKET_ROWS))
 
 
 def key_text(df: DataFrame, keys: Sequence[str]) -> Column:
@@ -39,7 +45,7 @@ class BucketedTable:
         """Write the next state beside the table, then let it take the table's name."""
         following = f"{self.name}__next"
         self.spark.sql(f"DROP TABLE IF EXISTS {following}")
-        writer = df.write.format("parquet").bucketBy(self.buckets, KEY_TEXT).sortBy(KEY_TEXT)
+        writer = df.write.format("parquet").options(**CODEC).bucketBy(self.buckets, KEY_TEXT).sortBy(KEY_TEXT)
         writer.option("path", shared_folder(self.spark, self.name)).saveAsTable(following)
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
         self.spark.sql(f"ALTER TABLE {following} RENAME TO {self.name}")

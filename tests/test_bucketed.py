@@ -5,7 +5,7 @@ from uuid import uuid4
 import pytest
 
 from strata.operators.merge import ACTION, merge_scd1
-from strata.sources.bucketed import BucketedTable, key_text
+from strata.sources.bucketed import BUCKET_ROWS, BucketedTable, buckets_for, key_text
 from tests.conftest import rows
 
 SCHEMA = "a int, b string, v string"
@@ -56,3 +56,8 @@ def test_only_the_batch_is_shuffled(spark, table, broadcast):
 def test_keys_as_text_tell_null_from_empty(spark):
     df = spark.createDataFrame([(1, None, ""), (1, "", ""), (1, "null", ""), (None, "1", "")], SCHEMA)
     assert df.select(key_text(df, ["A", "b"])).distinct().count() == 4
+
+
+def test_buckets_grow_with_the_table():
+    assert [buckets_for(n, 8) for n in (0, 10, 8 * BUCKET_ROWS, 8 * BUCKET_ROWS + 1)] == [8, 8, 8, 9]
+    assert buckets_for(0) == 1 and buckets_for(100 * BUCKET_ROWS) == 100
