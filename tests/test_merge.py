@@ -168,3 +168,11 @@ def test_digests_are_packed_for_the_shuffle_and_any_text_comes_back(spark):
     packed = merge._packed(F.col("t"))
     got = df.select("t", merge._unpacked(packed).alias("back"), F.octet_length(packed).alias("n")).collect()
     assert [r.t for r in got] == [r.back for r in got] == texts and got[0].n == 33 and got[1].n == 65
+
+
+def test_a_full_join_shuffles_digests_as_bytes(spark):
+    schema = "k int, record_hash string, business_key_hash string"
+    target, source = (spark.createDataFrame([(1, "ab" * 32, "cd" * 32)], schema) for _ in range(2))
+    plan = merge_scd1(target, source, ["k"])._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("Join FullOuter"):]
+    assert below.count("unhex(record_hash") and below.count("unhex(business_key_hash")
