@@ -82,8 +82,8 @@ def silver_rows(df: DataFrame, target: str, batch_id: str = BATCH) -> DataFrame:
     """Bronze rows conformed, deduplicated and stamped."""
     entity = silver.entity_for(target)
     sequence = USAGE_SEQUENCE if target == "vehicle_daily_usage" else "source_ingestion_timestamp"
-    conformed = silver.conform(df, entity, load_time())
-    return silver.stamp(latest_per_key(conformed, entity.keys, sequence), entity.keys, batch_id, load_time())
+    latest = silver.latest(df, entity, entity.keys, sequence, load_time())
+    return silver.stamp(latest, entity.keys, batch_id, load_time())
 
 
 def silver_of(spark: SparkSession, folder: str, target: str) -> DataFrame:

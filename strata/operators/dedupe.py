@@ -13,11 +13,11 @@ from strata.functions.columns import column, existing_names
 _RANK = "_rank"
 
 
-def _orderable(dtype: T.DataType) -> bool:
+def orderable(dtype: T.DataType) -> bool:
     if isinstance(dtype, T.ArrayType):
-        return _orderable(dtype.elementType)
+        return orderable(dtype.elementType)
     if isinstance(dtype, T.StructType):
-        return all(_orderable(f.dataType) for f in dtype.fields)
+        return all(orderable(f.dataType) for f in dtype.fields)
     return not isinstance(dtype, (T.MapType, T.VariantType))
 
 
@@ -29,7 +29,7 @@ def total_order(df: DataFrame, first: Iterable[str], keys: Iterable[str]) -> lis
     """
     leading = existing_names(df, first)
     skipped = set(leading) | set(existing_names(df, keys))
-    rest = [f.name for f in df.schema.fields if f.name not in skipped and _orderable(f.dataType)]
+    rest = [f.name for f in df.schema.fields if f.name not in skipped and orderable(f.dataType)]
     return [column(c).desc_nulls_last() for c in [*leading, *rest]]
 
 

@@ -7,7 +7,7 @@ compared column differs, and target rows without a source row stay.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -255,13 +255,14 @@ def decide(
     """
     names = existing_names(target, keys)
     picked = [column(find_name(source, k)).alias(_PREFIX + k) for k in names]
-    new = source.select(*picked, _comparable(source, compare).alias("_new"), _place(source, keys, places).alias("_place"))
+    new = source.select(*picked, _comparable(source, compare).alias("_new"))
     old = target.select(*[column(n) for n in (*names, *carried)], _comparable(target, compare).alias("_old"), F.lit(True).alias(_IN_TARGET))
     joined = new.join(old, _same_key(names), "left")
     compared = bool(compare and find_name(target, compare) and find_name(source, compare))
     same = F.col("_old").eqNullSafe(F.col("_new")) if compared else F.lit(False)
     kind = F.when(F.col(_IN_TARGET).isNull(), NEW).when(same, SAME).otherwise(CHANGED)
-    return joined.select(*[column(n) for n in carried], "_place", kind.alias("_kind"))
+    place = _place(joined, [_PREFIX + k for k in names], places).alias("_place")
+    return joined.select(*[column(n) for n in carried], place, kind.alias("_kind"))
 
 
 def sieve(decided: DataFrame) -> DataFrame:
@@ -307,6 +308,71 @@ def merge_sifted(
     return left.unionByName(joined).unionByName(added)
 
 
+# --- merges that don't shuffle what they keep ----------------------------------------------------
+
+# Where a row is stored: a hash of its file's path (2^-64 a pair of files) and its number there.
+FILE, ROW = "_file", "_row"
+_OLD = "_old_"
+# A bitmap of replaced rows has 4 KB; more of them aren't broadcast.
+MAX_BITMAPS = 16_384
+
+
+def located(files: DataFrame) -> DataFrame:
+    """A read table with the place of each row."""
+    return files.withColumns({FILE: F.xxhash64("_metadata.file_path"), ROW: F.col("_metadata.row_index")})
+
+
+def changes(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], finish: Callable[[DataFrame], DataFrame], *,
+    compare: str | None = "record_hash", preserve: Iterable[str] = (), exclude: Iterable[str] = (), order: str | None = None,
+) -> DataFrame:
+    """The rows a merge adds or replaces, as :func:`merge_scd1` gives them, with the place of the row they replace.
+
+    ``finish`` adds to source rows the columns that follow from the others, once they are shuffled. Of the
+    ``located`` target only keys, what is compared and what an updated row keeps are shuffled.
+    """
+    table = target.drop(FILE, ROW)
+    cols = MergeColumns.of(table, finish(source), keys, preserve, exclude)
+    ordered = [c for c in cols.written if order and c.lower() == order.lower()]
+    carried = [*cols.keys, *cols.preserved, *cols.untouched, *ordered, FILE, ROW]
+    old = target.select(*[column(c).alias(_OLD + c) for c in carried], _comparable(table, compare).alias("_was"), F.lit(True).alias(_IN_TARGET))
+    same_key = F.lit(True)
+    for key in cols.keys:
+        same_key = same_key & column(find_name(source, key)).eqNullSafe(column(_OLD + key))
+    joined = finish(source.join(old, same_key, "left"))
+    compared = any(c.lower() == (compare or "").lower() for c in cols.written)
+    changed = ~F.col("_was").eqNullSafe(_comparable(joined, compare)) if compared else F.lit(bool(cols.written))
+    for name in ordered:
+        older = F.coalesce(column(find_name(joined, name)) < column(_OLD + name), F.lit(False))
+        changed = ~older & changed
+    is_new = F.col(_IN_TARGET).isNull()
+    out = []
+    for name in table.columns:
+        if name in cols.untouched:
+            value = column(_OLD + name)
+        elif name in cols.written:
+            value = column(find_name(joined, name))
+        else:
+            value = F.when(is_new, column(find_name(joined, name))).otherwise(column(_OLD + name))
+        out.append(value.alias(name))
+    places = [column(_OLD + name).alias(name) for name in (FILE, ROW)]
+    action = F.when(is_new, INSERT).otherwise(UPDATE).alias(ACTION)
+    return joined.filter(is_new | changed).select(*out, *places, action)
+
+
+def replaced_rows(changed: DataFrame) -> DataFrame:
+    """Which rows of the target are replaced, exactly: a bitmap for each 32,768 rows of a file."""
+    spots = changed.filter(F.col(ACTION) == UPDATE).select(FILE, F.bitmap_bucket_number(ROW).alias(_BUCKET), F.bitmap_bit_position(ROW).alias(_BIT))
+    return spots.repartition(FILE, _BUCKET).groupBy(FILE, _BUCKET).agg(F.bitmap_construct_agg(_BIT).alias("_replaced"))
+
+
+def kept_rows(target: DataFrame, replaced: DataFrame, small: bool) -> DataFrame:
+    """The rows of a ``located`` target that stay; they aren't shuffled if the bitmaps were measured to be small."""
+    placed = target.withColumns({_BUCKET: F.bitmap_bucket_number(ROW), _BIT: F.bitmap_bit_position(ROW)})
+    marked = placed.join(F.broadcast(replaced) if small else replaced, [FILE, _BUCKET], "left").filter(~_is_set("_replaced"))
+    return marked.select(*[column(c) for c in target.drop(FILE, ROW).columns], F.lit(KEEP).alias(ACTION))
+
+
 def matching_rows(target: DataFrame, source: DataFrame, keys: Sequence[str], small_source: bool = False) -> DataFrame:
     """Target rows whose key occurs in the source, NULL matching NULL."""
     names = existing_names(target, keys)

@@ -15,12 +15,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.functions.columns import column, find_name
+from strata.functions.columns import column, existing_names, find_name
 from strata.functions.hashing import BUSINESS_KEY_HASH, RECORD_HASH, add_hashes
 from strata.operators import quality
 from strata.operators.align import align, cast_failures
 from strata.operators.calendar import DEFAULT_END, DEFAULT_START, dim_date
-from strata.operators.dedupe import latest_per_key, repeated_keys
+from strata.operators.dedupe import repeated_keys
 from strata.operators.references import resolve_references
 from strata.plans import gold, silver
 from strata.plans.audit import RunAudit
@@ -131,8 +131,7 @@ class _Silver:
         """Latest rows, stamped; with the target's schema and whether it exists."""
         opts = self.options
         entity = silver.entity_for(self.spec.target_object, self.keys)
-        conformed = silver.conform(source, entity, opts.load_ts)
-        latest = latest_per_key(conformed, self.keys, self.sequence)
+        latest = silver.latest(source, entity, self.keys, self.sequence, opts.load_ts)
         # Digests are computed after the shuffle, for the surviving rows only.
         stamped = silver.stamp(latest, entity.keys, self.batch_id, opts.load_ts, opts.hash_scope)
         if not (find_name(latest, BUSINESS_KEY_HASH) or find_name(latest, RECORD_HASH)):
@@ -206,6 +205,13 @@ class _Silver:
         cast = "null" if self.options.on_cast_error == "null" else "raise"
         final = align(quality.good_rows(staged), schema, self.options.exclude, cast)
         good = self.counts.pop("_good")
+        # Digests can be computed from aligned rows if these still hold what they were computed from.
+        digested = self.digested
+        for name in existing_names(staged, (*digested[0], *digested[1])) if digested else ():
+            held = find_name(final, name)
+            if held is None or final.schema[held].dataType != staged.schema[name].dataType:
+                digested = None
+                break
         if good or self.spec.load_type == control.FULL:
             self.counts |= _write(
                 self.lake,
@@ -219,6 +225,7 @@ class _Silver:
                 rows=good,
                 part_column=self.options.part_column,
                 reread=reread,
+                digested=digested,
             )
 
     def load_staged(self, staged: DataFrame, schema: T.StructType) -> None:
@@ -273,6 +280,7 @@ def _write(
     rows: int | None = None,
     part_column: str | None = None,
     reread: bool = True,
+    digested: tuple[Sequence[str], Sequence[str]] | None = None,
 ) -> dict:
     """Write by load type. An unknown type is an error, not a merge."""
     if spec.load_type == control.FULL:
@@ -282,7 +290,7 @@ def _write(
     if spec.load_type in (control.MERGE, control.SCD1):
         compare = RECORD_HASH if find_name(df, RECORD_HASH) else None
         # Only a lake's own merge keeps rows from being replaced by older ones.
-        own = {"order": order, "reread": reread} if lake.takes_deliveries else {}
+        own = {"order": order, "reread": reread, "digested": digested} if lake.takes_deliveries else {}
         return lake.merge(
             spec.target_object,
             df,

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.columns import Derived, Picker, column, derive_missing, existing_names, find_name
 from strata.functions.hashing import add_hashes, joined_digest
+from strata.operators.dedupe import latest_per_key, orderable
 
 
 @dataclass(frozen=True)
@@ -211,6 +212,25 @@ def conform(df: DataFrame, entity: Entity, load_ts: Column | None = None) -> Dat
     return standardise_lineage(df, load_ts)
 
 
+def latest(
+    df: DataFrame, entity: Entity, keys: Sequence[str], sequence: str | Sequence[str] | None = None, load_ts: Column | None = None
+) -> DataFrame:
+    """The latest row per key in canonical form; ``keys`` and ``sequence`` are names of that form.
+
+    Derived columns are added after the shuffle if neither the key nor the order needs them: where all other
+    columns are equal they are too, so they decide no tie.
+    """
+    first = [sequence] if isinstance(sequence, str) else list(sequence or [])
+    before = {new: old for old, new in LINEAGE.items()}
+    given = {name: find_name(df, before.get(name, name)) for name in (*keys, *first)}
+    # An absent lineage column is the same in all rows.
+    needed = [n for n in (*keys, *first) if given[n] is None and not (n in first and n in before)]
+    early = entity.projection or needed or any(k in LINEAGE or k in before for k in keys) or any(n in LINEAGE for n in first)
+    if early or not all(orderable(f.dataType) for f in df.schema.fields):
+        return latest_per_key(conform(df, entity, load_ts), keys, first)
+    return conform(latest_per_key(df, [given[k] for k in keys], [given[n] for n in first if given[n]]), entity, load_ts)
+
+
 def stamp(
     df: DataFrame,
     keys: Sequence[str],

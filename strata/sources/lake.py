@@ -23,20 +23,26 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.functions.columns import column, find_name
+from strata.functions.columns import column, existing_names, find_name
 from strata.functions.dates import date_key
+from strata.functions.hashing import BUSINESS_KEY_HASH, RECORD_HASH, add_hashes
 from strata.operators.align import align
 from strata.operators.merge import (
     ACTION,
     INSERT,
+    MAX_BITMAPS,
     can_sift,
+    changes,
     decide,
     fits_broadcast,
+    kept_rows,
     key_places,
+    located,
     matching_rows,
     merge_metrics,
     merge_scd1,
     merge_sifted,
+    replaced_rows,
     sieve,
 )
 from strata.sources.folders import CODEC
@@ -213,6 +219,7 @@ class Lake:
         part_column: str | None = None,
         order: str | None = None,
         reread: bool = True,
+        digested: tuple[Sequence[str], Sequence[str]] | None = None,
     ) -> dict:
         """Upsert ``source``, whose keys must be unique, into a table.
 
@@ -221,7 +228,9 @@ class Lake:
         The source should be cheap to read several times, such as a written table. When it was
         measured to be small, and much smaller than the parts it meets, it is broadcast, and they
         are read without being shuffled. Otherwise keys and digests are joined first, and then only rows
-        that may have changed (see ``merge_sifted``). ``part_column`` is how a table that does not exist
+        that may have changed (see ``merge_sifted``). ``digested`` names the columns that the source's two
+        digests are computed from: then source rows are joined without them, and target rows that aren't replaced
+        are read where they stand and not shuffled (see ``changes``). ``part_column`` is how a table that does not exist
         yet will be kept; with ``reread=False`` its first rows are read once, to be written.
         """
         new = self._definition(name) is None
@@ -240,35 +249,61 @@ class Lake:
             small = fits_broadcast(source, source_rows)
             rows = source.count() if source_rows is None else source_rows
             places = key_places(rows)
-            sifts = not small and can_sift(target, source, keys)
-            if sifts:
+            options = {"compare": compare, "preserve": [*preserve, PART], "exclude": exclude, "order": order}
+            plain = not small and can_sift(target, source, keys)
+            rests = plain and digested is not None and self._has_files(target)
+            sifts = plain and not rests
+            if rests:
+                target, digests = located(target), existing_names(source, (BUSINESS_KEY_HASH, RECORD_HASH))
+                found = changes(target, source.drop(*digests), keys, lambda df: add_hashes(df, *digested), **options)
+                changed = self.stage(f"{name}.decided", found.drop(*digests))
+                reached = changed.select(PART)
+            elif sifts:
                 # The whole target is looked through, but only its keys and digests are read.
                 decided = self.stage(f"{name}.decided", decide(target, source, keys, places, compare, [PART]))
-                held = decided.select(PART).filter(F.col(PART).isNotNull())
+                reached = decided.select(PART).filter(F.col(PART).isNotNull()).unionByName(source.select(PART))
             else:
                 held = matching_rows(target, source.drop(PART), keys, small).select(PART)
+                reached = held.unionByName(source.select(PART))
             # Parts that hold a key of the source now, and parts its rows go to; one short row each.
-            parts = self.stage(f"{name}.parts", held.unionByName(source.select(PART)).distinct())
+            parts = self.stage(f"{name}.parts", reached.distinct())
+            if rests and parts.isEmpty():
+                self.unstage(f"{name}.decided")
+                return {"operation": "MERGE", "rows_inserted": 0, "rows_updated": 0, "rows_written": 0, "rows_deleted": 0, "broadcast": False}
             few = self._are_few(parts)
             # The filter lets Spark read the parts that were found and skip the others' files.
             found = F.broadcast(parts.filter(F.col(PART) >= ""))
-            touched = target.join(found, PART, "left_semi").select(*schema.names, PART)
-            if small and touched.count() < BROADCAST_RATIO * rows:
-                small = False
-            options = {"compare": compare, "preserve": [*preserve, PART], "exclude": exclude, "order": order}
-            if sifts:
-                merged = merge_sifted(touched, source, keys, sieve(decided), places, **options)
+            touched = target.join(found, PART, "left_semi")
+            if rests:
+                replaced = self.stage(f"{name}.replaced", replaced_rows(changed))
+                kept = kept_rows(touched, replaced, replaced.count() <= MAX_BITMAPS)
+                merged = kept.unionByName(add_hashes(changed, *digested).select(*[column(c) for c in kept.columns]))
+            elif sifts:
+                merged = merge_sifted(touched.select(*schema.names, PART), source, keys, sieve(decided), places, **options)
             else:
+                touched = touched.select(*schema.names, PART)
+                if small and touched.count() < BROADCAST_RATIO * rows:
+                    small = False
                 merged = merge_scd1(touched, source, keys, small_source=small, **options)
         observation = Observation()
         # Rebalancing splits a part that holds much of the table over several tasks.
         merged = merged if few else merged.hint("rebalance", PART)
         watched = merged.observe(observation, *merge_metrics()).drop(ACTION)
         self._replace_parts(watched, self._folder(name))
-        if not new and sifts:
+        if not new and plain:
             self.unstage(f"{name}.decided")
+            if rests:
+                self.unstage(f"{name}.replaced")
         return {"operation": "MERGE", **observation.get, "rows_deleted": 0, "broadcast": small}
 
+    @staticmethod
+    def _has_files(table: DataFrame) -> bool:
+        """Whether rows have a place in a file; a table nobody has written to has none."""
+        try:
+            return bool(table.select("_metadata.row_index").columns)
+        except AnalysisException:
+            return False
+
     @staticmethod
     def _are_few(parts: DataFrame) -> bool:
         return parts.limit(FEW_PARTS + 1).count() <= FEW_PARTS

@@ -476,3 +476,16 @@ def test_a_gold_load_does_not_write_its_rows_twice(spark, lake, monkeypatch):
         gold_load(lake, spec, batch)
     assert rows(lake.read("gold.dim_customer"), "customer_id", "name") == [(1, "a"), (2, "b")]
     assert not any("name" in columns for columns in staged)
+
+
+def test_a_large_merge_stages_only_rows_it_writes(spark, lake, monkeypatch):
+    staged, stage = {}, Lake.stage
+    monkeypatch.setattr(Lake, "stage", lambda self, name, df: staged.setdefault(name, []).append(df.count()) or stage(self, name, df))
+    monkeypatch.setattr(lake_module, "fits_broadcast", lambda *a: False)
+    rules = [Rule("V", "Not x", "v <> 'x'", QUARANTINE)]
+    silver_load(lake, SPEC, "B1", source=bronze(spark, (1, "a", at(1)), (2, "b", at(1)), (3, "c", at(1))), rules=rules)
+    counts = silver_load(lake, SPEC, "B2", source=bronze(spark, (1, "a", at(2)), (2, "z", at(2)), (4, "d", at(2))), rules=rules).counts
+    assert (counts["rows_inserted"], counts["rows_updated"]) == (1, 1)
+    assert staged["silver.job.decided"][0] == 2
+    assert silver_load(lake, SPEC, "B3", source=bronze(spark, (1, "a", at(3))), rules=rules).counts["rows_written"] == 0
+    assert rows(lake.read("silver.job"), "id", "v") == [(1, "a"), (2, "z"), (3, "c"), (4, "d")]

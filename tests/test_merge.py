@@ -176,3 +176,27 @@ def test_a_full_join_shuffles_digests_as_bytes(spark):
     plan = merge_scd1(target, source, ["k"])._jdf.queryExecution().optimizedPlan().toString()
     below = plan[plan.index("Join FullOuter"):]
     assert below.count("unhex(record_hash") and below.count("unhex(business_key_hash")
+
+
+@pytest.mark.parametrize("compare, order", [("record_hash", None), (None, None), ("record_hash", "v")])
+def test_rows_that_stay_are_read_where_they_stand(spark, tmp_path, compare, order):
+    """However rows lie in files, only KEEP and NOOP aren't told apart."""
+    key = F.when(F.col("id") > 0, F.col("id").cast("int")).alias("k")
+    digest = F.sha2((F.col("k") % 5).cast("string"), 256)
+    target = spark.range(300).select(key, (F.col("id") % 3).alias("v"), F.lit("t").alias("note"), F.lit("own").alias("left")).withColumn("record_hash", digest)
+    target.repartition(3).write.parquet(str(tmp_path / "t"))
+    target = spark.read.parquet(str(tmp_path / "t"))
+    source = spark.range(0, 600, 2).select(key, F.lit(1).cast("bigint").alias("v"), F.lit("new").alias("note"))
+
+    def finish(df):
+        return df.withColumn("record_hash", F.when(F.col("k") % 4 == 0, "ABCD").otherwise(F.sha2((F.col("k") % 5).cast("string"), 256)))
+
+    options = {"compare": compare, "preserve": ["note"], "order": order}
+    found = merge.changes(merge.located(target), source, ["K"], finish, **options).localCheckpoint()
+    for small in (True, False):
+        kept = merge.kept_rows(merge.located(target), merge.replaced_rows(found), small)
+        plain = merge_scd1(target, finish(source), ["k"], **options)
+        as_kept = F.when(F.col(ACTION) == "NOOP", "KEEP").otherwise(F.col(ACTION)).alias(ACTION)
+        names = ["k", "v", "note", "left", "record_hash"]
+        state = kept.unionByName(found.select(kept.columns))
+        assert rows(state.select(*names, as_kept)) == rows(plain.select(*names, as_kept))

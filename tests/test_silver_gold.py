@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strata.functions.hashing import surrogate_key
+from strata.operators.dedupe import latest_per_key
 from strata.plans import gold, silver
 from tests.conftest import rows
 
@@ -170,3 +171,14 @@ def test_gold_tables_are_projections(spark):
         plan = gold.build_gold(df, name)._jdf.queryExecution().executedPlan().toString()
         assert "Exchange" not in plan and "Join" not in plan
         assert rows(gold.build_gold(df, name), table.key)
+
+
+def test_what_follows_from_other_columns_is_not_shuffled(spark):
+    jobs = spark.sql("SELECT id % 7 repair_job_id, id % 3 labor_hours, 2.5D labor_rate, timestamp'2025-01-01' completed_timestamp FROM range(40)")
+    entity = silver.entity_for("repair_job")
+    for sequence in ("completed_timestamp", "source_ingestion_timestamp", "labor_cost"):
+        got = silver.latest(jobs, entity, entity.keys, sequence, when())
+        want = latest_per_key(silver.conform(jobs, entity, when()), entity.keys, sequence)
+        assert got.columns == want.columns and rows(got) == rows(want)
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert ("labor_cost" in plan[plan.index("Window"):]) == (sequence == "labor_cost")
