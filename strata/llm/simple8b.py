@@ -194,9 +194,9 @@ def _chunks(path: str, space: str, end_id: int):
             return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, kinds)], names=names)
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                ids = word_memo.encode(batch.column(1).slice(at, 256).to_pylist())
-                for key, found in zip(batch.column(0).slice(at, 256).to_pylist(), ids):
+            for at in range(0, batch.num_rows, 1024):
+                ids = word_memo.encode(batch.column(1).slice(at, 1024).to_pylist())
+                for key, found in zip(batch.column(0).slice(at, 1024).to_pylist(), ids):
                     keys.append(key)
                     held.append(found + end)
                     waiting += len(found) // 4 + 1

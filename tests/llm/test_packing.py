@@ -1,6 +1,7 @@
 """Packing and tokenizing: exact round trips."""
 
 import functools
+import itertools
 import random
 import zlib
 from collections import defaultdict
@@ -44,6 +45,59 @@ def test_memo_gives_the_ids_of_whole_texts(path, space, monkeypatch):
         assert np.frombuffer(found, "<u4").tolist() == ids(path, text), repr(text)
 
 
+@pytest.mark.parametrize("path, space", [(BYTE_BPE, "leads"), (WORD_BPE, "dropped")])
+@pytest.mark.parametrize("block, near", [(2_000_000, 200), (30, 0)])
+def test_pieces_cut_by_hand_give_the_ids_of_whole_texts(path, space, block, near, monkeypatch):
+    from strata.llm import tokens
+
+    monkeypatch.setattr(tokens, "BLOCK", block)
+    monkeypatch.setattr(tokens, "NEAR", near)
+    rng = random.Random(9)
+    every = [chr(c) for c in range(256)]
+    texts = [a + c + b for a in ("a", " ", "'", "") for c in every for b in ("a", " x", "'s", "\n", "")]
+    bits = list(" '  \n\ts\xa0\x85tredmlvLE1².|") + ["the ", "it's", " 'x ", "\0", "’", "Σ", "́", "<|endoftext|>"]
+    texts += ["".join(rng.choice(bits) for _ in range(rng.randrange(50))) for _ in range(1000)]
+    found = WordMemo(path, space).encode(texts)
+    for text, got, want in zip(texts, found, whole(path).encode_batch(texts, add_special_tokens=False)):
+        assert np.frombuffer(got, "<u4").tolist() == want.ids, repr(text)
+
+
+@pytest.mark.parametrize("path, space", [(BYTE_BPE, "leads"), (WORD_BPE, "dropped")])
+def test_the_library_meets_each_piece_once_whatever_stands_beside_it(path, space, monkeypatch):
+    import tokenizers
+
+    class Counting:
+        met = 0
+
+        def __init__(self, tokenizer):
+            self.tokenizer = tokenizer
+
+        @classmethod
+        def from_file(cls, path):
+            return cls(whole(path))
+
+        def __getattr__(self, name):
+            return getattr(self.tokenizer, name)
+
+        def encode_batch(self, texts, **more):
+            Counting.met += sum(map(len, texts))
+            return self.tokenizer.encode_batch(texts, **more)
+
+        def encode_batch_fast(self, texts, **more):
+            Counting.met += sum(map(len, texts))
+            return self.tokenizer.encode_batch_fast(texts, **more)
+
+    words = ["".join(p) for p in itertools.product("abcde", repeat=4)]
+    marks = [".", ",", "!?", "...", "\n", " (", ") ", "|"]
+    texts = [(m + " ").join(words) for m in marks]
+    texts.append(" ".join([*words, "is “odd” here", *words]))
+    wanted = [ids(path, t) for t in texts]
+    monkeypatch.setattr(tokenizers, "Tokenizer", Counting)
+    found = WordMemo(path, space).encode(texts)
+    assert [np.frombuffer(f, "<u4").tolist() for f in found] == wanted
+    assert Counting.met < 2.5 * sum(len(w) + 1 for w in words)  # 8 times, if marks made other words
+
+
 def held(rows, docs, capacity):
     """Checks that the pieces are the documents' ids and lie gapless in sequences; their number."""
     by_doc, by_sequence = defaultdict(list), defaultdict(list)
